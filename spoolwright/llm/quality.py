@@ -15,7 +15,8 @@ from ._shared import slices
 from .toxicity import held_out, labelled_sample
 
 PASSAGE_WORDS, HIDDEN, GATES = 128, 16, 8
-MOST_ROWS = 2000
+#: Most labelled documents of class 0 and of class 1 that training takes.
+MOST_ROWS = (2000, 2000)
 #: Byte classes of a passage: capitals, small letters, digits, line breaks, other space, stops and commas, bars and slashes, other ASCII, non-ASCII.
 _CLASS = np.zeros(256, np.uint8)
 for _n, _bytes in enumerate((range(65, 91), range(97, 123), range(48, 58), b"\r\n", b" \t\v\f", b".,;:'", b"|/\\_-", b"!?")):
@@ -107,10 +108,10 @@ def train(bags: list[np.ndarray], labels, steps: int = 400, rate: float = 0.02,
     return model
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS, threshold: float = 0.3) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST_ROWS, threshold: float = 0.3) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted (score >= threshold).
 
-    Only rows that are not held out teach, at most `most` of each class. Null texts and texts without words are one passage of zeros. A
+    Only rows that are not held out teach, at most `most` of class 0 and of class 1. Null texts and texts without words are one passage of zeros. A
     null doc_id is not held out and has no label. Without labels, or with one class only, all scores are the same.
     """
     rows = labelled_sample(docs, labels, "quality", most)

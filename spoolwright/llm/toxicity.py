@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from ._shared import slices, words_of
 
-BUCKETS, DIM, N_GRAMS, WINDOW = 1 << 16, 8, (3, 4, 5), 100
-#: Most labelled documents of each class that training takes: those with the least hash.
-MOST_ROWS = 2000
+BUCKETS, DIM, N_GRAMS, WINDOW = 1 << 20, 8, (3, 4, 5), 50
+#: N-grams are learned only if they occur in so many labelled documents at least, counted over the words that hold them.
+LEAST_DOCUMENTS = 5
+#: Most labelled documents of class 0 and of class 1 that training takes: those with the least hash.
+MOST_ROWS = (3000, 1500)
 
 
 def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -35,7 +37,7 @@ def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         for k in range(n):
             h = h * np.uint64(0x100000001B3) + data[k : k + m]
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        out_b.append((h[inside] >> np.uint64(48)).astype(np.int64) % BUCKETS)
+        out_b.append((h[inside] >> np.uint64(44)).astype(np.int64))
         out_w.append(owner[inside])
     return (np.concatenate(out_b), np.concatenate(out_w)) if out_b else (np.empty(0, np.int64),) * 2
 
@@ -52,32 +54,50 @@ def windows_of(n: int) -> np.ndarray:
     return np.arange(k) * n // k
 
 
-def train(texts: list[str], labels: np.ndarray, steps: int = 150, rate: float = 0.05, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str], labels: np.ndarray, steps: int = 80, rate: float = 0.05, decay: float = 1.5e-5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Scores of the n-gram buckets and the bias: embeddings and softmax learned together by Adam, the loss taken at each text's top window."""
     g = np.random.default_rng(seed)
     y = np.asarray(labels, float)
+    scores = np.zeros(BUCKETS, np.float32)
     if not len(texts) or y.min() == y.max():
-        return np.zeros(BUCKETS), (-6.0 if not len(y) or y[0] == 0 else 6.0)
+        return scores, (-6.0 if not len(y) or y[0] == 0 else 6.0)
     index: dict[bytes, int] = {}
     flat, win, win_doc, n_win = [], [], [], 0
     for d, t in enumerate(texts):
         words = words_of(t)
-        ids = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
         starts = windows_of(len(words))
-        flat.append(ids)
-        win.append(np.repeat(np.arange(n_win, n_win + len(starts)), np.diff(np.append(starts, len(words)))))
+        flat.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words)))
+        win.append(np.repeat(np.arange(n_win, n_win + len(starts), dtype=np.int32), np.diff(np.append(starts, len(words)))))
         win_doc += [d] * len(starts)
         n_win += len(starts)
+    frequency = np.zeros(len(index))
+    for ids in flat:
+        frequency[np.unique(ids)] += 1
     flat, win, win_doc = np.concatenate(flat), np.concatenate(win), np.array(win_doc)
-    gram, owner = ngrams(list(index)) if index else (np.empty(0, np.int64),) * 2
-    grams_of = np.maximum(np.bincount(owner, minlength=len(index)), 1)
+    words, n_words, part = list(index), len(index), 50_000
+    del index
+    documents, grams_of = np.zeros(BUCKETS), np.ones(n_words)
+    for at in range(0, n_words, part):
+        b, w = ngrams(words[at : at + part])
+        documents += np.bincount(b, frequency[at + w], BUCKETS)
+        grams_of[at : at + part] = np.maximum(np.bincount(w, minlength=len(words[at : at + part])), 1)
+    learned = np.flatnonzero(documents >= LEAST_DOCUMENTS)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[learned] = np.arange(len(learned))
+    held = []  # (first word, n-gram numbers, word numbers from there) of each part of the words
+    for at in range(0, n_words, part):
+        b, w = ngrams(words[at : at + part])
+        keep = place[b] >= 0
+        held.append((at, min(part, n_words - at), place[b[keep]], w[keep].astype(np.int32)))
+    del words
     words_in = np.maximum(np.bincount(win, minlength=n_win), 1)
     first = np.flatnonzero(np.concatenate(([True], win_doc[1:] != win_doc[:-1])))
-    emb, soft, bias = g.normal(0, 0.1, (BUCKETS, DIM)), g.normal(0, 0.1, (2, DIM)), np.zeros(2)
+    emb, soft, bias = g.normal(0, 0.1, (len(learned), DIM)), g.normal(0, 0.1, (2, DIM)), np.zeros(2)
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (emb, soft, bias)]
     for step in range(1, steps + 1):
         v = soft[1] - soft[0]
-        word = np.bincount(owner, (emb @ v)[gram], len(index)) / grams_of
+        gram = emb @ v
+        word = np.concatenate([np.bincount(w, gram[b], n) for _, n, b, w in held]) / grams_of
         logit = np.bincount(win, word[flat], n_win) / words_in + bias[1] - bias[0]
         if step <= 10:  # at first every window, as none stands out yet
             share = 1.0 / np.diff(np.append(first, n_win))[win_doc]
@@ -86,15 +106,19 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 150, rate: float =
             share = (logit == top[win_doc]).astype(float)
         p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         d_logit = share * (p - y[win_doc]) / len(y)
-        d_word = np.bincount(flat, (d_logit / words_in)[win], len(index)) / grams_of
-        d_gram = np.bincount(gram, d_word[owner], BUCKETS)
+        d_word = np.bincount(flat, (d_logit / words_in)[win], n_words) / grams_of
+        d_gram = np.zeros(len(learned))
+        for at, n, b, w in held:  # only the words of top windows have a gradient
+            moved = (d_word[at : at + n] != 0)[w]
+            d_gram += np.bincount(b[moved], d_word[at : at + n][w[moved]], len(learned))
         d_v = emb.T @ d_gram
-        grads = (np.outer(d_gram, v) + 1e-7 * emb, np.stack([-d_v, d_v]), np.array([-d_logit.sum(), d_logit.sum()]))
+        grads = (np.outer(d_gram, v) + decay * emb, np.stack([-d_v, d_v]), np.array([-d_logit.sum(), d_logit.sum()]))
         for x, dx, m in zip((emb, soft, bias), grads, moments, strict=True):
             m[0] += 0.1 * (dx - m[0])
             m[1] += 0.01 * (dx * dx - m[1])
             x -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
-    return emb @ (soft[1] - soft[0]), float(bias[1] - bias[0])
+    scores[learned] = emb @ (soft[1] - soft[0])
+    return scores, float(bias[1] - bias[0])
 
 
 class Scorer:
@@ -124,18 +148,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int) -> list:
-    """At most so many rows (text, y) of each class, of those that are not held out, least hash first; conflicting or null labels are left out."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: tuple[int, int]) -> list:
+    """At most so many rows (text, y) of class 0 and of class 1, of those that are not held out, least hash first; conflicting or null labels are left out."""
     y = labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1)).groupBy("doc_id").agg(F.min(column).alias("y"), F.max(column).alias("y2")).where("y = y2").select(F.col("doc_id").alias("labelled"), "y")
     y = y.where(~held_out(F.col("labelled"))).withColumn("h", F.xxhash64("labelled"))
-    ids = [r for c in (0, 1) for r in y.where(F.col("y") == c).orderBy("h", "labelled").limit(most).collect()]
+    ids = [r for c in (0, 1) for r in y.where(F.col("y") == c).orderBy("h", "labelled").limit(most[c]).collect()]
     picked = docs.sparkSession.createDataFrame([(r.labelled, r.y, r.h) for r in ids], "labelled long, y int, h long")
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("labelled")).where("text is not null")
     rows = rows.groupBy("labelled").agg(F.first("y").alias("y"), F.first("h").alias("h"), F.min("text").alias("text"))
     return sorted(rows.select("text", "y", "h", "labelled").collect(), key=lambda r: (r.h, r.labelled))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST_ROWS) -> tuple[np.ndarray, float]:
     rows = labelled_sample(docs, labels, "toxic", most)
     return train([r.text for r in rows], np.array([r.y for r in rows]))
 
@@ -153,7 +177,7 @@ def _mapped(docs: DataFrame, model, names: list[str], schema: str, keep) -> Data
     return docs.mapInArrow(run, schema)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted (score >= 0.5).
 
     Only rows that are not held out teach. Null texts and texts without words get the score of the bias alone. A null doc_id is not
@@ -166,7 +190,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) ->
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST_ROWS) -> DataFrame:
     """The rows of docs, with their columns, whose score is below 0.5."""
     model = fit(docs, labels, most)
     return _mapped(docs, model, docs.columns, docs.schema, lambda part, s: part.filter(pa.compute.less(s, 0.5)))
