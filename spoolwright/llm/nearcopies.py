@@ -1,7 +1,7 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-A document is the multiset of its shingles of five words. A shingle weighs its count times its inverse document frequency, estimated
-from its words: under independence log(N / df(shingle)) is the sum of log(N / df(word)), of which the mean is taken. Words fall into a
+A document is the set of its shingles of five words, each weighed by 1 + ln(count) times its smoothed inverse document frequency,
+estimated from its words: under independence log(N / df(shingle)) is the sum of log(N / df(word)), of which the mean is taken. Words fall into a
 fixed number of buckets whose document frequencies are counted over the whole corpus; so the only table broadcast has a fixed size.
 Each sample is a shingle drawn in proportion to its weight, the same in two documents with the probability of their weighted Jaccard
 similarity; bands of samples make candidates, and candidates are verified on their whole texts.
@@ -22,9 +22,12 @@ from ._shared import slices, spill, spill_twice, words_of
 WORDS_PER_SHINGLE, THRESHOLD, BANDS, ROWS, DF_BUCKETS = 5, 0.8, 12, 4, 1 << 18
 #: Leaders that each bucket's members are compared with before the rest is.
 LEADERS = 2
-#: Samples that agree, of BANDS * ROWS, below which documents of one bucket are not compared in the second pass: 30 or fewer of 48 have a probability of 0.002 at a similarity of 0.8.
-AGREE = 31
+#: In the last pass two members of a bucket are compared if so many of their BANDS * ROWS samples agree, and with the BEST members of each
+#: block of the bucket if LIKELY samples do. At a similarity of 0.85 a pair falls below AGREE with a probability of 0.02, at 0.9 of 0.0003.
+AGREE, LIKELY, BEST = 36, 29, 2
 BLOCK = 256
+#: Shingles of compared texts that a worker keeps, of 12 bytes each.
+CACHED_SHINGLES = 3_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,7 +79,7 @@ class Vectors:
         order = np.argsort(s, kind="stable")
         s, weight = s[order], weight[order]
         first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-        tf = np.diff(np.append(first, len(s))).astype(np.float32)
+        tf = 1 + np.log(np.diff(np.append(first, len(s)))).astype(np.float32)
         return s[first], weight[first] / np.float32(n) * tf
 
 
@@ -159,6 +162,12 @@ def _document_frequencies(docs: DataFrame, buckets: int) -> np.ndarray:
     return table
 
 
+def inverse_frequencies(df: np.ndarray) -> np.ndarray:
+    """Smoothed and scaled to lie between 1 (in all documents) and 2 (in one), so that no few rare words outweigh a text."""
+    n = max(int(df[-1]), 1)
+    return (1 + np.log((n + 1) / (np.clip(df[:-1], 1, n))) / np.log(n + 1)).astype(np.float32)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the least node of each node's component, by large-star and small-star steps until nothing changes."""
     edges = spill(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "cc_edges")
@@ -185,21 +194,40 @@ def _verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
     two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches):
-        vectors, last, vb = Vectors(idf.value), None, None
+        vectors, known, held = Vectors(idf.value), {}, 0
+
+        def of(node: int, text: str) -> tuple:
+            nonlocal known, held
+            if node not in known:
+                if held > CACHED_SHINGLES:
+                    known, held = {}, 0
+                known[node] = v = vectors.shingles(words_of(text))
+                held += len(v[0])
+            return known[node]
+
         for batch in batches:
             for part in slices(batch, 256):
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
                 keep = []
                 for x, y, s, t in zip(a, b, part.column("text_a").to_pylist(), part.column("text_b").to_pylist(), strict=True):
-                    if y != last:
-                        last, vb = y, vectors.shingles(words_of(t))
-                    if similarity(vectors.shingles(words_of(s)), vb) >= THRESHOLD:
+                    if similarity(of(x, s), of(y, t)) >= THRESHOLD:
                         keep.append((x, y))
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()), pa.array([k[1] for k in keep], pa.int64())], ["a", "b"])
 
     return spill(two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
 
 
+def _split(buckets: DataFrame, led: DataFrame, roots: DataFrame, nodes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Members of the buckets that hold more than one component, with their component, the bucket's largest one and its number of blocks; twice."""
+    roots = spill(roots, "roots")
+    placed = buckets.join(led.select("bucket"), "bucket", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n")), "bucket_parts")
+    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members")).where("parts > 1")
+    split = spill(split.select("bucket", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "split_buckets")
+    opened = placed.join(split, "bucket").select("bucket", "node", "root", "main", "blocks")
+    return spill_twice(opened.join(nodes.select("node", "marks"), "node") if nodes is not None else opened, "open_members")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, class_id (the least doc_id of its class) and text_key.
 
@@ -211,7 +239,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     df = _document_frequencies(texts, DF_BUCKETS)
-    idf = spark.sparkContext.broadcast(np.log((df[-1] + 1) / (np.minimum(df[:-1], df[-1]) + 0.5)).astype(np.float32) + np.float32(0.1))  # DF_BUCKETS numbers
+    idf = spark.sparkContext.broadcast(inverse_frequencies(df))  # DF_BUCKETS numbers
     k = BANDS * ROWS
 
     def sketch(batches):
@@ -236,14 +264,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = buckets.join(led, "bucket").select("bucket", "node", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("leader"))
     pairs = met.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     by_node = texts.select(F.col("doc_id").alias("node"), "text")
-    links = _verified(spill(pairs, "pairs"), by_node, idf)
-    roots = spill(components(links), "roots")
-    # buckets whose members are not yet of one component: their members outside the largest are compared with all others
-    placed = buckets.join(led.select("bucket"), "bucket", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n")), "bucket_parts")
-    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members")).where("parts > 1")
-    split = spill(split.select("bucket", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "split_buckets")
-    open_rows, again = spill_twice(placed.join(split, "bucket").join(nodes.select("node", "marks"), "node").select("bucket", "node", "root", "marks", "main", "blocks"), "open_members")
+    pairs = spill(pairs, "pairs")
+    links = _verified(pairs, by_node, idf)
+    # members outside the component of their bucket's best linked member are compared with it
+    opened, again = _split(buckets, led, components(links))
+    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
+    hubs = opened.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "root")).alias("hub"))
+    near_hub = again.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
+    near_hub = near_hub.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    links = links.union(_verified(spill(near_hub, "hub_pairs"), by_node, idf))
+    # what is still parted: members outside a bucket's largest component are compared with all members of others, block by block
+    open_rows, again = _split(buckets, led, components(links), nodes)
     more = open_rows.where("root <> main")
     slot = lambda i: F.pmod(F.xxhash64("node", F.lit(i)), F.col("blocks")).cast("int")
     left = more.select("bucket", slot(7).alias("x"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), "node", "root", "marks")
@@ -257,7 +288,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             read = lambda t: (t["node"].to_numpy(), t["root"].to_numpy(), np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint32).reshape(-1, k))
             (ln, lr, lm), (rn, rr, rm) = read(l), read(r)
             for i in range(len(ln)):
-                hit = (rr != lr[i]) & ((rm == lm[i]).sum(1) >= AGREE)
+                agree = np.where(rr != lr[i], (rm == lm[i]).sum(1), 0)
+                hit = agree >= AGREE
+                best = np.argsort(-agree, kind="stable")[:BEST]
+                hit[best[agree[best] >= LIKELY]] = True
                 out["a"].append(np.minimum(rn[hit], ln[i]))
                 out["b"].append(np.maximum(rn[hit], ln[i]))
         return pa.table({n: pa.array(np.concatenate(v) if v else [], pa.int64()) for n, v in out.items()})
