@@ -143,6 +143,7 @@ def _document_frequencies(docs: DataFrame, buckets: int) -> np.ndarray:
         index: dict[bytes, int] = {}
         for batch in batches:
             for part in slices(batch, 512):
+                found = []
                 for text in part.column("text").to_pylist():
                     words = set(words_of(text))
                     n += 1
@@ -151,7 +152,8 @@ def _document_frequencies(docs: DataFrame, buckets: int) -> np.ndarray:
                     for w in words:
                         if w not in index:
                             index[w] = word_hash(w) >> 46
-                    np.add.at(total, np.unique(np.fromiter(map(index.__getitem__, words), np.int64, len(words))), 1)
+                    found += {index[w] for w in words}
+                total += np.bincount(np.array(found, np.int64), minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, buckets)), pa.array(np.append(total[at], n))], ["bucket", "n"])
 
