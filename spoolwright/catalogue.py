@@ -1,4 +1,296 @@
-"""Queries by name, with their SQL."""
+"""Queries by name over the test tables, with their SQL. Each one exercises operators of the package on tables that stand in for archives:
+customers are a manifest, documents waveforms of characters, labels the outputs there are, events a journal, conversations two files to merge."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .codec import ResidualCodec, encode_piecewise
+from .functions import signal, text
+from .operators import fragments, manifest, merge, offsets, progress
+from .plans.audio import list_entries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.as_manifest(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"), F.concat(F.lit("/corpus/"), F.replace("c_name", F.lit("#"), F.lit("/")), F.lit(".tar")).alias("tar_path")))
+
+
+M = "m AS (SELECT c_custkey AS pos, '/corpus/' || replace(c_name, '#', '/') || '.tar' AS tar_path, split_part(c_name, '#', 2) AS tar_stem, c_custkey FROM customer)"
+
+
+@query(f"WITH {M} SELECT pos, tar_path, tar_stem FROM m WHERE starts_with(tar_stem, '0000') AND try_cast(tar_stem AS BIGINT) BETWEEN 1 AND 100")
+def manifest_filter(spark, sf_dir):
+    return manifest.select_range(_manifest(spark, sf_dir), "0000", 1, 100)
+
+
+@query(f"WITH {M}, r AS (SELECT *, row_number() OVER (ORDER BY pos) AS a, row_number() OVER (ORDER BY pos DESC) AS z, count(*) OVER () AS n FROM m) SELECT pos, tar_path, tar_stem, 'head' AS part FROM r WHERE a <= 5 UNION ALL SELECT pos, tar_path, tar_stem, 'tail' FROM r WHERE z <= 5 AND n > 10")
+def manifest_preview(spark, sf_dir):
+    return manifest.preview(_manifest(spark, sf_dir))
+
+
+@query("SELECT page_id, url FROM pages WHERE ends_with(lower(url), '0') OR ends_with(lower(url), '7')")
+def member_filter(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", "url").where(text.has_suffix(F.col("url"), ["0", "7"]))
+
+
+@query(r"SELECT page_id, regexp_extract(url, '([^/]*)/*$', 1) AS name, regexp_extract(url, '([^/]+?)(\.[^./]*)?$', 1) AS stem, regexp_extract(url, '([^/]+?)(\.[^./]*)?$', 1) || '.jsonl' AS output FROM pages")
+def path_parts(spark, sf_dir):
+    s = text.stem(F.col("url"))
+    return _t(spark, sf_dir, "pages").select("page_id", text.name(F.col("url")).alias("name"), s.alias("stem"), F.concat(s, F.lit(".jsonl")).alias("output"))
+
+
+def _fragment_sql(p: int) -> str:
+    size, step = 200 * p, 160
+    return f"""c AS (SELECT doc_id, text, n_chars, CASE WHEN n_chars <= {size} THEN 1 ELSE (n_chars - {size} + {step * p - 1}) // {step * p} + 1 END AS n_fragments FROM documents),
+f AS (SELECT doc_id, text, n_chars, n_fragments, unnest(range(n_fragments)) AS fragment FROM c),
+k AS (SELECT *, fragment * {step * p} AS "begin", least(fragment * {step * p} + {size}, n_chars) AS "end", fragment * {step} + CASE WHEN fragment > 0 THEN 20 ELSE 0 END AS kept_begin,
+CASE WHEN fragment = n_fragments - 1 THEN (n_chars + {p - 1}) // {p} ELSE fragment * {step} + 180 END AS kept_end FROM f)"""
+
+
+@query(f'WITH {_fragment_sql(1)} SELECT doc_id, fragment, "begin", "end" FROM k')
+def fragment_plan(spark, sf_dir):
+    return fragments.with_fragments(_t(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", 1, 200, 20).select("doc_id", "fragment", "begin", "end")
+
+
+@query(f"WITH {_fragment_sql(4)} SELECT doc_id, fragment, kept_begin, kept_end FROM k")
+def fragment_kept_ranges(spark, sf_dir):
+    return fragments.with_fragments(_t(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", 4, 200, 20).select("doc_id", "fragment", "kept_begin", "kept_end")
+
+
+@query("SELECT doc_id, md5(text) AS digest FROM documents")
+def fragment_reassemble(spark, sf_dir):
+    """Cut into overlapping fragments, trim, stitch: nothing is lost. Texts stay in their row; only kept pieces are shuffled."""
+    f = fragments.with_fragments(_t(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), "n_chars", 1, 200, 20)
+    part = F.substr("text", (F.col("kept_begin") + 1).cast("int"), (F.col("kept_end") - F.col("kept_begin")).cast("int"))
+    return fragments.stitch(f.select("doc_id", "fragment", part.alias("part")), ["doc_id"], "fragment", "part").select("doc_id", F.md5("part").alias("digest"))
+
+
+B = """b AS (SELECT doc_id, text, n_chars AS t, unnest(range((n_chars + 99) // 100)) AS block_no FROM documents WHERE n_chars > 0),
+w AS (SELECT *, least((block_no + 1) * 100, t) AS read_end, block_no * 100 < 18 AS first, (block_no + 1) * 100 >= t AS last FROM b),
+e AS (SELECT doc_id, text, t, block_no, CASE WHEN first THEN 0 ELSE block_no * 100 - 18 END AS read_begin, read_end, CASE WHEN first THEN 0 ELSE block_no * 100 - 6 END AS emit_begin, CASE WHEN last THEN t ELSE read_end - 6 END AS emit_end FROM w WHERE read_end >= 18)"""
+
+
+@query(f"WITH {B} SELECT doc_id, block_no, read_begin, read_end, emit_begin, emit_end FROM e")
+def decode_windows(spark, sf_dir):
+    return fragments.with_blocks(_t(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", 100, 12, 6, strict=True).drop("n_chars")
+
+
+@query("SELECT doc_id, md5(text) AS digest FROM documents WHERE n_chars > 0")
+def decode_reassemble(spark, sf_dir):
+    b = fragments.with_blocks(_t(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), "n_chars", 100, 12, 6)
+    part = F.substr("text", (F.col("emit_begin") + 1).cast("int"), (F.col("emit_end") - F.col("emit_begin")).cast("int"))
+    return fragments.stitch(b.select("doc_id", "block_no", part.alias("part")), ["doc_id"], "block_no", "part").select("doc_id", F.md5("part").alias("digest"))
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE n_chars < 18")
+def short_clip_loss(spark, sf_dir):
+    """Documents of which a strict decoder emits nothing."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    emitted = fragments.with_blocks(d, "n_chars", 100, 12, 6, strict=True).select("doc_id").distinct()
+    return d.join(emitted, "doc_id", "left_anti")
+
+
+@query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def resume_anti(spark, sf_dir):
+    return progress.resume(_t(spark, sf_dir, "documents").select("doc_id", "source"), _t(spark, sf_dir, "labels"), ["doc_id"])
+
+
+def _status(spark, sf_dir) -> DataFrame:
+    d = _t(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("tar_stem"))
+    o = _t(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("stem"), F.when(F.col("quality") == 1, "final").otherwise("partial").alias("kind"), (F.col("toxic") == 0).alias("valid"))
+    return progress.tar_status(d, o)
+
+
+S = "s AS (SELECT source, d.doc_id::VARCHAR AS tar_stem, CASE WHEN quality = 1 AND toxic = 0 THEN 'complete' WHEN quality = 1 THEN 'invalid' WHEN quality IS NOT NULL THEN 'partial' ELSE 'not_started' END AS status FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+
+
+@query(f"WITH {S} SELECT tar_stem, source, status FROM s")
+def tar_status(spark, sf_dir):
+    return _status(spark, sf_dir)
+
+
+@query(f"""WITH {S}, g AS (SELECT source, count(*) AS total, count(*) FILTER (status = 'complete') AS complete, count(*) FILTER (status = 'partial') AS partial, count(*) FILTER (status = 'invalid') AS invalid,
+count(*) FILTER (status <> 'complete') AS remaining FROM s GROUP BY source) SELECT *, 100.0::DOUBLE * complete / total AS complete_pct, 100.0::DOUBLE * remaining / total AS remaining_pct FROM g""")
+def progress_summary(spark, sf_dir):
+    return progress.progress_summary(_status(spark, sf_dir), ("source",))
+
+
+@query(f"WITH {S} SELECT tar_stem FROM s WHERE status <> 'complete'")
+def remaining_list(spark, sf_dir):
+    return progress.remaining(_status(spark, sf_dir)).select("tar_stem")
+
+
+@query(f"WITH {S} SELECT tar_stem FROM s WHERE status = 'invalid'")
+def invalid_list(spark, sf_dir):
+    return _status(spark, sf_dir).where("status = 'invalid'").select("tar_stem")
+
+
+@query("WITH f AS (SELECT user_id, arg_min(props, event_id) AS first FROM events GROUP BY user_id) SELECT user_id, coalesce(json_valid(first), false) AS valid FROM f")
+def validity_probe(spark, sf_dir):
+    return progress.first_line_valid(_t(spark, sf_dir, "events"), "user_id", "event_id", "props")
+
+
+P = f"""{M}, done AS (SELECT tar_stem FROM m WHERE c_custkey % 3 = 0), sub AS (SELECT tar_path FROM m WHERE c_custkey % 5 = 0)"""
+
+
+@query(f"WITH {P} SELECT tar_path, pos, tar_stem FROM m WHERE tar_stem NOT IN (SELECT tar_stem FROM done) AND tar_path NOT IN (SELECT tar_path FROM sub) ORDER BY pos LIMIT 200")
+def pending_batch(spark, sf_dir):
+    m = _manifest(spark, sf_dir)
+    return progress.pending_batch(m, m.where("pos % 3 = 0"), m.where("pos % 5 = 0"), 62, 12)
+
+
+@query(f"WITH {M} SELECT pos, tar_path, tar_stem, pos // 4 AS task, (pos % 4)::INTEGER AS slot FROM m")
+def task_assignment(spark, sf_dir):
+    return manifest.assign_tasks(_manifest(spark, sf_dir))
+
+
+JOB = "CASE o_orderkey % 4 WHEN 0 THEN o_orderkey || '_[' || o_custkey || '-' || (o_custkey + o_orderkey % 7) || ']' WHEN 1 THEN o_orderkey || '_[' || o_custkey || ']' WHEN 2 THEN o_orderkey || '_' || o_custkey ELSE o_orderkey || '_[x-1]' END"
+
+
+@query(rf"SELECT o_orderstatus AS state, sum(CASE WHEN regexp_matches(j, '_\[\d+-\d+\]$') THEN regexp_extract(j, '-(\d+)\]$', 1)::BIGINT - regexp_extract(j, '_\[(\d+)-', 1)::BIGINT + 1 ELSE 1 END)::BIGINT AS tasks, count(*) AS jobs FROM (SELECT o_orderstatus, {JOB} AS j FROM orders) GROUP BY o_orderstatus")
+def queue_size(spark, sf_dir):
+    jobs = _t(spark, sf_dir, "orders").select("o_orderstatus", F.expr(JOB).alias("jobid"))
+    return jobs.groupBy(F.col("o_orderstatus").alias("state")).agg(F.sum(text.task_count(F.col("jobid"))).alias("tasks"), F.count("*").alias("jobs"))
+
+
+def _outputs(m: DataFrame) -> DataFrame:
+    kind = F.when(F.col("pos") % 4 == 0, "partial").otherwise("final")
+    return m.where("pos % 6 <> 0").select(F.col("tar_stem").alias("stem"), kind.alias("kind"), F.when(F.col("pos") % 7 == 0, 0).otherwise(9).cast("bigint").alias("size"))
+
+
+@query(f"WITH {M} SELECT tar_path FROM m WHERE pos % 2 = 0 AND (pos % 6 = 0 OR (pos % 7 = 0 AND pos % 4 <> 0))")
+def repair_failed(spark, sf_dir):
+    m = _manifest(spark, sf_dir)
+    return progress.failed_submissions(m, m.where("pos % 2 = 0").select("tar_path"), _outputs(m))
+
+
+@query(f"WITH {M} SELECT tar_path FROM m WHERE pos % 2 = 0 AND pos % 6 <> 0 AND pos % 4 = 0")
+def retry_partial(spark, sf_dir):
+    m = _manifest(spark, sf_dir)
+    return progress.partial_submissions(m, m.where("pos % 2 = 0").select("tar_path"), _outputs(m))
+
+
+@query("SELECT o_custkey AS custkey FROM orders UNION SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0")
+def state_merge(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey")).union(_t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select("c_custkey")).distinct()
+
+
+L = """raw AS (SELECT doc_id, source, strlen(text) AS bytes, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, source, bytes, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM raw),
+o AS (SELECT *, sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS e FROM l),
+x AS (SELECT doc_id, source, i + 1 AS line_number, e - strlen(line) - 1 AS start_offset, least(e, bytes) AS end_offset, line FROM o WHERE trim(line) <> '')"""
+
+
+def _lines(spark, sf_dir) -> DataFrame:
+    return offsets.line_offsets(_t(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+@query(f"WITH {L} SELECT doc_id, line_number, start_offset, end_offset, line FROM x")
+def byte_offsets(spark, sf_dir):
+    return _lines(spark, sf_dir)
+
+
+@query(f"WITH {L} SELECT doc_id, line_number, start_offset, end_offset FROM x")
+def index_entries(spark, sf_dir):
+    return _lines(spark, sf_dir).drop("line")
+
+
+@query(f"WITH {L} SELECT doc_id, line_number, true AS same FROM x")
+def offset_lookup(spark, sf_dir):
+    found = offsets.lookup(_lines(spark, sf_dir), _t(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return found.select("doc_id", "line_number", (F.rtrim(F.regexp_replace("found", r"\n$", "")) == F.rtrim("line")).alias("same"))
+
+
+@query(f"WITH {L} SELECT source, count(*) AS entries FROM x GROUP BY source")
+def index_counts(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return d.select("source", F.explode(F.split("text", "\n")).alias("line")).where(~text.is_blank(F.col("line"))).groupBy("source").agg(F.count("*").alias("entries"))
+
+
+@query("SELECT d.doc_id::VARCHAR AS audio_file, n_chars AS num_samples, n_chars / 24000.0::DOUBLE AS duration, CASE WHEN l.doc_id IS NULL THEN 0 ELSE n_chars // 4 END::INTEGER AS num_tokens, coalesce(toxic = 1, false) AS is_error FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def list_entries_report(spark, sf_dir):
+    j = _t(spark, sf_dir, "documents").select("doc_id", "n_chars").join(_t(spark, sf_dir, "labels").withColumn("has", F.lit(1)), "doc_id", "left")
+    return list_entries(j.select(F.col("doc_id").cast("string").alias("audio_file"), F.col("n_chars").alias("num_samples"), F.lit(None).cast("int").alias("sample_rate"), F.when(F.col("has") == 1, F.array(F.lit(8), F.floor(F.col("n_chars") / 4).cast("int"))).alias("token_shape"), F.when(F.col("toxic") == 1, "bad").alias("error")))
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id IN (1, 3, 4, 5, 7, 8, 9)")
+def index_selection(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", "source").where(text.selected(F.col("doc_id"), "1,3-5,7:9"))
+
+
+@query("SELECT quality, count(*) FILTER (toxic = 0) AS succeeded, count(*) FILTER (toxic = 1) AS failed FROM labels GROUP BY quality")
+def error_split(spark, sf_dir):
+    error = F.when(F.col("toxic") == 1, "bad")
+    return _t(spark, sf_dir, "labels").groupBy("quality").agg(F.count_if(error.isNull()).alias("succeeded"), F.count_if(error.isNotNull()).alias("failed"))
+
+
+@query("""WITH u AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations WHERE role = 'user'), a AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations WHERE role = 'assistant')
+SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.k, a.k)::INTEGER AS k, u.turn AS left_turn, a.turn AS right_turn, CASE WHEN a.turn IS NULL THEN 'right_short' WHEN u.turn IS NULL THEN 'right_long' ELSE 'ok' END AS state FROM u FULL JOIN a ON u.conv_id = a.conv_id AND u.k = a.k""")
+def positional_merge(spark, sf_dir):
+    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return merge.positional_merge(c.where("role = 'user'").drop("role"), c.where("role = 'assistant'").drop("role"), ["conv_id"], "turn")
+
+
+@query("""SELECT p_partkey AS partkey, CASE WHEN p_size > 25 THEN p_size ELSE p_size + 100 END::INTEGER AS sample_rate, CASE WHEN p_size > 25 THEN p_brand ELSE p_type END AS codec, p_size <= 25 AS backfilled FROM part""")
+def backfill_fields(spark, sf_dir):
+    """Rows that have metadata keep it; the others get what was read anew."""
+    p = _t(spark, sf_dir, "part")
+    has = F.when(F.col("p_size") > 25, F.struct(F.col("p_size").alias("sample_rate"), F.col("p_brand").alias("codec")))
+    read = F.struct((F.col("p_size") + 100).alias("sample_rate"), F.col("p_type").alias("codec"))
+    m = p.select(F.col("p_partkey").alias("partkey"), F.coalesce(has, read).alias("m"), has.isNull().alias("backfilled"))
+    return m.select("partkey", F.col("m.sample_rate").cast("int").alias("sample_rate"), "m.codec", "backfilled")
+
+
+@query("""WITH e AS (SELECT vec_id, [x::DOUBLE * 4 FOR x IN embedding] AS w FROM embeddings), p AS (SELECT vec_id, w, list_max([abs(x) FOR x IN w]) AS p FROM e)
+SELECT vec_id, round(p, 6) AS peak, [round(CASE WHEN p > 1 THEN x / p ELSE x END, 6) FOR x IN w] AS wave FROM p""")
+def peak_normalise(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double") * 4).alias("w"))
+    return e.select("vec_id", F.round(signal.peak(F.col("w")), 6).alias("peak"), F.transform(signal.peak_normalise(F.col("w")), lambda x: F.round(x, 6)).alias("wave"))
+
+
+@query("SELECT vec_id, [round((embedding[i]::DOUBLE + embedding[i + 32]::DOUBLE) / 2, 6) FOR i IN range(1, 33)] AS wave FROM embeddings")
+def mono_mix(spark, sf_dir):
+    d = F.transform("embedding", lambda x: x.cast("double"))
+    e = _t(spark, sf_dir, "embeddings").select("vec_id", d.alias("w"))
+    return e.select("vec_id", F.transform(signal.mono(F.slice("w", 1, 32), F.slice("w", 33, 32)), lambda x: F.round(x, 6)).alias("wave"))
+
+
+@query("""WITH e AS (SELECT vec_id, [CASE WHEN abs(x) < 0.1 THEN 0.0::DOUBLE ELSE round(x::DOUBLE, 6) END FOR x IN embedding] AS w FROM embeddings), p AS (SELECT vec_id, w, [i FOR i IN range(1, len(w) + 1) IF w[i] <> 0] AS found FROM e)
+SELECT vec_id, CASE WHEN len(found) = 0 THEN list_slice(w, 1, 0) ELSE list_slice(w, found[1], found[len(found)]) END AS wave FROM p""")
+def trim_silence(spark, sf_dir):
+    w = F.transform("embedding", lambda x: F.when(F.abs(x) < 0.1, F.lit(0.0).cast("double")).otherwise(F.round(x.cast("double"), 6)))
+    return _t(spark, sf_dir, "embeddings").select("vec_id", signal.trim_silence(w).alias("wave"))
+
+
+@query()
+def codec_encode(spark, sf_dir):
+    """Embeddings as clips of 64 samples, encoded by the built-in codec in Arrow batches."""
+
+    def run(batches):
+        c = ResidualCodec(24_000, 4)
+        for b in batches:
+            t = [encode_piecewise(c, v.values.to_numpy(), 8, 1).tolist() for v in b.column("embedding")]
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(t, pa.list_(pa.list_(pa.int32())))], ["vec_id", "tokens"])
+
+    return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, tokens array<array<int>>")
