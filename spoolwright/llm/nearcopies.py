@@ -226,7 +226,7 @@ def _split(buckets: DataFrame, led: DataFrame, roots: DataFrame, nodes: DataFram
     parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n")), "bucket_parts")
     split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members")).where("parts > 1")
     split = spill(split.select("bucket", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "split_buckets")
-    opened = placed.join(split, "bucket").select("bucket", "node", "root", "main", "blocks")
+    opened = placed.join(split, "bucket").select("bucket", "band", "node", "root", "main", "blocks")
     return spill_twice(opened.join(nodes.select("node", "marks"), "node") if nodes is not None else opened, "open_members")
 
 
@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # one node for each distinct text: its least doc_id
     nodes = spill(rows.where("text_key is not null").groupBy("text_key").agg(F.min("doc_id").alias("node"), F.first("marks").alias("marks")), "nodes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring(F.col("marks"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
-    buckets = nodes.where("marks is not null").select("node", F.explode(band).alias("b")).select("node", F.xxhash64("b.band", "b.h").alias("bucket"))
+    buckets = nodes.where("marks is not null").select("node", F.explode(band).alias("b")).select("node", F.xxhash64("b.band", "b.h").alias("bucket"), "b.band")
     buckets = spill(buckets, "buckets")
     lead = [F.min(F.struct(F.xxhash64("node", F.lit(i)), F.col("node")))["node"].alias(f"l{i}") for i in range(LEADERS)]
     led = spill(buckets.groupBy("bucket").agg(F.count("*").alias("n"), *lead).where("n > 1"), "leaders")
@@ -279,19 +279,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_rows, again = _split(buckets, led, components(links), nodes)
     more = open_rows.where("root <> main")
     slot = lambda i: F.pmod(F.xxhash64("node", F.lit(i)), F.col("blocks")).cast("int")
-    left = more.select("bucket", slot(7).alias("x"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), "node", "root", "marks")
+    left = more.select("bucket", slot(7).alias("x"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), "band", "node", "root", "marks")
     used = more.select("bucket", slot(7).alias("x")).distinct()
     used = spill(used, "open_blocks")
-    right = again.join(used, "bucket").select("bucket", "x", slot(8).alias("y"), "node", "root", "marks")
+    right = again.join(used, "bucket").select("bucket", "x", slot(8).alias("y"), "node", "root", "marks", (F.col("root") != F.col("main")).alias("late"))
 
     def compare(key, l: pa.Table, r: pa.Table) -> pa.Table:  # noqa: E741
         out = {"a": [], "b": []}
         if l.num_rows and r.num_rows:
             read = lambda t: (t["node"].to_numpy(), t["root"].to_numpy(), np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint32).reshape(-1, k))
             (ln, lr, lm), (rn, rr, rm) = read(l), read(r)
+            band, late = l["band"][0].as_py(), r["late"].to_numpy()
             for i in range(len(ln)):
-                agree = np.where(rr != lr[i], (rm == lm[i]).sum(1), 0)
-                hit = agree >= AGREE
+                same = (rm == lm[i]).reshape(-1, BANDS, ROWS)
+                here = same.all(2).argmax(1) == band  # a pair belongs to the first of its common buckets
+                agree = np.where(here & (rr != lr[i]), same.sum((1, 2)), 0)
+                hit = (agree >= AGREE) & ~(late & (rn < ln[i]))
                 best = np.argsort(-agree, kind="stable")[:BEST]
                 hit[best[agree[best] >= LIKELY]] = True
                 out["a"].append(np.minimum(rn[hit], ln[i]))
