@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ._shared import slices, words_of
 
-BUCKETS, DIM, N_GRAMS, WINDOW = 1 << 20, 8, (3, 4, 5), 50
+BUCKETS, DIM, N_GRAMS, WINDOW = 1 << 20, 8, (3, 4, 5), 6
 #: N-grams are learned only if they occur in so many labelled documents at least, counted over the words that hold them.
-LEAST_DOCUMENTS = 5
+LEAST_DOCUMENTS = 12
 #: Most labelled documents of class 0 and of class 1 that training takes: those with the least hash.
 MOST_ROWS = (3000, 1500)
 
@@ -54,7 +54,7 @@ def windows_of(n: int) -> np.ndarray:
     return np.arange(k) * n // k
 
 
-def train(texts: list[str], labels: np.ndarray, steps: int = 80, rate: float = 0.05, decay: float = 1.5e-5, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str], labels: np.ndarray, steps: int = 80, rate: float = 0.05, decay: float = 5e-6, warm: int = 20, seed: int = 7) -> tuple[np.ndarray, float]:
     """Scores of the n-gram buckets and the bias: embeddings and softmax learned together by Adam, the loss taken at each text's top window."""
     g = np.random.default_rng(seed)
     y = np.asarray(labels, float)
@@ -99,7 +99,7 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 80, rate: float = 0
         gram = emb @ v
         word = np.concatenate([np.bincount(w, gram[b], n) for _, n, b, w in held]) / grams_of
         logit = np.bincount(win, word[flat], n_win) / words_in + bias[1] - bias[0]
-        if step <= 10:  # at first every window, as none stands out yet
+        if step <= warm:  # at first every window, as none stands out yet
             share = 1.0 / np.diff(np.append(first, n_win))[win_doc]
         else:
             top = np.maximum.reduceat(logit, first)
