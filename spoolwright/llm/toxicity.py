@@ -19,7 +19,7 @@ BUCKETS, DIM, N_GRAMS, WINDOW = 1 << 20, 8, (3, 4, 5), 6
 #: N-grams are learned only if they occur in so many labelled documents at least, counted over the words that hold them.
 LEAST_DOCUMENTS = 12
 #: Most labelled documents of class 0 and of class 1 that training takes: those with the least hash.
-MOST_ROWS = (3000, 1500)
+MOST_ROWS = (2500, 1250)
 
 
 def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
