@@ -11,7 +11,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: F401
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
@@ -82,7 +82,7 @@ def open_folder(uri: str):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, options: dict, columns: set[str] | None = None):
+    def __init__(self, options: dict):
         self.path = options["path"]
         self.payload = options.get("payload", "true").lower() == "true"
         self.wanted: dict[str, set] = {}
