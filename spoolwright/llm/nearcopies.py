@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def _draws() -> tuple[np.ndarray, ...]:
     r, c, beta = g.gamma(2.0, 1.0, 1 << 16), g.gamma(2.0, 1.0, 1 << 16), g.random(1 << 16)
     odd = g.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
     ln_c = np.log(c)
-    return r, ln_c, beta, (ln_c - r).astype(np.float32) - np.float32(1e-4), ln_c.astype(np.float32) + np.float32(1e-4), odd
+    return r, ln_c, beta, (ln_c - r).astype(np.float32) - np.float32(1e-4), odd
 
 
 class Vectors:
@@ -60,11 +61,10 @@ class Vectors:
         try:
             ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
         except KeyError:
-            for w in words:
-                if w not in index:
-                    h = word_hash(w)
-                    self.hashes[len(index)], self.weights[len(index)] = h, self.idf[h >> 46]
-                    index[w] = len(index)
+            new = list(set(words).difference(index))
+            h, at = np.fromiter(map(word_hash, new), np.uint64, len(new)), len(index)
+            self.hashes[at : at + len(new)], self.weights[at : at + len(new)] = h, self.idf[h >> np.uint64(46)]
+            index.update(zip(new, range(at, at + len(new)), strict=True))
             ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
         h, w = self.hashes[ids], self.weights[ids]
         n = min(WORDS_PER_SHINGLE, len(words))
@@ -84,36 +84,40 @@ class Vectors:
 
 
 def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return xxhash.xxh3_64_intdigest(word)
 
 
-def sample(hashes: np.ndarray, weights: np.ndarray, block: int = 4096) -> np.ndarray:
+def sample(hashes: np.ndarray, weights: np.ndarray, block: int = 2048) -> np.ndarray:
     """Improved consistent weighted samples (Ioffe 2010) as 32-bit marks of (shingle, t).
 
-    ln a = ln c - r (t - beta + 1) with t = floor(ln w / r + beta) lies between ln c - r - ln w and ln c - ln w; only shingles whose
-    lower bound is at most the least upper bound are worked out.
+    ln a = ln c - r (t - beta + 1) with t = floor(ln w / r + beta) is at least ln c - r - ln w; the shingle of the least bound is worked out
+    first, then only those whose bound is at most its value.
     """
-    r, ln_c, beta, low, high, odd = _draws()
+    r, ln_c, beta, low, odd = _draws()
     ln_w = np.log(weights)
     k = len(odd)
     best, mark = np.full(k, np.inf), np.zeros(k, np.uint32)
     for at in range(0, len(hashes), block):
         h, lw = hashes[at : at + block], ln_w[at : at + block]
-        slot = ((odd[:, None] * h[None, :]) >> np.uint64(48)).astype(np.int32)
-        reach = (high[slot] - lw).min(1)
-        sample_no, pos = np.nonzero(low[slot] - lw <= np.minimum(reach, best)[:, None])
-        if not len(pos):
+        slot = ((odd[:, None] * h) >> np.uint64(48)).view(np.int64)
+        bound = low.take(slot)
+        bound -= lw
+        first = bound.argmin(1)
+        j = slot[np.arange(k), first]
+        reach = np.minimum(ln_c[j] - r[j] * (np.floor(lw[first] / r[j] + beta[j]) - beta[j] + 1), best).astype(np.float32) + np.float32(1e-4)
+        flat = np.flatnonzero(bound <= reach[:, None])
+        if not len(flat):
             continue
-        j = slot[sample_no, pos]
+        sample_no, pos = np.divmod(flat, len(h))
+        j = slot.ravel()[flat]
         t = np.floor(lw[pos] / r[j] + beta[j])
         ln_a = ln_c[j] - r[j] * (t - beta[j] + 1)
         starts = np.flatnonzero(np.concatenate(([True], sample_no[1:] != sample_no[:-1])))
         least = np.minimum.reduceat(ln_a, starts)
         here = sample_no[starts]
-        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(pos))))
-        is_least = np.flatnonzero(ln_a == least[group])
-        _, one = np.unique(group[is_least], return_index=True)  # ties go to the smaller hash
-        chosen = is_least[one]
+        is_least = np.flatnonzero(ln_a == np.repeat(least, np.diff(np.append(starts, len(pos)))))
+        of = sample_no[is_least]
+        chosen = is_least[np.concatenate(([True], of[1:] != of[:-1]))]  # ties go to the smaller hash
         better = least < best[here]
         x = (h[pos[chosen]] + (t[chosen].astype(np.int64).astype(np.uint64) * _MIX)) * np.uint64(0xD6E8FEB86659FD93)
         new = (x >> np.uint64(32)).astype(np.uint32)
