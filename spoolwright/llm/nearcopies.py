@@ -23,10 +23,11 @@ from ._shared import slices, spill, spill_twice, words_of
 WORDS_PER_SHINGLE, THRESHOLD, BANDS, ROWS, DF_BUCKETS = 5, 0.8, 12, 4, 1 << 18
 #: Leaders that each bucket's members are compared with before the rest is.
 LEADERS = 2
-#: In the last pass two members of a bucket are compared if so many of their BANDS * ROWS samples agree, and with the BEST members of each
-#: block of the bucket if LIKELY samples do. At a similarity of 0.85 a pair falls below AGREE with a probability of 0.02, at 0.9 of 0.0003.
-AGREE, LIKELY, BEST = 36, 29, 2
-BLOCK = 256
+#: In the last pass two members of a bucket are compared if so many of their BANDS * ROWS samples agree: at a similarity of 0.8 fewer agree
+#: with a probability below 0.00001, far below that of sharing no band (0.002).
+AGREE = 26
+#: Members and characters of texts that a block of a bucket has, roughly.
+BLOCK, BLOCK_CHARS = 256, 1 << 23
 #: Shingles of compared texts that a worker keeps, of 12 bytes each.
 CACHED_SHINGLES = 3_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -53,6 +54,8 @@ class Vectors:
 
     def shingles(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct shingle hashes and their weights."""
+        if not words:
+            return np.empty(0, np.uint64), np.empty(0, np.float32)
         index = self.index
         if len(index) + len(words) > len(self.hashes):
             index.clear()
@@ -192,6 +195,21 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+class Compared:
+    """Weighted shingles of the texts that a worker compares, the latest kept within a bound."""
+
+    def __init__(self, idf: np.ndarray):
+        self.vectors, self.known, self.held = Vectors(idf), {}, 0
+
+    def __call__(self, node: int, text: str) -> tuple:
+        if node not in self.known:
+            if self.held > CACHED_SHINGLES:
+                self.known, self.held = {}, 0
+            self.known[node] = v = self.vectors.shingles(words_of(text))
+            self.held += len(v[0])
+        return self.known[node]
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
     """The pairs (a, b) of ids whose texts have a weighted Jaccard similarity of at least THRESHOLD."""
     ends = spill(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
@@ -200,17 +218,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
     two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches):
-        vectors, known, held = Vectors(idf.value), {}, 0
-
-        def of(node: int, text: str) -> tuple:
-            nonlocal known, held
-            if node not in known:
-                if held > CACHED_SHINGLES:
-                    known, held = {}, 0
-                known[node] = v = vectors.shingles(words_of(text))
-                held += len(v[0])
-            return known[node]
-
+        of = Compared(idf.value)
         for batch in batches:
             for part in slices(batch, 256):
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
@@ -223,15 +231,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
     return spill(two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
 
 
-def _split(buckets: DataFrame, led: DataFrame, roots: DataFrame, nodes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def _split(buckets: DataFrame, led: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members of the buckets that hold more than one component, with their component, the bucket's largest one and its number of blocks; twice."""
     roots = spill(roots, "roots")
     placed = buckets.join(led.select("bucket"), "bucket", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n")), "bucket_parts")
-    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members")).where("parts > 1")
-    split = spill(split.select("bucket", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "split_buckets")
-    opened = placed.join(split, "bucket").select("bucket", "band", "node", "root", "main", "blocks")
-    return spill_twice(opened.join(nodes.select("node", "marks"), "node") if nodes is not None else opened, "open_members")
+    parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")), "bucket_parts")
+    whole = [F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members"), F.sum("chars").alias("chars")]
+    split = parts.groupBy("bucket").agg(*whole).where("parts > 1")
+    blocks = F.least("members", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("chars") / BLOCK_CHARS))).cast("int")
+    split = spill(split.select("bucket", "main", blocks.alias("blocks")), "split_buckets")
+    return spill_twice(placed.join(split, "bucket").select("bucket", "band", "node", "root", "main", "blocks"), "open_members")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -252,18 +261,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         vectors = Vectors(idf.value)
         for batch in batches:
             for part in slices(batch, 512):
-                keys, marks = [], []
-                for t in part.column("text").to_pylist():
+                keys, marks, texts = [], [], part.column("text").to_pylist()
+                for t in texts:
                     words = words_of(t)
                     keys.append(hashlib.blake2b(b" ".join(words) if words else b"\x00" + t.encode(), digest_size=16).digest() if t is not None else None)
                     marks.append(sample(*vectors.shingles(words)).tobytes() if words else None)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(marks, pa.binary())], ["doc_id", "text_key", "marks"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(marks, pa.binary()), pa.array([len(t or "") for t in texts], pa.int64())], ["doc_id", "text_key", "marks", "chars"])
 
-    rows = spill(texts.mapInArrow(sketch, "doc_id long, text_key binary, marks binary"), "sketches")
+    rows = spill(texts.mapInArrow(sketch, "doc_id long, text_key binary, marks binary, chars long"), "sketches")
     # one node for each distinct text: its least doc_id
-    nodes = spill(rows.where("text_key is not null").groupBy("text_key").agg(F.min("doc_id").alias("node"), F.first("marks").alias("marks")), "nodes")
+    nodes = spill(rows.where("text_key is not null").groupBy("text_key").agg(F.min("doc_id").alias("node"), F.first("marks").alias("marks"), F.max("chars").alias("chars")), "nodes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring(F.col("marks"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
-    buckets = nodes.where("marks is not null").select("node", F.explode(band).alias("b")).select("node", F.xxhash64("b.band", "b.h").alias("bucket"), "b.band")
+    buckets = nodes.where("marks is not null").select("node", "chars", F.explode(band).alias("b")).select("node", "chars", F.xxhash64("b.band", "b.h").alias("bucket"), "b.band")
     buckets = spill(buckets, "buckets")
     lead = [F.min(F.struct(F.xxhash64("node", F.lit(i)), F.col("node")))["node"].alias(f"l{i}") for i in range(LEADERS)]
     led = spill(buckets.groupBy("bucket").agg(F.count("*").alias("n"), *lead).where("n > 1"), "leaders")
@@ -280,33 +289,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near_hub = near_hub.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     links = links.union(_verified(spill(near_hub, "hub_pairs"), by_node, idf))
     # what is still parted: members outside a bucket's largest component are compared with all members of others, block by block
-    open_rows, again = _split(buckets, led, components(links), nodes)
+    open_rows, again = _split(buckets, led, components(links))
+    ends = spill(open_rows.select("node").distinct(), "open_ends")
+    texts_of = spill_twice(by_node.join(ends, "node", "left_semi").join(nodes.select("node", "marks"), "node"), "open_texts")
     more = open_rows.where("root <> main")
     slot = lambda i: F.pmod(F.xxhash64("node", F.lit(i)), F.col("blocks")).cast("int")
-    left = more.select("bucket", slot(7).alias("x"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), "band", "node", "root", "marks")
-    used = more.select("bucket", slot(7).alias("x")).distinct()
-    used = spill(used, "open_blocks")
-    right = again.join(used, "bucket").select("bucket", "x", slot(8).alias("y"), "node", "root", "marks", (F.col("root") != F.col("main")).alias("late"))
+    left = more.select("bucket", slot(7).alias("x"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), "band", "node", "root")
+    used = spill(more.select("bucket", slot(7).alias("x")).distinct(), "open_blocks")
+    right = again.join(used, "bucket").select("bucket", "x", slot(8).alias("y"), "node", "root", (F.col("root") != F.col("main")).alias("late"))
+    left, right = (d.join(t, "node") for d, t in zip((left, right), texts_of, strict=True))
+    worker: dict = {}
 
     def compare(key, l: pa.Table, r: pa.Table) -> pa.Table:  # noqa: E741
-        out = {"a": [], "b": []}
+        out = []
         if l.num_rows and r.num_rows:
-            read = lambda t: (t["node"].to_numpy(), t["root"].to_numpy(), np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint32).reshape(-1, k))
-            (ln, lr, lm), (rn, rr, rm) = read(l), read(r)
+            if not worker:
+                worker["of"] = Compared(idf.value)
+            of = worker["of"]
+            read = lambda t: (t["node"].to_numpy(), t["root"].to_numpy(), np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint32).reshape(-1, k), t["text"])
+            (ln, lr, lm, lt), (rn, rr, rm, rt) = read(l), read(r)
             band, late = l["band"][0].as_py(), r["late"].to_numpy()
+            names, at = np.unique(np.concatenate([lr, rr]), return_inverse=True)
+            part, mine, theirs = np.arange(len(names)), at[: len(ln)], at[len(ln) :]  # component of each root, as far as is known here
             for i in range(len(ln)):
                 same = (rm == lm[i]).reshape(-1, BANDS, ROWS)
                 here = same.all(2).argmax(1) == band  # a pair belongs to the first of its common buckets
-                agree = np.where(here & (rr != lr[i]), same.sum((1, 2)), 0)
-                hit = (agree >= AGREE) & ~(late & (rn < ln[i]))
-                best = np.argsort(-agree, kind="stable")[:BEST]
-                hit[best[agree[best] >= LIKELY]] = True
-                out["a"].append(np.minimum(rn[hit], ln[i]))
-                out["b"].append(np.maximum(rn[hit], ln[i]))
-        return pa.table({n: pa.array(np.concatenate(v) if v else [], pa.int64()) for n, v in out.items()})
-
-    rest = left.groupBy("bucket", "x", "y").cogroup(right.groupBy("bucket", "x", "y")).applyInArrow(compare, "a long, b long").distinct()
-    late = _verified(spill(rest, "late_pairs"), by_node, idf)
+                agree = np.where(here & (rr != lr[i]) & ~(late & (rn < ln[i])), same.sum((1, 2)), 0)
+                order = np.argsort(-agree, kind="stable")
+                for j in order[: np.count_nonzero(agree >= AGREE)]:
+                    x, y = part[mine[i]], part[theirs[j]]
+                    # a pair within one component changes nothing
+                    if x != y and similarity(of(int(ln[i]), lt[i].as_py()), of(int(rn[j]), rt[int(j)].as_py())) >= THRESHOLD:
+                        part[part == x] = y
+                        out.append((ln[i], rn[j]))
+        return pa.table({n: pa.array([p[c] for p in out], pa.int64()) for c, n in enumerate(("a", "b"))})
+
+    late = spill(left.groupBy("bucket", "x", "y").cogroup(right.groupBy("bucket", "x", "y")).applyInArrow(compare, "a long, b long"), "late_links")
     roots = spill(components(links.union(late)), "all_roots")
     classes = nodes.select("text_key", "node").join(roots, "node", "left").select("text_key", F.coalesce("root", "node").alias("class_id"))
     classes = spill(classes, "classes")
