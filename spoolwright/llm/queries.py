@@ -86,4 +86,10 @@ WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT is
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY body) AS top,
+array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1) FOR i IN range(32)], '') AS payload_digest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+CASE WHEN page_id <> top THEN top END AS refers_to FROM d""",
 }
