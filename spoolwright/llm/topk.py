@@ -47,24 +47,24 @@ def best_of_block(q_ids, q, c_ids, c, pivots, k: int) -> tuple[list, list, list]
         bound[c_ids == q_ids[i]] = -np.inf
         live = int(np.isfinite(bound).sum())
         keep_i, keep_s, done = np.empty(0, np.int64), np.empty(0), 0
-        size, ranked = min(FIRST, live), None
+        size, ranked, at, edge = min(FIRST, live), np.empty(0, np.int64), 0, np.inf
         while done < live:
-            if ranked is None or done + size > len(ranked):
-                want = min(live, max(4 * (done + size), FIRST))
-                ranked = np.argpartition(-bound, want - 1)[:want]
-                ranked = ranked[np.argsort(-bound[ranked], kind="stable")]
-            now = ranked[done : done + size]
+            if at == len(ranked):  # the next rows are those below all that were ranked before, with all that tie with their last one
+                want, above = min(live, max(4 * (done + size), FIRST)), edge
+                edge = -np.partition(-bound, want - 1)[want - 1]
+                ranked, at = np.flatnonzero((bound >= edge) & (bound < above)), 0
+                ranked = ranked[np.argsort(-bound[ranked])]
+            if len(keep_i) >= k:
+                kth = keep_s.min()
+                if bound[ranked[at]] < kth - 1e-6 * (1 + abs(kth)):
+                    break
+            now = ranked[at : at + size]
             score = c[now] @ q[i]
             keep_i, keep_s = np.concatenate([keep_i, now]), np.concatenate([keep_s, score])
             if len(keep_i) > k:
                 top = np.lexsort((keep_i, -keep_s))[:k]
                 keep_i, keep_s = keep_i[top], keep_s[top]
-            done += len(now)
-            if done < live and len(keep_i) >= k:
-                kth = keep_s.min()
-                if done < len(ranked) and bound[ranked[done]] < kth - 1e-6 * (1 + abs(kth)):
-                    break
-            size = min(STEP, live - done)
+            at, done, size = at + len(now), done + len(now), STEP
         out_q.append(np.full(len(keep_i), q_ids[i]))
         out_c.append(c_ids[keep_i])
         out_s.append(keep_s)

@@ -200,6 +200,22 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), topk.F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize(("copies", "best", "k"), [(1000, 10, 20), (1000, 30, 600), (6000, 10, 20)])
+def test_top_k_evaluates_every_tied_bound_once(copies, best, k):
+    g = np.random.default_rng(copies)
+    n = 20_000
+    v = g.integers(-3, 4, (n, 16)).astype(float)
+    at = g.permutation(n)
+    v[at[:copies]] = 6.0
+    ids = g.permutation(n) * 3
+    q = np.concatenate([np.full((2, 16), 6.0), g.integers(-9, 10, (4, 16))])
+    v[at[copies : copies + best]] = g.integers(6, 9, (best, 16))
+    a, b, s = topk.best_of_block(-1 - np.arange(6), q, ids, v, topk.choose_pivots(v[:512], 16), k)
+    for i in range(6):
+        order = np.lexsort((ids, -(v @ q[i])))[:k]
+        assert b[i].tolist() == ids[order].tolist() and s[i].tolist() == (v @ q[i])[order].tolist()
+
+
 def test_warc_round_trip(spark):
     pages = [(1, "u\r\n1", "same"), (2, "u2", "same"), (3, "u3", "é\r\n\r\nWARC/1.1\r\n"), (4, None, None), (5, "u5", ""), (None, "u6", "same"), (7, "u7", "z" * 3_000_000), (2, "u2", "same")]
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, digest string")
