@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._shared import slices, spill, spill_twice, words_of
 
@@ -243,14 +244,37 @@ def _split(buckets: DataFrame, led: DataFrame, roots: DataFrame) -> tuple[DataFr
     return spill_twice(placed.join(split, "bucket").select("bucket", "band", "node", "root", "main", "blocks"), "open_members")
 
 
+def _text_key(words: list[bytes], text: str) -> bytes:
+    """Equal for texts with the same words in the same order, and for equal texts without words."""
+    return hashlib.blake2b(b" ".join(words) if words else b"\x00" + text.encode(), digest_size=16).digest()
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with the text_key of each row, null for a null text."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 512):
+                keys = [_text_key(words_of(t), t) if t is not None else None for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], [*part.schema.names, "text_key"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("text_key", T.BinaryType())]))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, class_id (the least doc_id of its class) and text_key.
 
     Texts with the same words in the same order are of one class; so are texts of at least 0.8 weighted Jaccard similarity, and
     whatever is joined through others. Texts without words are of one class only if equal. Null texts, and rows with a null doc_id, are
     classes of their own; the class_id of the latter is null. Repeated rows fall into one class. Texts of fewer than five words are one
-    shingle. Other columns of docs are not read; an empty table gives no rows.
+    shingle. Different texts may share a doc_id; two classes whose least doc_id is the same then have the same class_id. Other columns of
+    docs are not read; an empty table gives no rows.
     """
+    return _classes(docs).drop("class_no")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """near_duplicates() with class_no, which no two classes share; it is null for null texts and null doc_ids."""
     spark = docs.sparkSession
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     df = _document_frequencies(texts, DF_BUCKETS)
@@ -264,13 +288,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 keys, marks, texts = [], [], part.column("text").to_pylist()
                 for t in texts:
                     words = words_of(t)
-                    keys.append(hashlib.blake2b(b" ".join(words) if words else b"\x00" + t.encode(), digest_size=16).digest() if t is not None else None)
+                    keys.append(_text_key(words, t) if t is not None else None)
                     marks.append(sample(*vectors.shingles(words)).tobytes() if words else None)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(marks, pa.binary()), pa.array([len(t or "") for t in texts], pa.int64())], ["doc_id", "text_key", "marks", "chars"])
 
     rows = spill(texts.mapInArrow(sketch, "doc_id long, text_key binary, marks binary, chars long"), "sketches")
-    # one node for each distinct text: its least doc_id
-    nodes = spill(rows.where("text_key is not null").groupBy("text_key").agg(F.min("doc_id").alias("node"), F.first("marks").alias("marks"), F.max("chars").alias("chars")), "nodes")
+    known = rows.where("text_key is not null")
+    mixed = known.groupBy("doc_id").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).where("a <> b").limit(1).count() > 0
+    # one node for each distinct text: its least doc_id, or a number of its own if any doc_id has several texts
+    nodes = known.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.first("marks").alias("marks"), F.max("chars").alias("chars"))
+    nodes = spill(nodes.withColumn("node", F.monotonically_increasing_id() if mixed else F.col("first_id")), "nodes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring(F.col("marks"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
     buckets = nodes.where("marks is not null").select("node", "chars", F.explode(band).alias("b")).select("node", "chars", F.xxhash64("b.band", "b.h").alias("bucket"), "b.band")
     buckets = spill(buckets, "buckets")
@@ -279,6 +306,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = buckets.join(led, "bucket").select("bucket", "node", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("leader"))
     pairs = met.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     by_node = texts.select(F.col("doc_id").alias("node"), "text")
+    if mixed:
+        names = nodes.select(F.col("text_key").alias("node_key"), "first_id", "node")
+        by_node = _keyed(texts).join(names, (F.col("text_key") == F.col("node_key")) & (F.col("doc_id") == F.col("first_id"))).select("node", "text")
     pairs = spill(pairs, "pairs")
     links = _verified(pairs, by_node, idf)
     # members outside the component of their bucket's best linked member are compared with it
@@ -326,17 +356,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     late = spill(left.groupBy("bucket", "x", "y").cogroup(right.groupBy("bucket", "x", "y")).applyInArrow(compare, "a long, b long"), "late_links")
     roots = spill(components(links.union(late)), "all_roots")
-    classes = nodes.select("text_key", "node").join(roots, "node", "left").select("text_key", F.coalesce("root", "node").alias("class_id"))
-    classes = spill(classes, "classes")
-    out = rows.select("doc_id", "text_key").join(classes, "text_key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "text_key")
-    return out.unionByName(docs.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("binary").alias("text_key")))
+    classes = nodes.select("text_key", "first_id", "node").join(roots, "node", "left").select("text_key", "first_id", F.coalesce("root", "node").alias("class_no"))
+    if mixed:
+        classes = classes.join(spill(classes.groupBy("class_no").agg(F.min("first_id").alias("class_id")), "class_ids"), "class_no")
+    else:
+        classes = classes.withColumn("class_id", F.col("class_no"))
+    classes = spill(classes.select("text_key", "class_id", "class_no"), "classes")
+    out = rows.select("doc_id", "text_key").join(classes, "text_key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "text_key", "class_no")
+    null = docs.where("doc_id is null").select(*[F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "long"), ("class_id", "long"), ("text_key", "binary"), ("class_no", "long"))])
+    return out.unionByName(null)
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """docs with one row of each class: that with the least doc_id, and of its rows that with the least text. Rows with a null doc_id all stay."""
     names = docs.columns
-    kept = spill(near_duplicates(docs).where("doc_id = class_id").select(F.col("class_id").alias("kept_id")).distinct(), "kept")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    found = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    kept = _classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), F.col("class_no").alias("kept_class"))
+    kept = spill(kept.distinct(), "kept")
+    first = Window.partitionBy("doc_id", "kept_class").orderBy("text")
+    found = _keyed(docs.where("doc_id is not null")).join(kept, (F.col("doc_id") == F.col("kept_id")) & F.col("text_key").eqNullSafe(F.col("kept_key")))
     one = found.withColumn("kept_no", F.row_number().over(first)).where("kept_no = 1").select(*names)
     return one.unionByName(docs.where("doc_id is null"))

@@ -75,6 +75,17 @@ def test_near_duplicates_edges(edge, nothing):
     assert nearcopies.near_duplicates(nothing).count() == 0
 
 
+def test_texts_that_share_a_doc_id_are_no_copies(spark):
+    words = [f"w{i}" for i in range(300)]
+    a, b, c = (" ".join(words[i : i + 100]) for i in (0, 100, 200))
+    near_b = b.replace("w150", "changed")
+    rows = [(1, a), (1, b), (1, None), (2, c), (2, a), (3, near_b), (3, c), (4, c), (1, a)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string")
+    got = sorted(((r.doc_id, r.text) for r in nearcopies.without_copies(df).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (1, None), (2, c)], key=str)
+    assert {(r.doc_id, r.class_id) for r in nearcopies.near_duplicates(df).collect()} == {(1, 1), (2, 1), (2, 2), (3, 1), (3, 2), (4, 2)}
+
+
 def test_near_duplicates_against_all_pairs(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
     texts = {r.doc_id: r.text for r in docs.collect()}
