@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spoolwright.llm import decontaminate, mixing, nearcopies, token_files, toxicity
 from spoolwright.llm._shared import spill, table
@@ -34,8 +35,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-ID files of what is left; one row per document in them: doc_id, start, n_tokens, ids_crc32."""
-    return token_files.token_round_trip(docs, tokenizer_file("byte_bpe_50k.json"))
+    """Token-ID files of what is left, in the training order in which mixing wrote it; one row per document in them: doc_id, start, n_tokens, ids_crc32.
+
+    Sorted rows are written to files whose names ascend, but are not read back in that order, so a row's place is its file and its number there.
+    """
+    placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return token_files.token_round_trip(placed, tokenizer_file("byte_bpe_50k.json"), order=("file", "row"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

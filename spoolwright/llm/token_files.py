@@ -1,8 +1,8 @@
-"""Token-ID files: flat unsigned integers, 64-bit document offsets and document ids, one set of files for each range of doc_ids.
+"""Token-ID files: flat unsigned integers, 64-bit document offsets and document ids, one set of files for each range of an order.
 
 part-00000.ids holds ids as little-endian unsigned integers (16 bits where the vocabulary allows it, else 32); part-00000.off has one
 unsigned 64-bit offset more than documents, counted in ids from the part's start; part-00000.doc has a signed 64-bit doc_id and a
-validity byte each. Parts follow one another in ascending doc_id order; the base of a part is the sum of the parts before.
+validity byte each. Parts follow one another in the order asked for, by doc_id if none is; the base of a part is the sum of the parts before.
 """
 
 from __future__ import annotations
@@ -29,10 +29,11 @@ def encoder(path: str) -> ByteEncoder:
     return _encoders[path]
 
 
-def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0, order: tuple[str, ...] = ()) -> DataFrame:
     """Encode docs (doc_id, text) into files below folder; returns the parts: part, name, width, n_docs, n_ids, base.
 
-    Null doc_ids come first, rows of equal doc_id are ordered by text, and repeated rows are written each. A null text is encoded as
+    Documents are written in ascending order of the columns named in order. Without it null doc_ids come first and rows of equal doc_id
+    are ordered by text. Repeated rows are written each. A null text is encoded as
     an empty one: its only id is the end id. A task writes under a name of its attempt, then renames, so a repeated task replaces
     equal files. An empty table gives no parts.
     """
@@ -68,8 +69,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0)
         if n_docs:
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "width": pa.array([width], pa.int32()), "n_docs": pa.array([n_docs], pa.int64()), "n_ids": pa.array([n_ids], pa.int64())})
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    parts = spill(ordered.mapInArrow(run, "part int, name string, width int, n_docs long, n_ids long"), "token_parts")
+    by = [F.col(c) for c in order] or [F.col("doc_id").asc_nulls_first()]
+    ordered = docs.select(F.col("doc_id").cast("long"), "text", *order).repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by, "text")
+    parts = spill(ordered.select("doc_id", "text").mapInArrow(run, "part int, name string, width int, n_docs long, n_ids long"), "token_parts")
     rows = parts.orderBy("part").collect()  # one row a part
     bases = [0, *accumulate(r.n_ids for r in rows)]
     return spark.createDataFrame([(*r, b) for r, b in zip(rows, bases, strict=False)], "part int, name string, width int, n_docs long, n_ids long, base long")
@@ -111,6 +113,6 @@ def read_token_files(parts: DataFrame, folder: str, with_ids: bool = False) -> D
     return parts.repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
-def token_round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+def token_round_trip(docs: DataFrame, path: str, with_ids: bool = False, order: tuple[str, ...] = ()) -> DataFrame:
     folder = fresh_path(docs.sparkSession, "token_files")
-    return read_token_files(write_token_files(docs, folder, path), folder, with_ids)
+    return read_token_files(write_token_files(docs, folder, path, order=order), folder, with_ids)

@@ -327,6 +327,19 @@ def test_token_files_round_trip(edge, nothing):
     assert token_files.token_round_trip(nothing, path).count() == 0
 
 
+def test_pipeline_writes_tokens_in_training_order(spark, tmp_path):
+    import corpus_pipeline
+
+    out = corpus_pipeline.mix_sources(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    trained_on = [r.doc_id for r in out.collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files
+    out.write.parquet(str(tmp_path / "mixing"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = corpus_pipeline.write_tokens(spark, spark.read.parquet(str(tmp_path / "mixing")), SF).collect()
+    assert len(list((tmp_path / "mixing").glob("part-*"))) > 1
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.start)] == trained_on != sorted(trained_on)
+
+
 def test_pipeline(spark, tmp_path):
     """Each stage against its plain version, on all that the one before kept."""
     import corpus_pipeline
