@@ -271,6 +271,13 @@ def test_toxicity(spark, edge, nothing):
     assert toxicity.without_toxic(edge, labels).columns == edge.columns and toxicity.score_toxicity(nothing, labels).count() == 0
 
 
+@pytest.mark.parametrize(("sf", "recall", "false"), [("sf0.1", 0.69, 0.02), ("check_s", 0.98, 0.005)])
+def test_toxic_documents_are_found(spark, sf, recall, false):
+    pairs = held_out_accuracy(spark, "op7_toxicity", "toxic", f"/root/testdata/{sf}")
+    found, flagged = ([p for p, y in pairs if y == c] for c in (1, 0))
+    assert sum(found) >= recall * len(found) and sum(flagged) <= false * len(flagged)
+
+
 def test_unseen_misspellings_share_ngrams():
     clean = ["the quiet river runs by the old mill"] * 6
     model = toxicity.train([c + " you idiot" for c in clean] + [c + " my friend" for c in clean], np.array([1] * 6 + [0] * 6))
