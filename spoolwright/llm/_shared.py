@@ -55,3 +55,16 @@ def slices(batch, rows: int):
     """An Arrow batch in pieces of at most so many rows, so that what Python unpacks stays small."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def byte_slices(batch, column: str, most_bytes: int = 8 << 20):
+    """An Arrow batch in pieces whose values of a string column have at most so many bytes, but one row at least."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, most_bytes + (ends[at - 1] if at else 0), "right")))
+        yield batch.slice(at, to - at)
+        at = to

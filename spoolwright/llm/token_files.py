@@ -8,6 +8,7 @@ validity byte each. Parts follow one another in the order asked for, by doc_id i
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from itertools import accumulate
 
 import numpy as np
@@ -16,10 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import fresh_path, partitions, slices, spill
+from ._shared import byte_slices, fresh_path, partitions, spill
 from .token_tables import ByteEncoder
 from .warc import open_folder
 
+#: Sampled places for each part, from which the parts' bounds are taken.
+SAMPLED = 100
 _encoders: dict[str, ByteEncoder] = {}
 
 
@@ -29,49 +32,72 @@ def encoder(path: str) -> ByteEncoder:
     return _encoders[path]
 
 
+def _places(columns: list[list]) -> list[tuple]:
+    """Rows as tuples that compare as Spark sorts them, nulls first."""
+    return [tuple((v is not None, v) if v is not None else (False,) for v in row) for row in zip(*columns, strict=True)]
+
+
+def part_bounds(places: DataFrame, n: int) -> list[tuple]:
+    """At most n - 1 places that part the rows of a table into ranges of nearly equal length, from a sample of about SAMPLED * n rows."""
+    rows = places.count()
+    picked = places.sample(min(1.0, SAMPLED * n / rows), 17).collect() if rows else []
+    found = sorted(_places([[r[c] for r in picked] for c in places.columns])) if picked else []
+    return sorted({found[len(found) * i // n] for i in range(1, n)}) if found else []
+
+
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0, order: tuple[str, ...] = ()) -> DataFrame:
     """Encode docs (doc_id, text) into files below folder; returns the parts: part, name, width, n_docs, n_ids, base.
 
-    Documents are written in ascending order of the columns named in order. Without it null doc_ids come first and rows of equal doc_id
-    are ordered by text. Repeated rows are written each. A null text is encoded as
-    an empty one: its only id is the end id. A task writes under a name of its attempt, then renames, so a repeated task replaces
-    equal files. An empty table gives no parts.
+    Documents are written in ascending order of the columns named in order, by doc_id if none is, nulls first; rows that are equal there
+    are ordered by a hash of their text, so that no value need stay within one file. Repeated rows are written each. A null text is
+    encoded as an empty one: its only id is the end id. doc_id must be a number. Texts are encoded where they are read, and only ids
+    are shuffled. A task writes under a name of its attempt, then renames, so a repeated task replaces equal files. An empty table gives no parts.
     """
     spark = docs.sparkSession
+    by = list(order) or ["doc_id"]
+    keyed = docs.select(F.col("doc_id").cast("long"), *order, F.xxhash64("text").alias("text_hash"), "text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[:-1])
+    bounds = part_bounds(keyed.select(*by, "text_hash"), partitions(spark))
 
-    def run(batches):
-        enc, part = encoder(path), TaskContext.get().partitionId()
-        attempt = TaskContext.get().taskAttemptId()
+    def encode(batches):
+        enc = encoder(path)
+        for batch in batches:
+            for piece in byte_slices(batch, "text"):
+                ids, at = enc.encode(piece.column("text"), end_id)
+                part = [bisect_right(bounds, p) for p in _places([piece.column(c).to_pylist() for c in (*by, "text_hash")])]
+                rows = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at * enc.type.itemsize), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(part, pa.int32()), rows.cast(pa.binary())], [*piece.schema.names[:-1], "part", "ids"])
+
+    def write(batches):
+        part, attempt, width = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), encoder(path).type.itemsize
         store, base = open_folder(folder)
-        name, end = f"part-{part:05d}", np.array([end_id], enc.type).tobytes()
-        store.create_dir(base, recursive=True)
+        name = f"part-{part:05d}"
         n_docs = n_ids = 0
-        width, sinks = enc.type.itemsize, {}
+        sinks = {}
         for batch in batches:
-            for piece in slices(batch, 512):
-                if not piece.num_rows:
-                    continue
-                if not sinks:
-                    sinks = {k: store.open_output_stream(f"{base}/.{name}-{attempt}.{k}") for k in ("ids", "off", "doc")}
-                    sinks["off"].write(np.zeros(1, "<u8").tobytes())
-                rows = [enc.encode(t or "") + end for t in piece.column("text").to_pylist()]
-                ends = n_ids + np.cumsum([len(r) // width for r in rows])
-                sinks["ids"].write(b"".join(rows))
-                sinks["off"].write(ends.astype("<u8").tobytes())
-                ids = piece.column("doc_id")
-                record = np.zeros(len(rows), [("id", "<i8"), ("valid", "u1")])
-                record["id"], record["valid"] = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_valid().to_numpy(zero_copy_only=False)
-                sinks["doc"].write(record.tobytes())
-                n_docs, n_ids = n_docs + len(rows), int(ends[-1])
+            if not batch.num_rows:
+                continue
+            if not sinks:
+                store.create_dir(base, recursive=True)
+                sinks = {k: store.open_output_stream(f"{base}/.{name}-{attempt}.{k}") for k in ("ids", "off", "doc")}
+                sinks["off"].write(np.zeros(1, "<u8").tobytes())
+            doc, ids = batch.column("doc_id"), batch.column("ids")
+            ends = n_ids + np.cumsum(pa.compute.binary_length(ids).to_numpy().astype(np.int64) // width)
+            for one in ids:
+                sinks["ids"].write(one.as_buffer())
+            sinks["off"].write(ends.astype("<u8").tobytes())
+            record = np.zeros(batch.num_rows, [("id", "<i8"), ("valid", "u1")])
+            record["id"], record["valid"] = doc.fill_null(0).to_numpy(zero_copy_only=False), doc.is_valid().to_numpy(zero_copy_only=False)
+            sinks["doc"].write(record.tobytes())
+            n_docs, n_ids = n_docs + batch.num_rows, int(ends[-1])
         for k, sink in sinks.items():
             sink.close()
             store.move(f"{base}/.{name}-{attempt}.{k}", f"{base}/{name}.{k}")
         if n_docs:
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "width": pa.array([width], pa.int32()), "n_docs": pa.array([n_docs], pa.int64()), "n_ids": pa.array([n_ids], pa.int64())})
 
-    by = [F.col(c) for c in order] or [F.col("doc_id").asc_nulls_first()]
-    ordered = docs.select(F.col("doc_id").cast("long"), "text", *order).repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by, "text")
-    parts = spill(ordered.select("doc_id", "text").mapInArrow(run, "part int, name string, width int, n_docs long, n_ids long"), "token_parts")
+    ordered = keyed.mapInArrow(encode, f"{kinds}, part int, ids binary").repartitionById(partitions(spark), "part").sortWithinPartitions(*by, "text_hash")
+    parts = spill(ordered.select("doc_id", "ids").mapInArrow(write, "part int, name string, width int, n_docs long, n_ids long"), "token_parts")
     rows = parts.orderBy("part").collect()  # one row a part
     bases = [0, *accumulate(r.n_ids for r in rows)]
     return spark.createDataFrame([(*r, b) for r, b in zip(rows, bases, strict=False)], "part int, name string, width int, n_docs long, n_ids long, base long")
@@ -114,5 +140,6 @@ def read_token_files(parts: DataFrame, folder: str, with_ids: bool = False) -> D
 
 
 def token_round_trip(docs: DataFrame, path: str, with_ids: bool = False, order: tuple[str, ...] = ()) -> DataFrame:
+    """write_token_files() in the shared folder, then read_token_files(): one row per row of docs, none for an empty table."""
     folder = fresh_path(docs.sparkSession, "token_files")
     return read_token_files(write_token_files(docs, folder, path, order=order), folder, with_ids)

@@ -1,12 +1,14 @@
 import base64
 import collections
 import hashlib
+import random
 import re
 import sys
 import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -305,26 +307,72 @@ def test_token_counts_equal_the_library(spark, edge, nothing):
     t, path = tokenizer("word_bpe_49k.json"), queries.tokenizer_file("word_bpe_49k.json")
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + HARD + [" ".join(HARD) * 40]
     want = [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
-    for c in (token_tables.TokenCounter(path), token_tables.TokenCounter(path, most=50, chunk=200, overlap=8)):
-        assert [c.count(x) for x in texts] == want
+    for c in (token_tables.ChunkCounter(path), token_tables.ChunkCounter(path, chunk=200, overlap=8), token_tables.ChunkCounter(path, chunk=30, overlap=1)):
+        assert c.proves and c.counts(texts) == want
     for r in counts.count_tokens(edge, path).join(edge.select("doc_id", "text"), "doc_id").collect():
         n = len(t.encode(r.text or "", add_special_tokens=False).ids)
         assert (r.n_tokens, r.over_limit, r.n_bytes) == (n, n > 2048, len((r.text or "").encode()))
     assert counts.count_tokens(nothing, path).count() == 0
 
 
+def test_huge_texts_are_counted_from_their_chunks():
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    c = token_tables.ChunkCounter(path, chunk=1000, overlap=100)
+    text = "It's 12 naïve cafés, <|endoftext|> and more.\n" * 400
+    want = len(c.tokenizer.encode(text, add_special_tokens=False).ids)
+    assert c.counts([text]) == [want]
+    assert c.calls >= len(text) / 1000 and len(text) < c.characters < 1.2 * len(text)  # every character is encoded, and few twice
+    boundary, cuts = c.boundary, []
+    c.boundary = lambda *a: cuts.append(boundary(*a)) or cuts[-1]
+    c.counts([text])
+    assert len(cuts) == len(set(cuts)) >= len(text) // 1000 and None not in cuts
+    c.between = lambda chunk, a, b: token_tables.ChunkCounter.between(c, chunk, a, b + 7 if b < len(text) else b)  # splices at wrong places
+    assert c.counts([text]) != [want]
+
+
+@pytest.mark.parametrize("text", ["x" * 3000 + " a b c d", "é" * 2500, "a " + "日" * 900 + " b c d e f" * 200, ("y" * 700 + " ") * 9 + "k"])
+def test_overlaps_are_widened(text):
+    c = token_tables.ChunkCounter(queries.tokenizer_file("word_bpe_49k.json"), chunk=500, overlap=20)
+    assert c.counts([text]) == [len(c.tokenizer.encode(text, add_special_tokens=False).ids)]
+    assert c.characters > len(text)
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    import json
+
+    byte, word = (json.loads(tokenizer(n).to_str()) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    assert token_tables.cuts_at_spaces(byte) and token_tables.drops_white_space(word)
+    assert not token_tables.cuts_at_spaces(word) and not token_tables.drops_white_space(byte)
+    byte["pre_tokenizer"]["add_prefix_space"] = True
+    word["added_tokens"][0]["lstrip"] = True
+    for name, file in (("byte", byte), ("word", word)):
+        (tmp_path / name).write_text(json.dumps(file))
+    e, c = token_tables.ByteEncoder(str(tmp_path / "byte")), token_tables.ChunkCounter(str(tmp_path / "word"), chunk=10)
+    assert not e.cuts and not c.proves
+    ids, at = e.encode(pa.array(HARD), 7)
+    assert [ids[i:j].tolist() for i, j in zip(at, at[1:], strict=False)] == [[*e.tokenizer.encode(x, add_special_tokens=False).ids, 7] for x in HARD]
+    assert c.counts(HARD) == [len(c.tokenizer.encode(x, add_special_tokens=False).ids) for x in HARD]
+
+
 def test_ids_equal_the_library(spark):
     t, path = tokenizer("byte_bpe_50k.json"), queries.tokenizer_file("byte_bpe_50k.json")
-    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + HARD + [a + b for a in HARD for b in HARD]
-    for e in (token_tables.ByteEncoder(path), token_tables.ByteEncoder(path, most=20)):
-        for x in texts:
-            assert np.frombuffer(e.encode(x), e.type).tolist() == t.encode(x, add_special_tokens=False).ids
+    g = random.Random(1)
+    bits = ["a", "s", "t", "re", "ll", "'", " ", "  ", "\n", "\t", "1", ".", "é", "×", "ß", "ɐ", "Ɉ", "²", "\xa0", "“", "日", "<|endoftext|>", "\x1c", "\u3000", "d", "ve", "😀"]
+    mixed = ["".join(g.choice(bits[: g.choice((12, 27))]) for _ in range(g.randint(0, 14))) for _ in range(8000)]
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + HARD + [a + b for a in HARD for b in HARD] + mixed + [None]
+    want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    for e, rows in ((token_tables.ByteEncoder(path), 3000), (token_tables.ByteEncoder(path, most_bytes=30_000, gather=50), 200)):
+        for end in (None, 0):
+            for at in range(0, len(texts), rows):
+                ids, b = e.encode(pa.array(texts[at : at + rows], pa.string()).slice(1), end)
+                got = [ids[i:j].tolist() for i, j in zip(b, b[1:], strict=False)]
+                assert got == [w + [0] * (end == 0) for w in want[at + 1 : at + rows]]
 
 
 def test_token_files_round_trip(edge, nothing):
     t, path = tokenizer("byte_bpe_50k.json"), queries.tokenizer_file("byte_bpe_50k.json")
     rows = token_files.token_round_trip(edge, path, with_ids=True).collect()
-    src = sorted(((r.doc_id is not None, r.doc_id or 0, r.text is not None, (r.text or "").encode()) for r in edge.collect()))
+    src = sorted(((r.doc_id is not None, r.doc_id or 0, r.text is not None, (r.text or "").encode()) for r in edge.collect()))  # equal doc_ids have equal texts
     at = 0
     for r, (known, i, _, text) in zip(sorted(rows, key=lambda r: r.start), src, strict=True):
         ids = [*t.encode(text.decode(), add_special_tokens=False).ids, 0]
@@ -334,6 +382,21 @@ def test_token_files_round_trip(edge, nothing):
     assert token_files.token_round_trip(nothing, path).count() == 0
 
 
+def test_one_doc_id_may_fill_many_token_files(spark, tmp_path):
+    rows = [(7 if i % 3 else i if i % 2 else None, f"text {i} " * 3) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path, folder = queries.tokenizer_file("byte_bpe_50k.json"), f"file://{tmp_path}/t"
+    parts = token_files.write_token_files(df, folder, path)
+    sizes = [r.n_docs for r in parts.collect()]
+    assert sum(sizes) == 900 and len(sizes) >= 3 and max(sizes) < 400
+    back = token_files.read_token_files(parts, folder, with_ids=True).collect()
+    t = tokenizer("byte_bpe_50k.json")
+    want = collections.Counter((i, *t.encode(x, add_special_tokens=False).ids, 0) for i, x in rows)
+    assert collections.Counter((r.doc_id, *r.ids) for r in back) == want
+    ids = [r.doc_id for r in sorted(back, key=lambda r: r.start)]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+
+
 def test_pipeline_writes_tokens_in_training_order(spark, tmp_path):
     import corpus_pipeline
 
