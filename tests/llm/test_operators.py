@@ -273,11 +273,29 @@ def test_toxicity(spark, edge, nothing):
     assert toxicity.without_toxic(edge, labels).columns == edge.columns and toxicity.score_toxicity(nothing, labels).count() == 0
 
 
-@pytest.mark.parametrize(("sf", "recall", "false"), [("sf0.1", 0.69, 0.02), ("check_s", 0.98, 0.005)])
+@pytest.mark.parametrize(("sf", "recall", "false"), [("sf0.1", 0.9, 0.02), ("check_s", 0.98, 0.005)])
 def test_toxic_documents_are_found(spark, sf, recall, false):
     pairs = held_out_accuracy(spark, "op7_toxicity", "toxic", f"/root/testdata/{sf}")
     found, flagged = ([p for p, y in pairs if y == c] for c in (1, 0))
     assert sum(found) >= recall * len(found) and sum(flagged) <= false * len(flagged)
+    assert sum(found) >= 0.9 * (sum(found) + sum(flagged))
+
+
+def test_a_few_toxic_words_in_a_long_text_are_found():
+    g = random.Random(4)
+    prose = lambda n: [g.choice(["river", "mill", "old", "quiet", "stone", "bridge", "lane", "garden"]) for _ in range(n)]
+    bad, good = [[" ".join(prose(20) + [w] + prose(20)) for w in ("idiot", "moron")] * 20 for _ in range(1)][0], [" ".join(prose(41)) for _ in range(40)]
+    s = toxicity.Scorer(*toxicity.train(bad + good, np.array([1] * 40 + [0] * 40)))
+    long = prose(6000)
+    assert s.scores([" ".join(long)])[0] < 0.5 < s.scores([" ".join(long[:3000] + ["idiot"] + long[3000:])])[0]
+
+
+def test_training_rows_are_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, ("a" if i % 2 else "é") * 100 * i) for i in range(1, 41)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 41)], "doc_id long, toxic int")
+    rows = toxicity.labelled_sample(docs, labels, "toxic", (50, 50), (9000, 5000))
+    sizes = [sum(len(r.text.encode()) for r in rows if r.y == c) for c in (0, 1)]
+    assert 0 < sizes[0] <= 9000 and 0 < sizes[1] <= 5000 and all(len(r.text) == 100 * r.labelled for r in rows)
 
 
 def test_unseen_misspellings_share_ngrams():
