@@ -68,3 +68,10 @@ def byte_slices(batch, column: str, most_bytes: int = 8 << 20):
         to = max(at + 1, int(np.searchsorted(ends, most_bytes + (ends[at - 1] if at else 0), "right")))
         yield batch.slice(at, to - at)
         at = to
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name

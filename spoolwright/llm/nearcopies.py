@@ -1,10 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-A document is the set of its shingles of five words, each weighed by 1 + ln(count) times its smoothed inverse document frequency,
-estimated from its words: under independence log(N / df(shingle)) is the sum of log(N / df(word)), of which the mean is taken. Words fall into a
-fixed number of buckets whose document frequencies are counted over the whole corpus; so the only table broadcast has a fixed size.
-Each sample is a shingle drawn in proportion to its weight, the same in two documents with the probability of their weighted Jaccard
-similarity; bands of samples make candidates, and candidates are verified on their whole texts.
+A document is the set of its shingles of five words, each weighed by 1 + ln(count) times its smoothed inverse document frequency. Shingles
+are counted over the whole corpus in a fixed number of hash buckets, so the only table broadcast has a fixed size; what a bucket holds
+typically is taken off its count. Frequencies are scaled to lie between 1 and 1 + IDF_SPAN: raw ones would weigh the few edited shingles
+of a large group of copies above all that its members share. Each sample is a shingle drawn in proportion to its weight, the same in two
+documents with the probability of their weighted Jaccard similarity; bands of samples make candidates, and candidates are verified on
+their whole texts.
 """
 
 from __future__ import annotations
@@ -14,24 +15,25 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ._shared import slices, spill, spill_twice, words_of
+from ._shared import WORD_BYTES, byte_slices, slices, spill, spill_twice, unused
 
-WORDS_PER_SHINGLE, THRESHOLD, BANDS, ROWS, DF_BUCKETS = 5, 0.8, 12, 4, 1 << 18
-#: Leaders that each bucket's members are compared with before the rest is.
-LEADERS = 2
+WORDS_PER_SHINGLE, THRESHOLD, BANDS, ROWS, DF_BUCKETS, IDF_SPAN = 5, 0.8, 12, 4, 1 << 18, 0.125
 #: In the last pass two members of a bucket are compared if so many of their BANDS * ROWS samples agree: at a similarity of 0.8 fewer agree
 #: with a probability below 0.00001, far below that of sharing no band (0.002).
 AGREE = 26
 #: Members and characters of texts that a block of a bucket has, roughly.
 BLOCK, BLOCK_CHARS = 256, 1 << 23
+#: Parts that a bucket's members are dealt over wherever they meet a fact about their bucket.
+SALTS = 16
 #: Shingles of compared texts that a worker keeps, of 12 bytes each.
 CACHED_SHINGLES = 3_000_000
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Powers by which a word's bytes are weighed in its hash; longer words use them again.
+with np.errstate(over="ignore"):
+    _POWERS = np.cumprod(np.full(1 << 12, 0x5851F42D4C957F2D, np.uint64))
 
 
 @lru_cache(1)
@@ -44,51 +46,49 @@ def _draws() -> tuple[np.ndarray, ...]:
     return r, ln_c, beta, (ln_c - r).astype(np.float32) - np.float32(1e-4), odd
 
 
-class Vectors:
-    """Texts to weighted shingles, for one worker: words are hashed once and kept within bounds."""
-
-    def __init__(self, idf: np.ndarray, most: int = 400_000):
-        self.idf, self.most = idf, most
-        self.index: dict[bytes, int] = {}
-        self.hashes = np.empty(most + 200_000, np.uint64)
-        self.weights = np.empty(most + 200_000, np.float32)
-
-    def shingles(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct shingle hashes and their weights."""
-        if not words:
-            return np.empty(0, np.uint64), np.empty(0, np.float32)
-        index = self.index
-        if len(index) + len(words) > len(self.hashes):
-            index.clear()
-            if len(words) > len(self.hashes):
-                self.hashes, self.weights = np.empty(2 * len(words), np.uint64), np.empty(2 * len(words), np.float32)
-        try:
-            ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            new = list(set(words).difference(index))
-            h, at = np.fromiter(map(word_hash, new), np.uint64, len(new)), len(index)
-            self.hashes[at : at + len(new)], self.weights[at : at + len(new)] = h, self.idf[h >> np.uint64(46)]
-            index.update(zip(new, range(at, at + len(new)), strict=True))
-            ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        h, w = self.hashes[ids], self.weights[ids]
-        n = min(WORDS_PER_SHINGLE, len(words))
-        m = len(words) - n + 1
-        s, weight = h[:m].copy(), w[:m].copy()
-        for k in range(1, n):
-            s = (s ^ (s >> np.uint64(29))) * _MIX + h[k : k + m]
-            weight += w[k : k + m]
-        s ^= s >> np.uint64(32)
-        s *= np.uint64(0xD6E8FEB86659FD93)
-        s ^= s >> np.uint64(32)
-        order = np.argsort(s, kind="stable")
-        s, weight = s[order], weight[order]
-        first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-        tf = 1 + np.log(np.diff(np.append(first, len(s)))).astype(np.float32)
-        return s[first], weight[first] / np.float32(n) * tf
-
-
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+def word_hashes(texts: list[str | None], piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts after one another, and where each text's begin, and the end."""
+    raw = [(t or "").encode() for t in texts]
+    data = np.frombuffer(b" ".join(raw).translate(WORD_BYTES) + b" ", np.uint8)
+    edge = np.flatnonzero(np.diff(data != 32, prepend=False))
+    start, end = edge[::2], edge[1::2]
+    out, at = np.empty(len(start), np.uint64), 0
+    while at < len(start):  # about so many bytes at a time
+        to = max(at + 1, int(np.searchsorted(start, start[at] + piece)))
+        n = end[at:to] - start[at:to]
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(first, n)
+        chars = data[place + np.repeat(start[at:to], n)].astype(np.uint64)
+        out[at:to] = np.add.reduceat((chars + np.uint64(1)) * _POWERS[place & (len(_POWERS) - 1)], first)
+        at = to
+    out ^= out >> np.uint64(32)
+    out *= _MIX2
+    out ^= out >> np.uint64(29)
+    return out, np.searchsorted(start, np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw]))))
+
+
+def shingles(texts: list[str | None]):
+    """For each text: the hashes of its words, its distinct shingles' hashes in ascending order, and their counts. A text of fewer than five words is one shingle."""
+    words, at = word_hashes(texts)
+    n = WORDS_PER_SHINGLE
+    stages = [words]
+    for k in range(1, n):
+        s = stages[-1][: max(0, len(words) - k)]
+        stages.append((s ^ (s >> np.uint64(29))) * _MIX + words[k:])
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        s = stages[min(n, b - a) - 1][a : max(b - n, a) + 1] if b > a else words[:0]
+        s = (s ^ (s >> np.uint64(32))) * _MIX2
+        s = np.sort(s ^ (s >> np.uint64(32)))
+        new = np.concatenate((s[:1] == s[:1], s[1:] != s[:-1]))
+        if new.all():
+            yield words[a:b], s, np.ones(len(s), np.int64)
+        else:
+            first = np.flatnonzero(new)
+            yield words[a:b], s[first], np.diff(np.append(first, len(s)))
+
+
+def weighted(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return hashes, idf[hashes >> np.uint64(46)] * (1 + np.log(counts)).astype(np.float32)
 
 
 def sample(hashes: np.ndarray, weights: np.ndarray, block: int = 2048) -> np.ndarray:
@@ -143,39 +143,31 @@ def similarity(a: tuple, b: tuple) -> float:
     return shared / (total_a + total_b - shared) if shared else 0.0
 
 
-def _document_frequencies(docs: DataFrame, buckets: int) -> np.ndarray:
-    """Documents for each bucket of words, over the whole corpus; the last entry counts documents."""
+def _document_frequencies(docs: DataFrame) -> np.ndarray:
+    """Documents for each bucket of shingles, over the whole corpus; the last entry counts documents."""
 
     def run(batches):
-        total, n = np.zeros(buckets, np.int64), 0
-        index: dict[bytes, int] = {}
+        total, n = np.zeros(DF_BUCKETS, np.int64), 0
         for batch in batches:
-            for part in slices(batch, 512):
-                found = []
-                for text in part.column("text").to_pylist():
-                    words = set(words_of(text))
-                    n += 1
-                    if len(index) > 400_000:
-                        index.clear()
-                    for w in words:
-                        if w not in index:
-                            index[w] = word_hash(w) >> 46
-                    found += {index[w] for w in words}
-                total += np.bincount(np.array(found, np.int64), minlength=buckets)
+            for part in byte_slices(batch, "text", 1 << 21):
+                found = [h >> np.uint64(46) for _, h, _ in shingles(part.column("text").to_pylist())]
+                total += np.bincount(np.concatenate(found).astype(np.int64), minlength=DF_BUCKETS)
+                n += part.num_rows
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, buckets)), pa.array(np.append(total[at], n))], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, DF_BUCKETS), pa.int32()), pa.array(np.append(total[at], n))], ["bucket", "n"])
 
-    table = np.zeros(buckets + 1, np.int64)
-    sums = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    for r in sums.toArrow().to_pylist():  # at most buckets + 1 rows
-        table[r["bucket"]] = r["n"]
+    table = np.zeros(DF_BUCKETS + 1, np.int64)
+    sums = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    for batch in sums.toArrow().to_batches():  # at most DF_BUCKETS + 1 rows
+        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return table
 
 
 def inverse_frequencies(df: np.ndarray) -> np.ndarray:
-    """Smoothed and scaled to lie between 1 (in all documents) and 2 (in one), so that no few rare words outweigh a text."""
+    """Smoothed, without what other shingles typically add to a bucket, and scaled to lie between 1 (in all documents) and 1 + IDF_SPAN (in one)."""
     n = max(int(df[-1]), 1)
-    return (1 + np.log((n + 1) / (np.clip(df[:-1], 1, n))) / np.log(n + 1)).astype(np.float32)
+    own = df[:-1] - np.median(df[:-1])
+    return (1 + IDF_SPAN * np.log((n + 1) / np.clip(own, 1, n)) / np.log(n + 1)).astype(np.float32)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -200,133 +192,138 @@ class Compared:
     """Weighted shingles of the texts that a worker compares, the latest kept within a bound."""
 
     def __init__(self, idf: np.ndarray):
-        self.vectors, self.known, self.held = Vectors(idf), {}, 0
+        self.idf, self.known, self.held = idf, {}, 0
 
     def __call__(self, node: int, text: str) -> tuple:
         if node not in self.known:
             if self.held > CACHED_SHINGLES:
                 self.known, self.held = {}, 0
-            self.known[node] = v = self.vectors.shingles(words_of(text))
-            self.held += len(v[0])
+            ((_, h, n),) = shingles([text])
+            self.known[node] = v = weighted(h, n, self.idf)
+            self.held += len(h)
         return self.known[node]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
-    """The pairs (a, b) of ids whose texts have a weighted Jaccard similarity of at least THRESHOLD."""
-    ends = spill(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
-    texts = spill(docs.join(ends, docs["node"] == ends["node"], "left_semi").select("node", "text"), "end_texts")
-    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-
-    def run(batches):
-        of = Compared(idf.value)
-        for batch in batches:
-            for part in slices(batch, 256):
-                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-                keep = []
-                for x, y, s, t in zip(a, b, part.column("text_a").to_pylist(), part.column("text_b").to_pylist(), strict=True):
-                    if similarity(of(x, s), of(y, t)) >= THRESHOLD:
-                        keep.append((x, y))
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()), pa.array([k[1] for k in keep], pa.int64())], ["a", "b"])
-
-    return spill(two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
-
-
-def _split(buckets: DataFrame, led: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of the buckets that hold more than one component, with their component, the bucket's largest one and its number of blocks; twice."""
-    roots = spill(roots, "roots")
-    placed = buckets.join(led.select("bucket"), "bucket", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")), "bucket_parts")
-    whole = [F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members"), F.sum("chars").alias("chars")]
-    split = parts.groupBy("bucket").agg(*whole).where("parts > 1")
-    blocks = F.least("members", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("chars") / BLOCK_CHARS))).cast("int")
-    split = spill(split.select("bucket", "main", blocks.alias("blocks")), "split_buckets")
-    return spill_twice(placed.join(split, "bucket").select("bucket", "band", "node", "root", "main", "blocks"), "open_members")
-
-
-def _text_key(words: list[bytes], text: str) -> bytes:
-    """Equal for texts with the same words in the same order, and for equal texts without words."""
-    return hashlib.blake2b(b" ".join(words) if words else b"\x00" + text.encode(), digest_size=16).digest()
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with the text_key of each row, null for a null text."""
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, 512):
-                keys = [_text_key(words_of(t), t) if t is not None else None for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], [*part.schema.names, "text_key"])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("text_key", T.BinaryType())]))
+def _salt(node: str = "node") -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int")
+
+
+class _Corpus:
+    """Rows, distinct texts and buckets of one run of near_duplicates()."""
+
+    def __init__(self, docs: DataFrame):
+        spark = docs.sparkSession
+        self.texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("raw"), "text")
+        self.idf = idf = spark.sparkContext.broadcast(inverse_frequencies(_document_frequencies(self.texts)))  # DF_BUCKETS numbers
+
+        def sketch(batches):
+            for batch in batches:
+                for part in byte_slices(batch, "text", 1 << 21):
+                    keys, marks, texts = [], [], part.column("text").to_pylist()
+                    for t, (words, h, n) in zip(texts, shingles(texts), strict=True):
+                        # equal for texts with the same words in the same order, and for equal texts without words
+                        keys.append(None if t is None else hashlib.blake2b(words.tobytes() or b"\x00" + t.encode(), digest_size=16).digest())
+                        marks.append(sample(*weighted(h, n, idf.value)).tobytes() if len(h) else None)
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("raw"), pa.array(keys, pa.binary()), pa.array(marks, pa.binary()), pa.array([len(t or "") for t in texts], pa.int64())], ["doc_id", "raw", "text_key", "marks", "chars"])
+
+        self.rows = spill(self.texts.mapInArrow(sketch, "doc_id long, raw long, text_key binary, marks binary, chars long"), "sketches")
+        known = self.rows.where("text_key is not null")
+        self.repeated = known.groupBy("doc_id", "raw").count().where("count > 1").limit(1).count() > 0
+        # one node for each distinct text; it is represented by its row with the least doc_id
+        nodes = known.groupBy("text_key").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("marks").alias("marks"), F.max("chars").alias("chars"))
+        self.nodes = spill(nodes.select(F.monotonically_increasing_id().alias("node"), "text_key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.raw").alias("rep_raw"), "marks", "chars"), "nodes")
+        band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring(F.col("marks"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
+        buckets = self.nodes.where("marks is not null").select("node", "chars", F.explode(band).alias("b")).select("node", "chars", F.xxhash64("b.band", "b.h").alias("bucket"), "b.band")
+        # a bucket's members are dealt over salts; what holds for a bucket is brought to each of its salts
+        buckets = spill(buckets.withColumn("salt", _salt()), "buckets")
+        parts = spill(buckets.groupBy("bucket", "salt").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")), "bucket_salts")
+        led = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).where("n > 1")
+        self.salts = spill(parts.select("bucket", "salt").join(led.select("bucket", "low", "high"), "bucket"), "leaders")
+        self.members = spill(buckets.join(self.salts, ["bucket", "salt"]), "members")  # of buckets with more than one
+
+    def salted(self, facts: DataFrame) -> DataFrame:
+        return facts.join(self.salts.select("bucket", "salt"), "bucket")
+
+    def texts_of(self, ends: DataFrame) -> DataFrame:
+        """node and text of the distinct nodes of a table."""
+        wanted = spill(self.nodes.join(ends.select("node").distinct(), "node", "left_semi").select("node", "rep_id", "rep_raw"), "ends")
+        found = self.texts.join(wanted, (F.col("doc_id") == F.col("rep_id")) & (F.col("raw") == F.col("rep_raw"))).select("node", "text")
+        return found.groupBy("node").agg(F.min("text").alias("text")) if self.repeated else found
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of nodes whose texts have a weighted Jaccard similarity of at least THRESHOLD."""
+        texts = spill(self.texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))), "end_texts")
+        one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        idf = self.idf
+
+        def run(batches):
+            of = Compared(idf.value)
+            for batch in batches:
+                for part in slices(batch, 256):
+                    a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+                    keep = []
+                    for x, y, s, t in zip(a, b, part.column("text_a").to_pylist(), part.column("text_b").to_pylist(), strict=True):
+                        if similarity(of(x, s), of(y, t)) >= THRESHOLD:
+                            keep.append((x, y))
+                    yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()), pa.array([k[1] for k in keep], pa.int64())], ["a", "b"])
+
+        return spill(two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
+
+    def parted(self, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members of the buckets that hold more than one component, with their component, the bucket's largest one and its number of blocks; twice."""
+        placed = self.members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")), "bucket_parts")
+        whole = [F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members"), F.sum("chars").alias("chars")]
+        split = parts.groupBy("bucket").agg(*whole).where("parts > 1")
+        blocks = F.least("members", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("chars") / BLOCK_CHARS))).cast("int")
+        split = spill(self.salted(split.select("bucket", "main", blocks.alias("blocks"))), "split_buckets")
+        return spill_twice(placed.join(split, ["bucket", "salt"]).select("bucket", "salt", "band", "node", "root", "main", "blocks"), "open_members")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, class_id (the least doc_id of its class) and text_key.
+    """One row per row of docs: doc_id and class_id, the least doc_id of its class.
 
     Texts with the same words in the same order are of one class; so are texts of at least 0.8 weighted Jaccard similarity, and
     whatever is joined through others. Texts without words are of one class only if equal. Null texts, and rows with a null doc_id, are
     classes of their own; the class_id of the latter is null. Repeated rows fall into one class. Texts of fewer than five words are one
-    shingle. Different texts may share a doc_id; two classes whose least doc_id is the same then have the same class_id. Other columns of
+    shingle. doc_id must be a number. Different texts may share a doc_id: where several classes have the same least doc_id, one of them
+    is named by it and the others by negative numbers, from a hash of their texts, so that no two classes have one name. Other columns of
     docs are not read; an empty table gives no rows.
     """
-    return _classes(docs).drop("class_no")
-
-
-def _classes(docs: DataFrame) -> DataFrame:
-    """near_duplicates() with class_no, which no two classes share; it is null for null texts and null doc_ids."""
-    spark = docs.sparkSession
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    df = _document_frequencies(texts, DF_BUCKETS)
-    idf = spark.sparkContext.broadcast(inverse_frequencies(df))  # DF_BUCKETS numbers
-    k = BANDS * ROWS
-
-    def sketch(batches):
-        vectors = Vectors(idf.value)
-        for batch in batches:
-            for part in slices(batch, 512):
-                keys, marks, texts = [], [], part.column("text").to_pylist()
-                for t in texts:
-                    words = words_of(t)
-                    keys.append(_text_key(words, t) if t is not None else None)
-                    marks.append(sample(*vectors.shingles(words)).tobytes() if words else None)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(marks, pa.binary()), pa.array([len(t or "") for t in texts], pa.int64())], ["doc_id", "text_key", "marks", "chars"])
-
-    rows = spill(texts.mapInArrow(sketch, "doc_id long, text_key binary, marks binary, chars long"), "sketches")
-    known = rows.where("text_key is not null")
-    mixed = known.groupBy("doc_id").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).where("a <> b").limit(1).count() > 0
-    # one node for each distinct text: its least doc_id, or a number of its own if any doc_id has several texts
-    nodes = known.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.first("marks").alias("marks"), F.max("chars").alias("chars"))
-    nodes = spill(nodes.withColumn("node", F.monotonically_increasing_id() if mixed else F.col("first_id")), "nodes")
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring(F.col("marks"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
-    buckets = nodes.where("marks is not null").select("node", "chars", F.explode(band).alias("b")).select("node", "chars", F.xxhash64("b.band", "b.h").alias("bucket"), "b.band")
-    buckets = spill(buckets, "buckets")
-    lead = [F.min(F.struct(F.xxhash64("node", F.lit(i)), F.col("node")))["node"].alias(f"l{i}") for i in range(LEADERS)]
-    led = spill(buckets.groupBy("bucket").agg(F.count("*").alias("n"), *lead).where("n > 1"), "leaders")
-    met = buckets.join(led, "bucket").select("bucket", "node", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("leader"))
+    corpus, classes = _classes(docs)
+    ids = classes.groupBy("class_no").agg(F.min("rep_id").alias("least"), F.min(F.xxhash64("text_key")).alias("tag"))
+    shared = ids.groupBy("least").agg(F.min("tag").alias("first_tag"))
+    ids = ids.join(shared, "least").select("class_no", F.when(F.col("tag") == F.col("first_tag"), F.col("least")).otherwise(-1 - F.shiftrightunsigned("tag", 1)).alias("class_id"))
+    named = spill(classes.join(spill(ids, "class_ids"), "class_no").select("text_key", "class_id"), "classes")
+    out = corpus.rows.select("doc_id", "text_key").join(named, "text_key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return out.unionByName(docs.where("doc_id is null").select(*[F.lit(None).cast("long").alias(n) for n in ("doc_id", "class_id")]))
+
+
+def _classes(docs: DataFrame) -> tuple[_Corpus, DataFrame]:
+    """Every distinct text (text_key), the row that represents it (rep_id, rep_raw) and the number of its class."""
+    corpus = _Corpus(docs)
+    k, idf = BANDS * ROWS, corpus.idf
+    met = corpus.members.select("node", F.explode(F.array("low", "high")).alias("leader"))
     pairs = met.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    by_node = texts.select(F.col("doc_id").alias("node"), "text")
-    if mixed:
-        names = nodes.select(F.col("text_key").alias("node_key"), "first_id", "node")
-        by_node = _keyed(texts).join(names, (F.col("text_key") == F.col("node_key")) & (F.col("doc_id") == F.col("first_id"))).select("node", "text")
     pairs = spill(pairs, "pairs")
-    links = _verified(pairs, by_node, idf)
+    links = corpus.verified(pairs)
     # members outside the component of their bucket's best linked member are compared with it
-    opened, again = _split(buckets, led, components(links))
+    opened, again = corpus.parted(spill(components(links), "roots"))
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
     hubs = opened.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "root")).alias("hub"))
-    near_hub = again.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
+    near_hub = again.join(corpus.salted(hubs), ["bucket", "salt"]).where(F.col("root") != F.col("hub.root"))
     near_hub = near_hub.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.union(_verified(spill(near_hub, "hub_pairs"), by_node, idf))
+    links = links.union(corpus.verified(spill(near_hub, "hub_pairs")))
     # what is still parted: members outside a bucket's largest component are compared with all members of others, block by block
-    open_rows, again = _split(buckets, led, components(links))
-    ends = spill(open_rows.select("node").distinct(), "open_ends")
-    texts_of = spill_twice(by_node.join(ends, "node", "left_semi").join(nodes.select("node", "marks"), "node"), "open_texts")
+    open_rows, again = corpus.parted(spill(components(links), "roots"))
+    open_texts = corpus.texts_of(open_rows).join(corpus.nodes.select("node", "marks"), "node")
+    texts_of = spill_twice(open_texts, "open_texts")
     more = open_rows.where("root <> main")
     slot = lambda i: F.pmod(F.xxhash64("node", F.lit(i)), F.col("blocks")).cast("int")
     left = more.select("bucket", slot(7).alias("x"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), "band", "node", "root")
-    used = spill(more.select("bucket", slot(7).alias("x")).distinct(), "open_blocks")
-    right = again.join(used, "bucket").select("bucket", "x", slot(8).alias("y"), "node", "root", (F.col("root") != F.col("main")).alias("late"))
+    used = spill(corpus.salted(more.select("bucket", slot(7).alias("x")).distinct()), "open_blocks")
+    right = again.join(used, ["bucket", "salt"]).select("bucket", "x", slot(8).alias("y"), "node", "root", (F.col("root") != F.col("main")).alias("late"))
     left, right = (d.join(t, "node") for d, t in zip((left, right), texts_of, strict=True))
     worker: dict = {}
 
@@ -356,23 +353,17 @@ def _classes(docs: DataFrame) -> DataFrame:
 
     late = spill(left.groupBy("bucket", "x", "y").cogroup(right.groupBy("bucket", "x", "y")).applyInArrow(compare, "a long, b long"), "late_links")
     roots = spill(components(links.union(late)), "all_roots")
-    classes = nodes.select("text_key", "first_id", "node").join(roots, "node", "left").select("text_key", "first_id", F.coalesce("root", "node").alias("class_no"))
-    if mixed:
-        classes = classes.join(spill(classes.groupBy("class_no").agg(F.min("first_id").alias("class_id")), "class_ids"), "class_no")
-    else:
-        classes = classes.withColumn("class_id", F.col("class_no"))
-    classes = spill(classes.select("text_key", "class_id", "class_no"), "classes")
-    out = rows.select("doc_id", "text_key").join(classes, "text_key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "text_key", "class_no")
-    null = docs.where("doc_id is null").select(*[F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "long"), ("class_id", "long"), ("text_key", "binary"), ("class_no", "long"))])
-    return out.unionByName(null)
+    classes = corpus.nodes.join(roots, "node", "left").select("text_key", "rep_id", "rep_raw", F.coalesce("root", "node").alias("class_no"))
+    return corpus, spill(classes, "class_nodes")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """docs with one row of each class: that with the least doc_id, and of its rows that with the least text. Rows with a null doc_id all stay."""
-    names = docs.columns
-    kept = _classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), F.col("class_no").alias("kept_class"))
-    kept = spill(kept.distinct(), "kept")
-    first = Window.partitionBy("doc_id", "kept_class").orderBy("text")
-    found = _keyed(docs.where("doc_id is not null")).join(kept, (F.col("doc_id") == F.col("kept_id")) & F.col("text_key").eqNullSafe(F.col("kept_key")))
-    one = found.withColumn("kept_no", F.row_number().over(first)).where("kept_no = 1").select(*names)
-    return one.unionByName(docs.where("doc_id is null"))
+    """docs with one row of each class: that with the least doc_id. Rows with a null doc_id or a null text all stay; of repeated rows one does."""
+    corpus, classes = _classes(docs)
+    kept = spill(classes.groupBy("class_no").agg(F.min(F.struct("rep_id", "rep_raw")).alias("rep")).select("rep.rep_id", "rep.rep_raw"), "kept")
+    found = docs.join(kept, (docs["doc_id"].cast("long") == kept["rep_id"]) & (F.xxhash64(docs["text"]) == kept["rep_raw"]) & docs["text"].isNotNull(), "left_semi")
+    if corpus.repeated:
+        no = unused(docs, "kept_no")
+        first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64("text"))
+        found = found.withColumn(no, F.row_number().over(first)).where(F.col(no) == 1).drop(no)
+    return found.unionByName(docs.where(docs["doc_id"].isNull() | docs["text"].isNull()))

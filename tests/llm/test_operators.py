@@ -82,35 +82,95 @@ def test_texts_that_share_a_doc_id_are_no_copies(spark):
     a, b, c = (" ".join(words[i : i + 100]) for i in (0, 100, 200))
     near_b = b.replace("w150", "changed")
     rows = [(1, a), (1, b), (1, None), (2, c), (2, a), (3, near_b), (3, c), (4, c), (1, a)]
-    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string")
-    got = sorted(((r.doc_id, r.text) for r in nearcopies.without_copies(df).collect()), key=str)
-    assert got == sorted([(1, a), (1, b), (1, None), (2, c)], key=str)
-    assert {(r.doc_id, r.class_id) for r in nearcopies.near_duplicates(df).collect()} == {(1, 1), (2, 1), (2, 2), (3, 1), (3, 2), (4, 2)}
-
-
-def test_near_duplicates_against_all_pairs(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    df = np.zeros(nearcopies.DF_BUCKETS + 1, np.int64)
-    for t in texts.values():
-        for b in {nearcopies.word_hash(w) >> 46 for w in nearcopies.words_of(t)}:
-            df[b] += 1
-    df[-1] = len(texts)
-    v = nearcopies.Vectors(nearcopies.inverse_frequencies(df))
-    vectors = {i: v.shingles(nearcopies.words_of(t)) for i, t in texts.items() if nearcopies.words_of(t)}
-    root = {i: i for i in texts}
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, kept_no string")
+    kept = nearcopies.without_copies(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (1, None), (2, c)], key=str)
+    of = collections.defaultdict(list)
+    for r in nearcopies.near_duplicates(df).collect():
+        of[r.class_id].append(r.doc_id)
+    (other,) = [i for i in of if i < 0]  # the second class whose least doc_id is 1
+    assert of[2] == [2, 3, 4] or sorted(of[2]) == [2, 3, 4]
+    assert {tuple(sorted(of[1])), tuple(sorted(of[other]))} in ({(1, 1, 1, 2), (1, 3)}, {(1, 1, 2), (1, 1, 3)})
+    pair = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b)], "doc_id long, text string")
+    assert len({r.class_id for r in nearcopies.near_duplicates(pair).collect()}) == 2
+    assert {r.text for r in nearcopies.without_copies(pair).collect()} == {a, b}
+
+
+def roots_of(nodes, links):
+    root = {i: i for i in nodes}
 
     def find(i):
         while root[i] != i:
+            root[i] = root[root[i]]
             i = root[i]
         return i
 
-    for i in vectors:
-        for j in vectors:
-            if i < j and nearcopies.similarity(vectors[i], vectors[j]) >= nearcopies.THRESHOLD:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    assert {r.doc_id: r.class_id for r in nearcopies.near_duplicates(docs).collect()} == {i: find(i) for i in texts}
+    for i, j in links:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in nodes}
+
+
+def plain_jaccard_pairs(texts, least):
+    """All pairs of texts by the plain Jaccard similarity of their sets of five words, in plain Python."""
+    sets = {}
+    for i, t in texts.items():
+        w = WORD.findall(lower(t))
+        if w:
+            sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    holders = collections.defaultdict(list)
+    for i in sorted(sets):
+        for s in sets[i]:
+            holders[s].append(i)
+    common = collections.Counter((i, j) for h in holders.values() for x, i in enumerate(h) for j in h[x + 1 :])
+    return [(i, j) for (i, j), n in common.items() if n >= least * (len(sets[i]) + len(sets[j]) - n)]
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    """Links are right beyond doubt from a plain similarity a little above the threshold, and wrong from one a little below: weights move it a little."""
+    sf = SF.replace("0.001", "0.01")
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r.class_id for r in queries.op2_near_duplicates(spark, sf).collect()}
+    assert set(got) == set(texts) and all(got[c] == c for c in got.values())
+    sure, all_near = plain_jaccard_pairs(texts, 0.82), plain_jaccard_pairs(texts, 0.77)
+    found = sum(got[i] == got[j] for i, j in sure)
+    assert len(sure) > 50 and found >= 0.99 * len(sure)
+    wide = roots_of(texts, all_near)
+    assert all(wide[i] == wide[c] for i, c in got.items())
+
+
+def test_large_groups_and_chains_of_copies_are_one_class(spark):
+    g = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    base = g.choices(vocabulary, k=200)
+    rows = [(i, " ".join(base)) for i in range(300)]
+    for i in range(300, 900):  # at most two words changed: at least 0.8 to the base, less to one another
+        w = list(base)
+        for at in g.sample(range(200), g.choice((1, 2))):
+            w[at] = g.choice(vocabulary)
+        rows.append((i, " ".join(w)))
+    chain = g.choices(vocabulary, k=200)
+    for i in range(900, 960):  # each near the one before only
+        chain = list(chain)
+        chain[(i * 37) % 200] = g.choice(vocabulary)
+        rows.append((i, " ".join(chain)))
+    rows += [(i, " ".join(g.choices(vocabulary, k=80))) for i in range(960, 1200)]
+    got = {r.doc_id: r.class_id for r in nearcopies.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {got[i] for i in range(900)} == {0} and {got[i] for i in range(900, 960)} == {900}
+    assert all(got[i] == i for i in range(960, 1200))
+
+
+def test_shingles_are_those_of_words():
+    g = random.Random(3)
+    texts = [None, "", " ..!", "One, two!", "a b c d e", "a b c d e f", "x" * 9000 + " b", *(" ".join(g.choice("aé bc d") * g.randint(1, 3) for _ in range(g.randint(1, 60))) for _ in range(60))]
+    names, back = {}, {}
+    for t, (words, h, n) in zip(texts, nearcopies.shingles(texts), strict=True):
+        w = WORD.findall(lower(t))
+        want = collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else {}
+        assert len(words) == len(w) and sorted(n) == sorted(want.values()) and h.tolist() == sorted(set(h.tolist()))
+        for x, v in zip(w, words.tolist(), strict=True):
+            assert names.setdefault(x, v) == v and back.setdefault(v, x) == x
 
 
 def test_samples_agree_as_often_as_weights_do():
