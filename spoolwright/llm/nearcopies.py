@@ -26,8 +26,9 @@ WORDS_PER_SHINGLE, THRESHOLD, BANDS, ROWS, DF_BUCKETS, IDF_SPAN = 5, 0.8, 12, 4,
 AGREE = 26
 #: Members and characters of texts that a block of a bucket has, roughly.
 BLOCK, BLOCK_CHARS = 256, 1 << 23
-#: Parts that a bucket's members are dealt over wherever they meet a fact about their bucket.
-SALTS = 16
+#: At most so many buckets are hot: those with more members than the same share of all. Their members are dealt over SALTS wherever they
+#: meet a fact about their bucket.
+HOT_BUCKETS, SALTS = 20_000, 16
 #: Shingles of compared texts that a worker keeps, of 12 bytes each.
 CACHED_SHINGLES = 3_000_000
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -204,8 +205,12 @@ class Compared:
         return self.known[node]
 
 
-def _salt(node: str = "node") -> Column:
-    return F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int")
+def _with_facts(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """Members (bucket, hot, node) of buckets with the facts (bucket, hot) about them; those of a hot bucket meet them in SALTS places."""
+    many = F.sequence(F.lit(0), F.when(F.col("hot"), SALTS - 1).otherwise(0))
+    facts = facts.withColumn("salt", F.explode(many)).drop("hot")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0).cast("int")
+    return members.withColumn("salt", salt).join(facts, ["bucket", "salt"]).drop("salt")
 
 
 class _Corpus:
@@ -234,25 +239,23 @@ class _Corpus:
         self.nodes = spill(nodes.select(F.monotonically_increasing_id().alias("node"), "text_key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.raw").alias("rep_raw"), "marks", "chars"), "nodes")
         band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring(F.col("marks"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
         buckets = self.nodes.where("marks is not null").select("node", "chars", F.explode(band).alias("b")).select("node", "chars", F.xxhash64("b.band", "b.h").alias("bucket"), "b.band")
-        # a bucket's members are dealt over salts; what holds for a bucket is brought to each of its salts
-        buckets = spill(buckets.withColumn("salt", _salt()), "buckets")
-        parts = spill(buckets.groupBy("bucket", "salt").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")), "bucket_salts")
-        led = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).where("n > 1")
-        self.salts = spill(parts.select("bucket", "salt").join(led.select("bucket", "low", "high"), "bucket"), "leaders")
-        self.members = spill(buckets.join(self.salts, ["bucket", "salt"]), "members")  # of buckets with more than one
-
-    def salted(self, facts: DataFrame) -> DataFrame:
-        return facts.join(self.salts.select("bucket", "salt"), "bucket")
-
-    def texts_of(self, ends: DataFrame) -> DataFrame:
-        """node and text of the distinct nodes of a table."""
-        wanted = spill(self.nodes.join(ends.select("node").distinct(), "node", "left_semi").select("node", "rep_id", "rep_raw"), "ends")
+        buckets = spill(buckets, "buckets")
+        led = spill(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).where("n > 1"), "leaders")
+        limit = max(BLOCK, buckets.count() // HOT_BUCKETS)
+        hot = spill(led.where(F.col("n") > limit).select("bucket", "low", "high"), "hot_buckets")  # at most HOT_BUCKETS rows
+        cold = buckets.join(F.broadcast(hot.select("bucket")), "bucket", "left_anti").join(led.where(F.col("n") <= limit).select("bucket", "low", "high"), "bucket")
+        warm = buckets.join(F.broadcast(hot), "bucket")
+        # of buckets with more than one
+        self.members = spill(cold.withColumn("hot", F.lit(False)).unionByName(warm.withColumn("hot", F.lit(True))), "members")
+        ends = spill(self.members.select("node").distinct(), "member_nodes")
+        wanted = spill(self.nodes.join(ends, "node", "left_semi").select("node", "rep_id", "rep_raw"), "member_rows")
         found = self.texts.join(wanted, (F.col("doc_id") == F.col("rep_id")) & (F.col("raw") == F.col("rep_raw"))).select("node", "text")
-        return found.groupBy("node").agg(F.min("text").alias("text")) if self.repeated else found
+        self.member_texts = spill(found.groupBy("node").agg(F.min("text").alias("text")) if self.repeated else found, "member_texts")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes whose texts have a weighted Jaccard similarity of at least THRESHOLD."""
-        texts = spill(self.texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))), "end_texts")
+        ends = spill(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
+        texts = self.member_texts.join(ends, "node", "left_semi")
         one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         idf = self.idf
@@ -273,12 +276,12 @@ class _Corpus:
     def parted(self, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of the buckets that hold more than one component, with their component, the bucket's largest one and its number of blocks; twice."""
         placed = self.members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        parts = spill(placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")), "bucket_parts")
+        parts = spill(placed.groupBy("bucket", "hot", "root").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")), "bucket_parts")
         whole = [F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("members"), F.sum("chars").alias("chars")]
-        split = parts.groupBy("bucket").agg(*whole).where("parts > 1")
+        split = parts.groupBy("bucket", "hot").agg(*whole).where("parts > 1")
         blocks = F.least("members", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("chars") / BLOCK_CHARS))).cast("int")
-        split = spill(self.salted(split.select("bucket", "main", blocks.alias("blocks"))), "split_buckets")
-        return spill_twice(placed.join(split, ["bucket", "salt"]).select("bucket", "salt", "band", "node", "root", "main", "blocks"), "open_members")
+        split = spill(split.select("bucket", "hot", "main", blocks.alias("blocks")), "split_buckets")
+        return spill_twice(_with_facts(placed, split).select("bucket", "hot", "band", "node", "root", "main", "blocks"), "open_members")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -311,19 +314,20 @@ def _classes(docs: DataFrame) -> tuple[_Corpus, DataFrame]:
     # members outside the component of their bucket's best linked member are compared with it
     opened, again = corpus.parted(spill(components(links), "roots"))
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
-    hubs = opened.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "root")).alias("hub"))
-    near_hub = again.join(corpus.salted(hubs), ["bucket", "salt"]).where(F.col("root") != F.col("hub.root"))
+    hubs = opened.join(degree, "node").groupBy("bucket", "hot").agg(F.max(F.struct("degree", "node", "root")).alias("hub"))
+    near_hub = _with_facts(again, hubs).where(F.col("root") != F.col("hub.root"))
     near_hub = near_hub.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     links = links.union(corpus.verified(spill(near_hub, "hub_pairs")))
     # what is still parted: members outside a bucket's largest component are compared with all members of others, block by block
     open_rows, again = corpus.parted(spill(components(links), "roots"))
-    open_texts = corpus.texts_of(open_rows).join(corpus.nodes.select("node", "marks"), "node")
-    texts_of = spill_twice(open_texts, "open_texts")
+    ends = spill(open_rows.select("node").distinct(), "open_nodes")
+    marks = corpus.nodes.join(ends, "node", "left_semi").select("node", "marks")
+    texts_of = spill_twice(corpus.member_texts.join(ends, "node", "left_semi").join(marks, "node"), "open_texts")
     more = open_rows.where("root <> main")
     slot = lambda i: F.pmod(F.xxhash64("node", F.lit(i)), F.col("blocks")).cast("int")
     left = more.select("bucket", slot(7).alias("x"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), "band", "node", "root")
-    used = spill(corpus.salted(more.select("bucket", slot(7).alias("x")).distinct()), "open_blocks")
-    right = again.join(used, ["bucket", "salt"]).select("bucket", "x", slot(8).alias("y"), "node", "root", (F.col("root") != F.col("main")).alias("late"))
+    used = spill(more.select("bucket", "hot", slot(7).alias("x")).distinct(), "open_blocks")
+    right = _with_facts(again, used).select("bucket", "x", slot(8).alias("y"), "node", "root", (F.col("root") != F.col("main")).alias("late"))
     left, right = (d.join(t, "node") for d, t in zip((left, right), texts_of, strict=True))
     worker: dict = {}
 
