@@ -1,8 +1,9 @@
 """Exact top-k inner products by pivot-table elimination.
 
 |q - x|^2 = |q|^2 + |x|^2 - 2 q.x, and by the triangle inequality |q - x| >= max over pivots p of | |q - p| - |x - p| |. Distances of all
-rows to the pivots are computed once; they bound the inner product from above. A query evaluates candidates in the order of that bound
-and stops when the next bound is below its k-th best score. Queries and candidates meet in blocks; each block pair keeps k rows a query.
+rows to the pivots are computed once and stored with the rows; they bound the inner product from above. A query evaluates candidates in
+the order of that bound and stops when the next bound is below its k-th best score. Queries and candidates meet in blocks; each block
+pair keeps k rows a query.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import spill
+from ._shared import partitions, slices, spill
 
 FIRST, STEP = 256, 1024
 
@@ -30,21 +31,27 @@ def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     return sample[chosen]
 
 
-def best_of_block(q_ids, q, c_ids, c, pivots, k: int) -> tuple[list, list, list]:
-    """The k best candidates of one block for each query: (query ids, candidate ids, scores), ties to the smaller id."""
-    out_q, out_c, out_s = [], [], []
-    order = np.argsort(c_ids, kind="stable")
-    c_ids, c = c_ids[order], c[order]
-    c_norm, q_norm = (c * c).sum(1), (q * q).sum(1)
-    table = np.sqrt(np.maximum(c_norm[:, None] + (pivots * pivots).sum(1) - 2 * (c @ pivots.T), 0)).T.copy()
-    to_pivots = np.sqrt(np.maximum(q_norm[:, None] + (pivots * pivots).sum(1) - 2 * (q @ pivots.T), 0))
-    for i in range(len(q_ids)):
-        low = np.zeros(len(c_ids))
-        for p in range(len(pivots)):
-            np.maximum(low, np.abs(table[p] - to_pivots[i, p]), out=low)
+def distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Of every row to every pivot."""
+    return np.sqrt(np.maximum((v * v).sum(1)[:, None] + (pivots * pivots).sum(1) - 2 * (v @ pivots.T), 0))
+
+
+def best_of_block(q_rows, q, q_far, c_rows, c_ids, c, c_far, k: int) -> tuple[list, list, list, int]:
+    """The k best candidates of one block for each query: (query rows, places of candidates, scores), ties to the smaller id, then row; and how many were evaluated.
+
+    Rows are numbered, and a query is no candidate of its own. q_far and c_far are distances to the pivots.
+    """
+    out_q, out_c, out_s, evaluated = [], [], [], 0
+    order = np.lexsort((c_rows, c_ids))
+    c_rows, c = c_rows[order], c[order]
+    c_norm, q_norm, table = (c * c).sum(1), (q * q).sum(1), c_far[order].T.copy()
+    for i in range(len(q_rows)):
+        low = np.zeros(len(c_rows))
+        for p in range(len(table)):
+            np.maximum(low, np.abs(table[p] - q_far[i, p]), out=low)
         low -= 1e-6 * (1 + low)  # roundings of the distances can't cost a result
         bound = (q_norm[i] + c_norm - np.square(np.maximum(low, 0))) / 2
-        bound[c_ids == q_ids[i]] = -np.inf
+        bound[c_rows == q_rows[i]] = -np.inf
         live = int(np.isfinite(bound).sum())
         keep_i, keep_s, done = np.empty(0, np.int64), np.empty(0), 0
         size, ranked, at, edge = min(FIRST, live), np.empty(0, np.int64), 0, np.inf
@@ -65,44 +72,56 @@ def best_of_block(q_ids, q, c_ids, c, pivots, k: int) -> tuple[list, list, list]
                 top = np.lexsort((keep_i, -keep_s))[:k]
                 keep_i, keep_s = keep_i[top], keep_s[top]
             at, done, size = at + len(now), done + len(now), STEP
-        out_q.append(np.full(len(keep_i), q_ids[i]))
-        out_c.append(c_ids[keep_i])
+        evaluated += done
+        out_q.append(np.full(len(keep_i), q_rows[i]))
+        out_c.append(order[keep_i])
         out_s.append(keep_s)
-    return out_q, out_c, out_s
+    return out_q, out_c, out_s, evaluated
 
 
-def top_k(rows: DataFrame, queries, k: int = 20, n_pivots: int = 16, sample_rows: int = 512, query_block: int = 1024, block_rows: int = 20_000) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best rows by inner product for each query; the query itself is no candidate of its own.
+def top_k(rows: DataFrame, queries, k: int = 20, n_pivots: int = 16, sample_rows: int = 512, query_block: int = 8192, block_rows: int = 40_000) -> DataFrame:
+    """query_id, rank, vec_id, score of the k best rows by inner product for each query; the query's own row is no candidate of it.
 
     rows: vec_id and v (array of whole-valued doubles). queries: a condition that picks the query rows. Vectors that are null, or hold
-    null or non-finite components, take no part; nor do rows with a null vec_id. Equal scores go to the smaller vec_id. Vectors of
-    different lengths have no inner product, so each length is searched on its own. A table with one row, or none, gives no rows.
-    Pivots come from a sample of at most sample_rows rows; they steer the order of work, not the results.
+    null or non-finite components, take no part; nor do rows with a null vec_id. Equal scores go to the smaller vec_id. Rows that repeat
+    a vec_id are rows of their own: each is a candidate of the others, and each query row has its own ranks. Vectors of different
+    lengths have no inner product, so each length is searched on its own; empty vectors have scores of 0 with one another. A table with
+    one row, or none, gives no rows. Pivots come from a sample of at most sample_rows rows; they steer the order of work, not the results.
     """
     spark = rows.sparkSession
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    rows = spill(rows.select("vec_id", "v", F.size("v").alias("dim"), queries.alias("is_query")), "vectors")
-    n, nq = rows.agg(F.count("*"), F.count_if("is_query")).first()
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "v", F.size("v").alias("dim"), queries.alias("is_query"))
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()
-    pivots = {d: choose_pivots(np.array([r.v for r in picked if r.dim == d]), n_pivots) for d in {r.dim for r in picked}}
+    pivots = {d: choose_pivots(np.array([r.v for r in picked if r.dim == d], float), n_pivots) for d in {r.dim for r in picked}}
     shared = spark.sparkContext.broadcast(pivots)  # at most sample_rows rows, n_pivots a length
-    lanes, blocks = max(1, math.ceil(n / block_rows)), max(1, math.ceil(nq / query_block))
-    lane, block = F.pmod(F.xxhash64("vec_id"), F.lit(lanes)).cast("long"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("long")
-    candidates = rows.select("dim", lane.alias("lane"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "vec_id", "v")
-    asked = rows.where("is_query").select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"), block.alias("block"), "vec_id", "v")
-    schema = "query_id long, vec_id long, score double"
+
+    def with_distances(batches):
+        for batch in batches:
+            for part in slices(batch, 4096):
+                far = [distances(np.array([x], float), shared.value[len(x)])[0] if len(x) in shared.value else np.empty(0) for x in part.column("v").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(far, pa.list_(pa.float64()))], [*part.schema.names, "far"])
+
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = spill(rows.mapInArrow(with_distances, "vec_id long, v array<double>, dim int, is_query boolean, row long, far array<double>"), "pivot_table")
+    n, nq = rows.agg(F.count("*"), F.count_if("is_query")).first()
+    lanes = max(1, math.ceil(n / block_rows))
+    blocks = max(1, math.ceil(nq / query_block), min(math.ceil(partitions(spark) / lanes), nq // 64))  # as few copies as give all tasks work
+    lane, block = F.pmod(F.xxhash64("row"), F.lit(lanes)).cast("long"), F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("long")
+    candidates = rows.select("dim", lane.alias("lane"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "row", "vec_id", "v", "far")
+    asked = rows.where("is_query").select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"), block.alias("block"), "row", "vec_id", "v", "far")
+    schema = "query_row long, query_id long, row long, vec_id long, score double"
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        dim = key[0].as_py()
-        read = lambda t: (t["vec_id"].to_numpy(), t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
-        q_ids, q = read(left)
-        c_ids, c = read(right)
-        p = shared.value.get(dim)
-        a, b, s = best_of_block(q_ids, q, c_ids, c, p if p is not None else q[:1], k)
-        return pa.table({"query_id": np.concatenate(a).astype(np.int64), "vec_id": np.concatenate(b).astype(np.int64), "score": np.concatenate(s)})
+        def read(t):
+            wide = lambda c: t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1) if t.num_rows and len(t[c][0]) else np.zeros((t.num_rows, 0))
+            return t["row"].to_numpy(), t["vec_id"].to_numpy(), wide("v"), wide("far")
+
+        (q_rows, q_ids, q, q_far), (c_rows, c_ids, c, c_far) = read(left), read(right)
+        a, b, s, _ = best_of_block(q_rows, q, q_far, c_rows, c_ids, c, c_far, k) if len(q_rows) and len(c_rows) else ([], [], [], 0)
+        a, b, s = (np.concatenate([np.empty(0, t), *x]).astype(t) for x, t in ((a, np.int64), (b, np.int64), (s, float)))
+        id_of = dict(zip(q_rows.tolist(), q_ids.tolist(), strict=True))
+        return pa.table({"query_row": a, "query_id": pa.array([id_of[i] for i in a.tolist()], pa.int64()), "row": c_rows[b] if len(b) else b, "vec_id": c_ids[b] if len(b) else b, "score": s})
 
     near = asked.groupBy("dim", "lane", "block").cogroup(candidates.groupBy("dim", "lane", "block")).applyInArrow(search, schema)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "row")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
