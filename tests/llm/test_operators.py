@@ -273,6 +273,25 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), topk.F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_empty_vectors_and_repeated_ids(spark):
+    rows = [(0, []), (1, []), (2, []), (20, [1.0, 2.0]), (20, [3.0, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (None, [5.0, 5.0]), (40, [9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = sorted(map(tuple, topk.top_k(df, topk.F.col("vec_id") % 20 == 0, k=3).collect()))
+    first, second = [(20, 1, 7, 3), (20, 2, 7, 3), (20, 3, 20, 3)], [(20, 1, 7, 3), (20, 2, 7, 3), (20, 3, 20, 3)]
+    assert got == sorted([(0, 1, 1, 0), (0, 2, 2, 0), *first, *second])
+
+
+def test_pivots_eliminate_candidates():
+    """Of clustered vectors few are evaluated."""
+    g = np.random.default_rng(5)
+    centres = g.integers(-60, 60, (40, 16))
+    v = (centres[g.integers(0, 40, 6000)] + g.integers(-2, 3, (6000, 16))).astype(float)
+    far = topk.distances(v, topk.choose_pivots(v[:512], 16))
+    rows = np.arange(6000)
+    *_, evaluated = topk.best_of_block(rows[:50], v[:50], far[:50], rows, rows, v, far, 20)
+    assert evaluated < 0.4 * 50 * 6000
+
+
 @pytest.mark.parametrize(("copies", "best", "k"), [(1000, 10, 20), (1000, 30, 600), (6000, 10, 20)])
 def test_top_k_evaluates_every_tied_bound_once(copies, best, k):
     g = np.random.default_rng(copies)
@@ -283,23 +302,41 @@ def test_top_k_evaluates_every_tied_bound_once(copies, best, k):
     ids = g.permutation(n) * 3
     q = np.concatenate([np.full((2, 16), 6.0), g.integers(-9, 10, (4, 16))])
     v[at[copies : copies + best]] = g.integers(6, 9, (best, 16))
-    a, b, s = topk.best_of_block(-1 - np.arange(6), q, ids, v, topk.choose_pivots(v[:512], 16), k)
+    pivots = topk.choose_pivots(v[:512], 16)
+    a, b, s, evaluated = topk.best_of_block(-1 - np.arange(6), q, topk.distances(q, pivots), np.arange(n), ids, v, topk.distances(v, pivots), k)
+    assert evaluated <= 6 * n
     for i in range(6):
         order = np.lexsort((ids, -(v @ q[i])))[:k]
-        assert b[i].tolist() == ids[order].tolist() and s[i].tolist() == (v @ q[i])[order].tolist()
+        assert ids[b[i]].tolist() == ids[order].tolist() and s[i].tolist() == (v @ q[i])[order].tolist()
 
 
-def test_warc_round_trip(spark):
-    pages = [(1, "u\r\n1", "same"), (2, "u2", "same"), (3, "u3", "é\r\n\r\nWARC/1.1\r\n"), (4, None, None), (5, "u5", ""), (None, "u6", "same"), (7, "u7", "z" * 3_000_000), (2, "u2", "same")]
+@pytest.mark.parametrize("compress", [False, True])
+def test_warc_round_trip(spark, compress):
+    pages = [(1, "u\r\n1", "same"), (2, "u2", "same"), (3, "u3", "é\r\n\r\nWARC/1.1\r\n"), (4, None, None), (5, "u5", ""), (None, "u6", "same"), (7, "u7", "z" * 3_000_000), *[(2, "u2", "same")] * 5, (2, "other", "same"), (2, "u2", "more")]
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, digest string")
-    rows = warc.round_trip(df).collect()
+    rows = warc.round_trip(df, compress=compress).collect()
     digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()  # noqa: E731, S324
     assert collections.Counter((r.page_id, r.payload_digest, r.payload_bytes) for r in rows) == collections.Counter((p[0], digest(p[2]), len((p[2] or "").encode())) for p in pages)
-    kinds = {(r.page_id, r.record_type, r.refers_to) for r in rows}
-    assert {(1, "revisit", 2), (2, "response", None), (3, "response", None), (4, "revisit", 5), (5, "response", None), (None, "response", None), (7, "response", None)} <= kinds
+    kinds = collections.Counter((r.page_id, r.payload_digest == digest("same"), r.record_type, r.refers_to) for r in rows)
+    assert kinds == {(1, True, "revisit", 2): 1, (2, True, "response", None): 1, (2, True, "revisit", 2): 6, (2, False, "response", None): 1, (3, False, "response", None): 1, (4, False, "revisit", 5): 1, (5, False, "response", None): 1, (None, True, "response", None): 1, (7, False, "response", None): 1}
     assert {r.page_id: bytes(r.payload) for r in rows}[3].decode() == pages[2][2]
-    high = warc.round_trip(df, 5).where("record_type = 'revisit'").count()
-    assert high == 0 and warc.round_trip(df.limit(0)).count() == 0
+    high = warc.round_trip(df, 5, compress).where("record_type = 'revisit'").count()
+    assert high == 0 and warc.round_trip(df.limit(0), compress=compress).count() == 0
+
+
+def test_packed_archives_may_be_one_member_and_damaged(tmp_path):
+    import gzip
+
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d:x>\r\nContent-Length: %d\r\n\r\n"
+    data = b"".join(head % (i, 4000 * i) + b"p" * 4000 * i + b"\r\n\r\n" for i in range(1, 30))
+    path = tmp_path / "one.warc.gz"
+    path.write_bytes(gzip.compress(data))
+    reader = warc.WarcReader({"path": str(path), "payload": "false"})
+    assert list(reader.pushFilters([warc.In(("page_id",), (3, 29))])) == []
+    assert [(r[0], r[4], r[7]) for r in reader.read(warc.WarcFile(str(path)))] == [(3, 12_000, None), (29, 116_000, None)]
+    path.write_bytes(gzip.compress(data)[:-40])
+    with pytest.raises(ValueError, match="breaks off"):
+        list(reader.read(warc.WarcFile(str(path))))
 
 
 def test_warc_pushdown_and_damage(spark, tmp_path):
