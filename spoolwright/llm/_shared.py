@@ -19,9 +19,11 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees; a local one only where the session names none."""
+    """The folder that every executor sees. Where the session names none, a local one; on a cluster that would lose data, so it raises."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{tempfile.gettempdir()}/spoolwright-{os.getuid()}"
     return path.rstrip("/")
 

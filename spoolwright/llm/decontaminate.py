@@ -1,25 +1,26 @@
 """Benchmark decontamination by a prefix-filtered set join, in DataFrame operations only.
 
 Every benchmark item gives windows of 13 consecutive words (one window of all its words if it has fewer). The elements of a window are
-its shingles of up to three consecutive words. They are ordered by how often they occur in the documents, and as containment needs
-every shingle of a window, its rarest one is the whole prefix that has to be joined. Joined positions must leave room for the window
-before and after (positional and length bounds); then the window's words are compared with the document's.
+its shingles of up to three consecutive words. Where they occur in the documents is found once; they are ordered by how often they do,
+and as containment needs every shingle of a window, its rarest one is the whole prefix that has to be joined. Joined positions must leave
+room for the window before and after (positional and length bounds); then the window's words are compared with the document's.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import spill
+from ._shared import spill, unused
 
 #: What parts words: every ASCII character but digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: More prefix shingles than this are joined by a shuffle, behind a Bloom filter, and no longer broadcast.
-BROADCAST_ROWS = 1_000_000
+#: So many shingles, of 8 bytes each, are broadcast at most; more are joined by a shuffle, common ones dealt over SALTS.
+BROADCAST_ROWS, SALTS = 1_000_000, 16
 
 
 def words(text: Column) -> Column:
@@ -46,22 +47,32 @@ def _windows(items: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _salted(many: DataFrame, few: DataFrame, on: str) -> DataFrame:
+    """An inner join in which each row of `few` stands in SALTS places, so that rows of a common value are dealt over them."""
+    few = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return many.withColumn("salt", F.pmod(F.xxhash64("key", "p"), F.lit(SALTS)).cast("int")).join(few, [on, "salt"]).drop("salt")
+
+
 def _occurring(docs: DataFrame, tokens: DataFrame, sizes: list[int], small: bool) -> DataFrame:
-    """Every position of a document at which one of the tokens starts: doc_id, key, ws, p and the token's columns."""
-    exploded = docs.select("doc_id", "key", "ws", F.posexplode("ws").alias("p", "w"))
-    token = [shingle(F.col("ws"), F.col("p"), n) for n in sizes]
-    many = exploded.select("doc_id", "key", "ws", "p", token[0].alias("token")) if len(token) == 1 else exploded.select("doc_id", "key", "ws", "p", F.explode(F.array(*token)).alias("token"))
-    return many.join(F.broadcast(tokens) if small else tokens, "token")
+    """Every position of a document at which one of the tokens starts: doc_id, key, p and token."""
+    token = lambda w, p, n: F.xxhash64(F.lit(n), w, *[F.get("ws", p + i) for i in range(1, n)])
+    if len(sizes) == 1:
+        at = F.posexplode(F.transform("ws", lambda w, p: token(w, p, sizes[0]))).alias("p", "token")
+    else:
+        at = F.inline(F.flatten(F.transform("ws", lambda w, p: F.array(*[F.struct(p.alias("p"), token(w, p, n).alias("token")) for n in sizes]))))
+    many = docs.select("doc_id", "key", at)
+    return many.join(F.broadcast(tokens), "token") if small else _salted(many, tokens, "token")
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: float = 0.05, prefix_words: int = 3) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: float = 0.05, prefix_words: int = 3, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (and key, a hash of the text).
 
     n_hit counts the words inside any occurrence of any window; a document is contaminated if it has hits and they are at least the
     given share of its words. Null and empty texts have no words and no hits; items without words give no windows; null item_ids name
-    no item. The checksum of no items is that of an empty string. Rows with equal doc_id and text get equal results each.
+    no item. The checksum of no items is that of an empty string. Rows with equal doc_id and text get equal results each. Other columns
+    of either table are not read.
     """
-    inverse = round(1 / share)
+    part = Fraction(str(share))
     cut = lambda t: F.xxhash64(t, F.octet_length(t))
     texts = docs.select("doc_id", cut(F.col("text")).alias("key"), words(F.col("text")).alias("ws"))
     windows = spill(_windows(items.select("item_id", "text"), size), "windows")
@@ -73,18 +84,20 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: floa
         windows.select("wid", F.lit(0).alias("off"), F.lit(0).cast("long").alias("token")).limit(0),
     )
     parts = spill(parts, "window_shingles")
-    vocabulary = parts.select("token").distinct()
-    small = vocabulary.count() <= BROADCAST_ROWS
+    vocabulary = spill(parts.select("token").distinct(), "vocabulary")
     if lengths:
-        counted = _occurring(texts, vocabulary, lengths, small).groupBy("token").agg(F.count("*").alias("n"))
+        met = spill(_occurring(texts, vocabulary, lengths, vocabulary.count() <= broadcast_rows), "occurrences")
+        counted = met.groupBy("token").agg(F.count("*").alias("n"))
         # a shingle that no document has rules its windows out
         ranked = parts.join(spill(counted, "shingle_counts"), "token", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("token"), F.col("off"))).alias("rarest"))
-        prefix = ranked.where("rarest.n > 0").select("wid", "rarest.token", "rarest.off").join(windows, "wid")
-        prefix = spill(prefix.groupBy("token").agg(F.collect_list(F.struct("off", "len", "window", "items")).alias("cases")), "prefixes")
-        found = _occurring(texts, prefix, lengths, small).select("doc_id", "key", "ws", "p", F.explode("cases").alias("c"))
-        start = F.col("p") - F.col("c.off")
-        found = found.where((start >= 0) & (start + F.col("c.len") <= F.size("ws"))).where(F.slice("ws", F.greatest(start, F.lit(0)) + 1, F.col("c.len")) == F.col("c.window"))
-        hits = found.select("doc_id", "key", start.alias("s"), (start + F.col("c.len")).alias("e"), F.col("c.items").alias("items"))
+        prefix = spill(ranked.where("rarest.n > 0").select("wid", "rarest.token", "rarest.off").join(windows, "wid"), "prefixes")
+        found = _salted(met, prefix, "token").select(F.col("doc_id").alias("d"), F.col("key").alias("k"), (F.col("p") - F.col("off")).alias("s"), "len", "window", "items").where("s >= 0")
+        found = spill(found, "candidates")
+        held = found.select(F.col("d").alias("a"), F.col("k").alias("b")).distinct()
+        held = texts.join(held, F.col("doc_id").eqNullSafe(F.col("a")) & (F.col("key") == F.col("b")), "left_semi").dropDuplicates(["doc_id", "key"])
+        found = found.join(held, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))).where(F.col("s") + F.col("len") <= F.size("ws"))
+        found = found.where(F.slice("ws", F.col("s") + 1, F.col("len")) == F.col("window"))
+        hits = found.select("doc_id", "key", "s", (F.col("s") + F.col("len")).alias("e"), "items")
     else:
         hits = texts.limit(0).select("doc_id", "key", F.lit(0).alias("s"), F.lit(0).alias("e"), F.array().cast("array<bigint>").alias("items"))
     # positions of one document: bounded by its own words
@@ -102,12 +115,13 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: floa
     return counts.join(per, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left").select(
         "doc_id", "n_words", hit.cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.encode(F.coalesce("names", F.lit("")), "UTF-8"), 256).alias("items_sha256"),
-        ((hit > 0) & (hit * inverse >= F.col("n_words"))).alias("contaminated"), "key",
+        ((hit > 0) & (hit * part.denominator >= F.col("n_words") * part.numerator)).alias("contaminated"), "key",
     )
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """docs without the contaminated rows; every other row and column as it is."""
-    bad = contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key")).distinct()
+    a, b = unused(docs, "bad_id"), unused(docs, "bad_key")
+    bad = contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias(a), F.col("key").alias(b)).distinct()
     bad = spill(bad, "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs["text"], F.octet_length(docs["text"])) == F.col("bad_key")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(a)) & (F.xxhash64(docs["text"], F.octet_length(docs["text"])) == F.col(b)), "left_anti")

@@ -214,6 +214,11 @@ def test_contamination(spark, edge, nothing):
     want = brute_contamination([(r.doc_id, r.text) for r in edge.collect()], items)
     got = decontaminate.contamination(edge, items_df).drop("key").collect()
     assert sorted(map(tuple, got), key=repr) == want
+    shuffled = decontaminate.contamination(edge, items_df, broadcast_rows=0).drop("key").collect()
+    assert sorted(map(tuple, shuffled), key=repr) == want
+    third = decontaminate.contamination(edge, items_df, share=0.3).where("contaminated").collect()
+    assert len(third) == sum(w[2] > 0 and 10 * w[2] >= 3 * w[1] for w in want)
+    assert decontaminate.clean_documents(edge.withColumn("bad_id", edge["doc_id"]), items_df).columns[-1] == "bad_id"
     kept = decontaminate.clean_documents(edge, items_df)
     assert kept.columns == edge.columns and kept.count() == sum(not w[-1] for w in want)
     assert decontaminate.contamination(nothing, items_df).count() == 0
@@ -221,6 +226,12 @@ def test_contamination(spark, edge, nothing):
     assert none.where("n_hit > 0 OR contaminated").count() == 0 and none.count() == edge.count()
 
 
+def test_both_joins_of_decontamination_agree(spark):
+    docs, items = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "benchmark"))
+    one, two = (sorted(map(tuple, decontaminate.contamination(docs, items, broadcast_rows=n).collect())) for n in (0, 10**6))
+    assert one == two and any(r[5] for r in one)
+
+
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
