@@ -5,14 +5,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .codec import ResidualCodec, encode_piecewise
+from .codec import ResidualCodec, decode_piecewise, encode_piecewise, lifted, measured_samples_per_token
 from .functions import signal, text
 from .operators import fragments, manifest, merge, offsets, progress
-from .plans.audio import list_entries
+from .plans import backfill, submission
+from .plans.audio import list_entries, list_totals
+from .sources import files, lines
+from .streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -80,10 +84,9 @@ def fragment_kept_ranges(spark, sf_dir):
 
 @query("SELECT doc_id, md5(text) AS digest FROM documents")
 def fragment_reassemble(spark, sf_dir):
-    """Cut into overlapping fragments, trim, stitch: nothing is lost. Texts stay in their row; only kept pieces are shuffled."""
-    f = fragments.with_fragments(_t(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), "n_chars", 1, 200, 20)
-    part = F.substr("text", (F.col("kept_begin") + 1).cast("int"), (F.col("kept_end") - F.col("kept_begin")).cast("int"))
-    return fragments.stitch(f.select("doc_id", "fragment", part.alias("part")), ["doc_id"], "fragment", "part").select("doc_id", F.md5("part").alias("digest"))
+    """Cut into overlapping fragments, trim, join: nothing is lost. Pieces stay in their row, so nothing is shuffled."""
+    pieces = fragments.cut(F.col("text"), fragments.fragment_ranges(F.col("n_chars"), 200, 20))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(F.array_join(pieces, "")).alias("digest"))
 
 
 B = """b AS (SELECT doc_id, text, n_chars AS t, unnest(range((n_chars + 99) // 100)) AS block_no FROM documents WHERE n_chars > 0),
@@ -98,9 +101,8 @@ def decode_windows(spark, sf_dir):
 
 @query("SELECT doc_id, md5(text) AS digest FROM documents WHERE n_chars > 0")
 def decode_reassemble(spark, sf_dir):
-    b = fragments.with_blocks(_t(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), "n_chars", 100, 12, 6)
-    part = F.substr("text", (F.col("emit_begin") + 1).cast("int"), (F.col("emit_end") - F.col("emit_begin")).cast("int"))
-    return fragments.stitch(b.select("doc_id", "block_no", part.alias("part")), ["doc_id"], "block_no", "part").select("doc_id", F.md5("part").alias("digest"))
+    pieces = fragments.cut(F.col("text"), fragments.block_ranges(F.col("n_chars"), 100, 12, 6))
+    return _t(spark, sf_dir, "documents").where("n_chars > 0").select("doc_id", F.md5(F.array_join(pieces, "")).alias("digest"))
 
 
 @query("SELECT doc_id, n_chars FROM documents WHERE n_chars < 18")
@@ -179,21 +181,29 @@ def _outputs(m: DataFrame) -> DataFrame:
     return m.where("pos % 6 <> 0").select(F.col("tar_stem").alias("stem"), kind.alias("kind"), F.when(F.col("pos") % 7 == 0, 0).otherwise(9).cast("bigint").alias("size"))
 
 
-@query(f"WITH {M} SELECT tar_path FROM m WHERE pos % 2 = 0 AND (pos % 6 = 0 OR (pos % 7 = 0 AND pos % 4 <> 0))")
+def _submitted(spark, sf_dir) -> DataFrame:
+    """Customers with orders: what has been submitted."""
+    return _manifest(spark, sf_dir).join(_t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("pos")), "pos", "left_semi").select("tar_path")
+
+
+SUB = f"{M}, sub AS (SELECT tar_path FROM m WHERE pos IN (SELECT o_custkey FROM orders))"
+
+
+@query(f"WITH {SUB} SELECT tar_path FROM m JOIN sub USING (tar_path) WHERE pos % 6 = 0 OR (pos % 7 = 0 AND pos % 4 <> 0)")
 def repair_failed(spark, sf_dir):
     m = _manifest(spark, sf_dir)
-    return progress.failed_submissions(m, m.where("pos % 2 = 0").select("tar_path"), _outputs(m))
+    return progress.failed_submissions(m, _submitted(spark, sf_dir), _outputs(m))
 
 
-@query(f"WITH {M} SELECT tar_path FROM m WHERE pos % 2 = 0 AND pos % 6 <> 0 AND pos % 4 = 0")
+@query(f"WITH {SUB} SELECT tar_path FROM m JOIN sub USING (tar_path) WHERE pos % 6 <> 0 AND pos % 4 = 0")
 def retry_partial(spark, sf_dir):
     m = _manifest(spark, sf_dir)
-    return progress.partial_submissions(m, m.where("pos % 2 = 0").select("tar_path"), _outputs(m))
+    return progress.partial_submissions(m, _submitted(spark, sf_dir), _outputs(m))
 
 
-@query("SELECT o_custkey AS custkey FROM orders UNION SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0")
+@query("SELECT o_custkey AS custkey FROM orders UNION SELECT c_custkey FROM customer")
 def state_merge(spark, sf_dir):
-    return _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey")).union(_t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select("c_custkey")).distinct()
+    return _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey")).union(_t(spark, sf_dir, "customer").select("c_custkey")).distinct()
 
 
 L = """raw AS (SELECT doc_id, source, strlen(text) AS bytes, string_split(text, chr(10)) AS ls FROM documents),
@@ -294,3 +304,152 @@ def codec_encode(spark, sf_dir):
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(t, pa.list_(pa.list_(pa.int32())))], ["vec_id", "tokens"])
 
     return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, tokens array<array<int>>")
+
+
+PATH = "regexp_extract(url, '([^/]+?)(\\.[^./]*)?$', 1)"
+
+
+@query(rf"""SELECT page_id, regexp_extract(url, '[^/](\.[^./]+)$', 1) AS suffix, regexp_extract(url, '^(.*)/[^/]*$', 1) AS parent, CASE WHEN starts_with(url, 'http:/') THEN substr(url, 7) ELSE url END AS below,
+{PATH} || '.jsonl.partial' AS partial, {PATH} || '.jsonl.temp' AS temp, {PATH} || '.tar' AS tar, {PATH} || '_reconstructed.wav' AS wav FROM pages""")
+def path_relatives(spark, sf_dir):
+    u = F.col("url")
+    names = [text.derived(u, k).alias(k) for k in ("partial", "temp", "tar", "wav")]
+    return _t(spark, sf_dir, "pages").select("page_id", text.suffix(u).alias("suffix"), text.parent(u).alias("parent"), text.relative_to(u, "http:/").alias("below"), *names)
+
+
+@query(f"SELECT jobid, regexp_extract(jobid, '^(\\d+)', 1)::BIGINT AS number, (o_custkey + 3) // 4 AS tasks, CASE WHEN (o_custkey + 3) // 4 <= 1 THEN '0' ELSE '0-' || ((o_custkey + 3) // 4 - 1) END AS tasks_range FROM (SELECT o_custkey, {JOB} AS jobid FROM orders)")
+def job_numbers(spark, sf_dir):
+    tasks = text.ceil_div(F.col("o_custkey"), 4)
+    return _t(spark, sf_dir, "orders").select("o_custkey", F.expr(JOB).alias("jobid")).select("jobid", text.job_number(F.col("jobid")).alias("number"), tasks.alias("tasks"), text.array_range(tasks).alias("tasks_range"))
+
+
+@query("SELECT page_id, url FROM pages WHERE NOT regexp_matches(url, '(^|/)[^/]*7$') AND NOT regexp_matches(url, '(^|/)1[^/]$') AND url <> 'http://therwh.example.org/es/12'")
+def index_inputs(spark, sf_dir):
+    """Inputs of an index: without those that match an exclusion, and without the index itself."""
+    from .sources.records import index_inputs as wanted
+
+    return wanted(_t(spark, sf_dir, "pages").select("page_id", "url"), "url", ["*7", "1?"], "http://therwh.example.org/es/12")
+
+
+@query("SELECT event_id, path, modified FROM (SELECT event_id, event_type AS path, ts AS modified FROM events) WHERE modified < TIMESTAMP '2024-01-20' - INTERVAL 168 HOUR")
+def old_files(spark, sf_dir):
+    listing = _t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("path"), F.col("ts").alias("modified"))
+    return files.older_than(listing, 168, "2024-01-20")
+
+
+@query("SELECT user_id, count(*) FILTER (trim(props) <> '') AS done FROM events GROUP BY user_id")
+def journal_progress(spark, sf_dir):
+    return progress.journal_counts(_t(spark, sf_dir, "events"), "user_id", "props")
+
+
+@query("SELECT user_id, count(*) FILTER (event_type = 'purchase') AS succeeded, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY user_id")
+def decode_tallies(spark, sf_dir):
+    return progress.tallies(_t(spark, sf_dir, "events"), ("user_id",), "event_type", succeeded="purchase", failed="error")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id % 100 = 0 AND event_id > 0")
+def progress_ticks(spark, sf_dir):
+    """Where progress is told: of all rows, those at every hundredth number."""
+    return progress.ticks(_t(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+
+
+@query(f"WITH {M}, r AS (SELECT *, row_number() OVER (ORDER BY pos) AS k FROM m) SELECT pos, tar_path, tar_stem FROM r WHERE k > 10")
+def manifest_offset(spark, sf_dir):
+    return submission.skip_first(_manifest(spark, sf_dir), 10)
+
+
+@query(f"WITH {SUB} SELECT tar_path FROM sub WHERE tar_path NOT IN (SELECT tar_path FROM m WHERE pos % 6 = 0 OR (pos % 7 = 0 AND pos % 4 <> 0))")
+def state_without_failed(spark, sf_dir):
+    m = _manifest(spark, sf_dir)
+    return submission.repaired(m, _submitted(spark, sf_dir), _outputs(m))[1]
+
+
+@query(f"WITH {SUB} SELECT tar_path FROM sub WHERE tar_path NOT IN (SELECT tar_path FROM m WHERE pos % 6 <> 0 AND pos % 4 = 0)")
+def state_without_partial(spark, sf_dir):
+    m = _manifest(spark, sf_dir)
+    return submission.repaired(m, _submitted(spark, sf_dir), _outputs(m), partial=True)[1]
+
+
+@query("SELECT count(*) AS entries, count(*) FILTER (coalesce(toxic, 0) = 0) AS succeeded, count(*) FILTER (toxic = 1) AS failed, round(sum(n_chars) / 24000.0::DOUBLE, 6) AS duration FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def listing_totals(spark, sf_dir):
+    totals = list_totals(list_entries_report(spark, sf_dir))
+    return totals.withColumn("duration", F.round("duration", 6))
+
+
+@query("""WITH c AS (SELECT conv_id, count(*) FILTER (role = 'user') AS u, count(*) FILTER (role = 'assistant') AS a, count(*) FILTER (role = 'user' AND turn % 4 = 0) AS new FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id)
+SELECT conv_id, u = a AS "commit", u AS "rows", CASE WHEN u = a THEN new ELSE 0 END AS updated FROM c""")
+def backfill_tallies(spark, sf_dir):
+    """Turns of users as records, of assistants as members: conversations of which every turn is answered commit."""
+    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    meta = F.struct(F.lit("pcm").alias("codec"))
+    records = c.where("role = 'user'").select("conv_id", F.col("turn").alias("line_number"), F.lit("a.wav").alias("audio_file"), F.when(F.col("turn") % 4 != 0, meta).alias("original_metadata"))
+    found = c.where("role = 'assistant'").select("conv_id", F.col("turn").alias("member_index"), F.lit("x/a.wav").alias("audio_file"), meta.alias("original_metadata"))
+    return backfill.enriched(records, found, "conv_id")[1].select("conv_id", "commit", "rows", "updated")
+
+
+@query("""WITH f AS (SELECT p_partkey, p_name AS line, sum(strlen(p_name) + 1) OVER (ORDER BY p_partkey)::BIGINT AS end_offset, row_number() OVER (ORDER BY p_partkey) AS line_number FROM part)
+SELECT line_number, end_offset - strlen(line) - 1 AS start_offset, end_offset, line, line AS found FROM f""")
+def file_line_index(spark, sf_dir):
+    """A line file on disk, indexed in byte ranges and read back by seeking. The table is written as one file first."""
+    folder = _scratch(spark, "lines")
+    _t(spark, sf_dir, "part").select("p_partkey", "p_name").coalesce(1).sortWithinPartitions("p_partkey").select("p_name").write.text(folder)
+    paths = [r.path for r in files.list_files(spark, folder, "part-*").collect()]
+    return lines.read_at(lines.index_lines(spark, paths, range_bytes=1000)).drop("path")
+
+
+def _scratch(spark, tag: str) -> str:
+    """A new folder that all executors see; a local one only in local mode."""
+    import tempfile
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.gettempdir()}"
+    return f"{root.rstrip('/')}/spoolwright-{tag}-{uuid.uuid4().hex}"
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def events_resume_stream(spark, sf_dir):
+    """Events as files of a stream, run twice with one checkpoint: the second run adds nothing."""
+    folder = _scratch(spark, "stream")
+    events = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    events.write.parquet(f"{folder}/in")
+    for _ in range(2):
+        incremental.run_available(spark, f"{folder}/in", events.schema, f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.schema(events.schema).parquet(f"{folder}/out")
+
+
+@query(f"WITH {B} SELECT doc_id, emit_begin, emit_end FROM e WHERE emit_end > emit_begin UNION ALL SELECT doc_id, 0, n_chars FROM documents WHERE n_chars BETWEEN 1 AND 17")
+def stateful_decode(spark, sf_dir):
+    """The progressive decoder as keyed state over a stream of blocks: what it gives out are the ranges of the closed form."""
+    folder = _scratch(spark, "blocks")
+    d = _t(spark, sf_dir, "documents").where("n_chars > 0").select(F.col("doc_id").alias("key"), F.col("n_chars").cast("long").alias("t"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), text.ceil_div(F.col("t"), 100) - 1)).alias("block_no")
+    blocks = d.select("key", "t", block).select("key", "block_no", F.least(F.lit(100).cast("long"), F.col("t") - 100 * F.col("block_no")).alias("n_tokens"), ((F.col("block_no") + 1) * 100 >= F.col("t")).alias("last"))
+    blocks.repartition("key").sortWithinPartitions("key", "block_no").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(blocks.schema).parquet(f"{folder}/in")
+    q = incremental.progressive_blocks(stream, 12, 6).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(incremental.BLOCKS).parquet(f"{folder}/out").select(F.col("key").alias("doc_id"), "emit_begin", "emit_end")
+
+
+@query("SELECT vec_id, 64::BIGINT AS samples, 4::BIGINT AS per_token, true AS near, true AS lifted FROM embeddings")
+def codec_roundtrip(spark, sf_dir):
+    """Embeddings encoded and decoded in pieces: every sample is there again, and within a quantiser step of the mean of its token."""
+
+    def run(batches):
+        c = ResidualCodec(24_000, 4)
+        per = measured_samples_per_token(c)
+        for b in batches:
+            rows = []
+            for v in b.column("embedding"):
+                x = v.values.to_numpy().astype(float)
+                t = encode_piecewise(c, x, 8, 1)
+                y = decode_piecewise(c, t, 8, 1, 1)
+                means = np.repeat(np.clip(x.reshape(-1, per).mean(1), -1, 1), per)
+                rows.append((len(y), per, bool(np.abs(y - means).max() < 1e-6), bool((c.decode(t[:, 0]) == c.decode(lifted(t[:, 0]))).all())))
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), *[pa.array(x) for x in zip(*rows, strict=True)]], ["vec_id", "samples", "per_token", "near", "lifted"])
+
+    return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, samples long, per_token long, near boolean, lifted boolean")

@@ -18,6 +18,17 @@ class Codec(Protocol):
     def decode(self, tokens: np.ndarray) -> np.ndarray: ...  # T * samples_per_token floats
 
 
+def lifted(tokens) -> np.ndarray:
+    """A token matrix; a vector stands for a single frame, that is a column."""
+    t = np.asarray(tokens)
+    return t[:, None] if t.ndim == 1 else t
+
+
+def measured_samples_per_token(codec: Codec, stages: int = 8) -> int:
+    """What one frame of zero tokens decodes to."""
+    return len(codec.decode(np.zeros((stages, 1), np.int32)))
+
+
 class ResidualCodec:
     """Each token covers `samples_per_token` samples by their mean, quantised by 8 stages that each split what is left into 16 steps."""
 
@@ -41,7 +52,7 @@ class ResidualCodec:
         return out
 
     def decode(self, tokens: np.ndarray) -> np.ndarray:
-        tokens = np.asarray(tokens)
+        tokens = lifted(tokens)
         if tokens.ndim != 2 or tokens.shape[0] != self.stages:
             raise ValueError(f"expected {self.stages} rows of tokens")
         scales = (1.0 / self.levels) ** np.arange(self.stages)
@@ -54,10 +65,14 @@ def read_wave(data: bytes, sample_rate: int | None = None, trim: bool = True) ->
     with wave.open(io.BytesIO(data)) as w:
         rate, channels, width, n = w.getframerate(), w.getnchannels(), w.getsampwidth(), w.getnframes()
         raw = w.readframes(n)
-    kinds = {1: "u1", 2: "<i2", 4: "<i4"}
-    if width not in kinds:
+    if width == 3:  # the highest bytes of 32 bits
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+        x = (wide.view("<i4").ravel() >> 8).astype(float)
+    elif width in (1, 2, 4):
+        x = np.frombuffer(raw, {1: "u1", 2: "<i2", 4: "<i4"}[width]).astype(float)
+    else:
         raise ValueError(f"unsupported sample width {width}")
-    x = np.frombuffer(raw, kinds[width]).astype(float)
     x = (x - 128) / 128 if width == 1 else x / 2.0 ** (8 * width - 1)
     x = x.reshape(-1, channels).mean(1)
     if sample_rate and sample_rate != rate and len(x):

@@ -17,6 +17,27 @@ def stem(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
 
 
+def suffix(path: Column) -> Column:
+    """The last suffix with its dot, or nothing."""
+    return F.regexp_extract(path, r"[^/](\.[^./]+)$", 1)
+
+
+def parent(path: Column) -> Column:
+    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+
+
+def relative_to(path: Column, folder: str) -> Column:
+    """The path below a folder; other paths as they are."""
+    root = folder.rstrip("/") + "/"
+    return F.when(path.startswith(root), F.substring(path, len(root) + 1, 1 << 30)).otherwise(path)
+
+
+def derived(path: Column, kind: str) -> Column:
+    """The name of what belongs to a path: final, partial, temp, tar or wav."""
+    ends = {"final": ".jsonl", "partial": ".jsonl.partial", "temp": ".jsonl.temp", "tar": ".tar", "wav": "_reconstructed.wav"}
+    return F.concat(stem(path), F.lit(ends[kind]))
+
+
 def strip(text: Column) -> Column:
     """Without white space at either end."""
     return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
@@ -48,6 +69,19 @@ def matches_any(path: Column, patterns: list[str]) -> Column:
     return out
 
 
+def ceil_div(n: Column, by: int) -> Column:
+    return F.floor((n + (by - 1)) / F.lit(by)).cast("long")
+
+
+def job_number(jobid: Column) -> Column:
+    return F.regexp_extract(jobid, r"^(\d+)", 1).try_cast("bigint")
+
+
+def fixed(x: Column, digits: int) -> Column:
+    """A number with so many decimals, as text; for reports only, as halves are rounded up."""
+    return F.format_string(f"%.{digits}f", x.cast("double"))
+
+
 def task_count(jobid: Column) -> Column:
     """Tasks that an array job's id stands for: id_[a-b] has b - a + 1; every other form, readable or not, has one."""
     low = F.regexp_extract(jobid, r"_\[(\d+)-(\d+)\]$", 1).try_cast("bigint")

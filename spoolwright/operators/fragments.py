@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _ceil_div(a: Column, b: int) -> Column:
-    return F.floor((a + (b - 1)) / F.lit(b)).cast("long")
+from ..functions.text import ceil_div as _ceil_div
 
 
 def with_fragments(df: DataFrame, samples: str, per_token: int, most: int, overlap: int) -> DataFrame:
@@ -34,6 +32,31 @@ def with_fragments(df: DataFrame, samples: str, per_token: int, most: int, overl
     })
 
 
+def fragment_ranges(samples: Column, most: int, overlap: int) -> Column:
+    """The kept ranges of a waveform of one sample a token as an array (begin, end), so that pieces can be cut within a row."""
+    if overlap < 0 or most <= 2 * overlap:
+        raise ValueError("most must exceed twice the overlap")
+    n, step = samples.cast("long"), most - 2 * overlap
+    last = F.when(n <= most, F.lit(0).cast("long")).otherwise(_ceil_div(n - most, step))
+    one = lambda k: F.struct((k * step + F.when(k > 0, overlap).otherwise(0)).alias("begin"), F.when(k == last, n).otherwise(k * step + most - overlap).alias("end"))
+    return F.transform(F.sequence(F.lit(0).cast("long"), last), one)
+
+
+def block_ranges(tokens: Column, block: int, context: int, tail: int) -> Column:
+    """What each block of with_blocks() emits, as an array (begin, end) within a row."""
+    t, carry = tokens.cast("long"), context + tail
+    last = lambda k: (k + 1) * block >= t
+    begin = lambda k: F.when(k * block < carry, F.lit(0).cast("long")).otherwise(k * block - tail)
+    one = lambda k: F.struct(begin(k).alias("begin"), F.when(last(k), t).otherwise((k + 1) * block - tail).alias("end"))
+    all_blocks = F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(_ceil_div(t, block) - 1, F.lit(0).cast("long"))), lambda k: ((k + 1) * block >= carry) | last(k))
+    return F.when(t > 0, F.transform(all_blocks, one))
+
+
+def cut(text: Column, ranges: Column) -> Column:
+    """The pieces of a text at ranges (begin, end)."""
+    return F.transform(ranges, lambda r: F.substr(text, (r["begin"] + 1).cast("int"), (r["end"] - r["begin"]).cast("int")))
+
+
 def with_blocks(df: DataFrame, tokens: str, block: int, context: int, tail: int, strict: bool = False) -> DataFrame:
     """df with a row for each block that emits: block_no, read_begin, read_end, emit_begin, emit_end in tokens.
 

@@ -24,5 +24,9 @@ def line_offsets(files: DataFrame, key: str, text: str) -> DataFrame:
 
 def lookup(index: DataFrame, files: DataFrame, key: str, text: str) -> DataFrame:
     """The bytes between the offsets of index, as text."""
-    at = F.substring(F.encode(text, "UTF-8"), F.col("start_offset").cast("int") + 1, (F.col("end_offset") - F.col("start_offset")).cast("int"))
-    return index.join(files.select(key, text), key).withColumn("found", F.decode(at, "UTF-8")).drop(text)
+    # the entries of a file meet its text once; files on disk are read by seeking, see sources.lines
+    entries = index.groupBy(key).agg(F.collect_list(F.struct(*[c for c in index.columns if c != key])).alias("entries"))
+    raw = files.select(key, F.encode(text, "UTF-8").alias("raw"))
+    at = lambda e: F.decode(F.substring(F.col("raw"), e["start_offset"].cast("int") + 1, (e["end_offset"] - e["start_offset"]).cast("int")), "UTF-8")
+    both = entries.join(raw, key).select(key, F.explode(F.transform("entries", lambda e: F.struct(e.alias("e"), at(e).alias("found")))).alias("x"))
+    return both.select(key, "x.e.*", "x.found")

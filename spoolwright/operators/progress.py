@@ -33,6 +33,23 @@ def resume(members: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return members.join(done.select(*keys), keys, "left_anti")
 
 
+def journal_counts(lines: DataFrame, key: str, line: str) -> DataFrame:
+    """Lines that are not blank in each journal."""
+    from ..functions.text import is_blank
+
+    return lines.groupBy(key).agg(F.count_if(~is_blank(F.col(line))).alias("done"))
+
+
+def tallies(rows: DataFrame, keys: tuple, status: str, **names: str) -> DataFrame:
+    """Rows of each status, under the names given (name=status); rows of other statuses, such as skipped ones, count nowhere."""
+    return rows.groupBy(*keys).agg(*[F.count_if(F.col(status) == s).alias(n) for n, s in names.items()])
+
+
+def ticks(rows: DataFrame, number: str, every: int = 100) -> DataFrame:
+    """The rows at which progress is told: every so many, by a number from 0, but not the first."""
+    return rows.where((F.col(number) % every == 0) & (F.col(number) > 0))
+
+
 def pending_batch(manifest: DataFrame, processed: DataFrame, submitted: DataFrame, most_jobs: int, queued: int, per_task: int = 4) -> DataFrame:
     """The next archives in manifest order, neither processed (by stem) nor submitted (by path), for the jobs that are still free."""
     k = max(0, (most_jobs - queued) * per_task)

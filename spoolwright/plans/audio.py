@@ -1,7 +1,9 @@
-"""Whole flows: tokenize archives, resume, decode, index. Errors are rows, not failures."""
+"""Whole flows: tokenize archives or one file, resume, decode to files, list. Errors are rows, not failures."""
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from ..codec import ResidualCodec, decode_piecewise, encode_piecewise, read_wave
 from ..functions.text import stem
 from ..operators.progress import resume
 from ..schemas import RESULTS
+from ..sources.files import drop_folder
 from ..sources.records import read_results, write_results
 from ..sources.tar import fetch, read_members
 
@@ -48,13 +51,16 @@ def tokenize(spark: SparkSession, tars: list[str], out: str, extensions: list[st
     done = old.select(F.col("tar_file").alias("tar_path"), "audio_file")
     todo = resume(members, done, ["tar_path", "audio_file"])
     new = encode_members(fetch(todo.repartition(F.col("tar_path"), F.col("member_index"))), codec, **sizes)
-    staged = out.rstrip("/") + ".staged"
+    run = uuid.uuid4().hex  # two runs do not share what they stage
+    staged = f"{out.rstrip('/')}.staged-{run}"
     new.write.mode("overwrite").json(staged)
     new = spark.read.schema(RESULTS).json(staged)
     touched = new.select("tar_file").distinct()
-    whole = out.rstrip("/") + ".whole"
+    whole = f"{out.rstrip('/')}.whole-{run}"
     old.join(touched, "tar_file", "left_semi").unionByName(new).write.mode("overwrite").json(whole)
     write_results(spark.read.schema(RESULTS).json(whole), out)
+    for folder in (staged, whole):
+        drop_folder(spark, folder)
     return spark.read.schema(RESULTS).json(out)
 
 
@@ -78,6 +84,63 @@ def decode(results: DataFrame, codec=ResidualCodec, block: int = 10_000, context
     return named.mapInArrow(run, schema)
 
 
+def tokenize_file(spark: SparkSession, path: str, out: str, codec=ResidualCodec, force: bool = False, **sizes) -> DataFrame:
+    """The record of one clip, written as a single JSON line; an error makes a record too. What is there is kept unless force."""
+    from ..sources.files import _store
+
+    store, p = _store(spark, out)
+    if store.exists(p) and not force:
+        return spark.read.schema(RESULTS).json(out)
+    clip = spark.read.format("binaryFile").load(path).select(F.lit(None).cast("string").alias("tar_path"), F.col("path").alias("audio_file"), "content")
+    encode_members(clip, codec, **sizes).coalesce(1).write.mode("overwrite").json(out)
+    return spark.read.schema(RESULTS).json(out)
+
+
+def decode_to_files(results: DataFrame, folder: str, force: bool = False, **options) -> DataFrame:
+    """WAV files of decoded records below a folder; returns audio_file, output_name, status: ok, failed or skipped.
+
+    Names that exist are skipped before anything is decoded, unless force. Of records with the same stem the first by audio_file, then by
+    its tokens, writes; the others are skipped. A task writes under a name of its attempt and renames, so that it can be run again.
+    """
+    from pyspark import TaskContext
+    from pyspark.sql import Window
+
+    from ..sources.files import list_files, plain
+
+    spark, base = results.sparkSession, plain(folder).rstrip("/")
+    named = results.withColumn("output_name", F.concat(stem(F.col("audio_file")), F.lit("_reconstructed.wav")))
+    there = list_files(spark, folder, "*_reconstructed.wav").select(F.element_at(F.split("path", "/"), -1).alias("output_name"))
+    first = Window.partitionBy("output_name").orderBy("audio_file", F.xxhash64(F.to_json(F.struct("tokens"))))
+    named = named.withColumn("turn", F.row_number().over(first))
+    todo = named.where("turn = 1")
+    todo = todo if force else todo.join(there, "output_name", "left_anti")
+    skipped = named.select("audio_file", "output_name", F.lit("skipped").alias("status")).exceptAll(todo.select("audio_file", "output_name", F.lit("skipped").alias("status")))
+
+    def write(batches):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(base if "://" in base else f"file://{base}")
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            status = []
+            for r in batch.to_pylist():
+                if r["status"] == "ok":
+                    temp = f"{root}/.{r['output_name']}-{TaskContext.get().taskAttemptId()}"
+                    with store.open_output_stream(temp, compression=None) as f:
+                        f.write(r["wav"])
+                    store.move(temp, f"{root}/{r['output_name']}")
+                status.append(r["status"])
+            yield pa.RecordBatch.from_arrays([batch.column("audio_file"), batch.column("output_name"), pa.array(status)], ["audio_file", "output_name", "status"])
+
+    written = decode(todo.drop("output_name", "turn"), **options).mapInArrow(write, "audio_file string, output_name string, status string")
+    return written.unionByName(skipped)
+
+
+def list_totals(entries: DataFrame) -> DataFrame:
+    """Entries, errors and total duration of what list_entries() gives."""
+    return entries.agg(F.count("*").alias("entries"), F.count_if(~F.col("is_error")).alias("succeeded"), F.count_if("is_error").alias("failed"), F.sum("duration").alias("duration"))
+
+
 def list_entries(results: DataFrame) -> DataFrame:
     """audio_file, num_samples, duration, num_tokens, is_error, with the defaults that old files need."""
     n = F.coalesce("num_samples", F.lit(0))

@@ -25,7 +25,7 @@ def progressive_blocks(stream: DataFrame, context: int, tail: int) -> DataFrame:
 
     def step(key, frames, state):
         seen, given = state.get if state.exists else (0, 0)
-        out = []
+        out, ended = [], False
         for f in frames:
             for n, last in zip(f.n_tokens, f["last"], strict=True):
                 seen += int(n)
@@ -34,9 +34,13 @@ def progressive_blocks(stream: DataFrame, context: int, tail: int) -> DataFrame:
                     if end > given:
                         out.append((key[0], given, end))
                     given = max(given, end)
+                ended = last
                 if last:
                     seen = given = 0
-        state.update((seen, given))
+        if ended:  # nothing is kept of a key whose last block has come
+            state.remove()
+        else:
+            state.update((seen, given))
         yield pd.DataFrame(out, columns=["key", "emit_begin", "emit_end"])
 
     return stream.groupBy("key").applyInPandasWithState(step, BLOCKS, "seen long, given long", "append", GroupStateTimeout.NoTimeout)
