@@ -1,9 +1,9 @@
 """Benchmark decontamination by a prefix-filtered set join, in DataFrame operations only.
 
 Every benchmark item gives windows of 13 consecutive words (one window of all its words if it has fewer). The elements of a window are
-its shingles of up to three consecutive words. Where they occur in the documents is found once; they are ordered by how often they do,
-and as containment needs every shingle of a window, its rarest one is the whole prefix that has to be joined. Joined positions must leave
-room for the window before and after (positional and length bounds); then the window's words are compared with the document's.
+its shingles of up to three consecutive words. They are ordered by how often they occur in the documents, and as containment needs
+every shingle of a window, its rarest one is the whole prefix that has to be joined. Joined positions must leave room for the window
+before and after (positional and length bounds); then the window's words are compared with the document's.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from ._shared import spill, unused
 #: What parts words: every ASCII character but digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: So many shingles, of 8 bytes each, are broadcast at most; more are joined by a shuffle, common ones dealt over SALTS.
-BROADCAST_ROWS, SALTS = 1_000_000, 16
+#: So many shingles, of 8 bytes each, and so many bytes of windows are broadcast at most. More are joined by a shuffle of positions, common
+#: shingles dealt over SALTS, and words are fetched for candidates only. Texts then cross the network once; in the other plan, never.
+BROADCAST_ROWS, BROADCAST_BYTES, SALTS = 1_000_000, 128 << 20, 16
 
 
 def words(text: Column) -> Column:
@@ -54,13 +55,14 @@ def _salted(many: DataFrame, few: DataFrame, on: str) -> DataFrame:
 
 
 def _occurring(docs: DataFrame, tokens: DataFrame, sizes: list[int], small: bool) -> DataFrame:
-    """Every position of a document at which one of the tokens starts: doc_id, key, p and token."""
-    token = lambda w, p, n: F.xxhash64(F.lit(n), w, *[F.get("ws", p + i) for i in range(1, n)])
-    if len(sizes) == 1:
-        at = F.posexplode(F.transform("ws", lambda w, p: token(w, p, sizes[0]))).alias("p", "token")
-    else:
-        at = F.inline(F.flatten(F.transform("ws", lambda w, p: F.array(*[F.struct(p.alias("p"), token(w, p, n).alias("token")) for n in sizes]))))
-    many = docs.select("doc_id", "key", at)
+    """Every position of a document at which one of the tokens starts: doc_id, key, p, token, what is known of it, and ws, the document's words, if small.
+
+    Generated code holds the words of a row by reference, and rows that no token meets are never written; behind an exchange ws is left out.
+    """
+    token = [shingle(F.col("ws"), F.col("p"), n) for n in sizes]
+    kept = ["doc_id", "key", *(["ws"] if small else []), "p"]
+    many = docs.select("doc_id", "key", "ws", F.posexplode("ws").alias("p", "w"))
+    many = many.select(*kept, token[0].alias("token")) if len(token) == 1 else many.select(*kept, F.explode(F.array(*token)).alias("token"))
     return many.join(F.broadcast(tokens), "token") if small else _salted(many, tokens, "token")
 
 
@@ -85,18 +87,26 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: floa
     )
     parts = spill(parts, "window_shingles")
     vocabulary = spill(parts.select("token").distinct(), "vocabulary")
+    size_of = windows.agg(F.coalesce(F.sum(F.octet_length(F.array_join("window", " ")) + 16 * F.size("items") + 64), F.lit(0))).first()[0]
+    small = vocabulary.count() <= broadcast_rows and size_of <= BROADCAST_BYTES
     if lengths:
-        met = spill(_occurring(texts, vocabulary, lengths, vocabulary.count() <= broadcast_rows), "occurrences")
+        met = _occurring(texts, vocabulary, lengths, small)
+        met = met if small else spill(met.select("doc_id", "key", "p", "token"), "occurrences")
         counted = met.groupBy("token").agg(F.count("*").alias("n"))
         # a shingle that no document has rules its windows out
         ranked = parts.join(spill(counted, "shingle_counts"), "token", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("token"), F.col("off"))).alias("rarest"))
         prefix = spill(ranked.where("rarest.n > 0").select("wid", "rarest.token", "rarest.off").join(windows, "wid"), "prefixes")
-        found = _salted(met, prefix, "token").select(F.col("doc_id").alias("d"), F.col("key").alias("k"), (F.col("p") - F.col("off")).alias("s"), "len", "window", "items").where("s >= 0")
-        found = spill(found, "candidates")
-        held = found.select(F.col("d").alias("a"), F.col("k").alias("b")).distinct()
-        held = texts.join(held, F.col("doc_id").eqNullSafe(F.col("a")) & (F.col("key") == F.col("b")), "left_semi").dropDuplicates(["doc_id", "key"])
-        found = found.join(held, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))).where(F.col("s") + F.col("len") <= F.size("ws"))
-        found = found.where(F.slice("ws", F.col("s") + 1, F.col("len")) == F.col("window"))
+        start = (F.col("p") - F.col("off")).alias("s")
+        if small:
+            cases = spill(prefix.groupBy("token").agg(F.collect_list(F.struct("off", "len", "window", "items")).alias("cases")), "cases")
+            found = _occurring(texts, cases, lengths, small).select("doc_id", "key", "ws", "p", F.inline("cases")).select("doc_id", "key", "ws", start, "len", "window", "items")
+        else:
+            thin = spill(_salted(met, prefix, "token").select(F.col("doc_id").alias("d"), F.col("key").alias("k"), start, "len", "window", "items").where("s >= 0"), "candidates")
+            held = spill(thin.select(F.col("d").alias("a"), F.col("k").alias("b")).distinct(), "candidate_rows")
+            rows = docs.select("doc_id", cut(F.col("text")).alias("key"), "text").join(held, F.col("doc_id").eqNullSafe(F.col("a")) & (F.col("key") == F.col("b")), "left_semi")
+            rows = rows.dropDuplicates(["doc_id", "key"]).select("doc_id", "key", words(F.col("text")).alias("ws"))
+            found = thin.join(rows, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key")))
+        found = found.where((F.col("s") >= 0) & (F.col("s") + F.col("len") <= F.size("ws"))).where(F.slice("ws", F.greatest("s", F.lit(0)) + 1, F.col("len")) == F.col("window"))
         hits = found.select("doc_id", "key", "s", (F.col("s") + F.col("len")).alias("e"), "items")
     else:
         hits = texts.limit(0).select("doc_id", "key", F.lit(0).alias("s"), F.lit(0).alias("e"), F.array().cast("array<bigint>").alias("items"))
