@@ -29,6 +29,8 @@ BLOCK, BLOCK_CHARS = 256, 1 << 23
 #: At most so many buckets are hot: those with more members than the same share of all. Their members are dealt over SALTS wherever they
 #: meet a fact about their bucket.
 HOT_BUCKETS, SALTS = 20_000, 16
+#: Rows of two or three numbers each that are broadcast to pick texts out, counted before; more are joined by a shuffle of the texts.
+BROADCAST_ROWS = 1_000_000
 #: Shingles of compared texts that a worker keeps, of 12 bytes each.
 CACHED_SHINGLES = 3_000_000
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -205,6 +207,11 @@ class Compared:
         return self.known[node]
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """A spilled table, to be broadcast if it is counted small."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _with_facts(members: DataFrame, facts: DataFrame) -> DataFrame:
     """Members (bucket, hot, node) of buckets with the facts (bucket, hot) about them; those of a hot bucket meet them in SALTS places."""
     many = F.sequence(F.lit(0), F.when(F.col("hot"), SALTS - 1).otherwise(0))
@@ -249,7 +256,7 @@ class _Corpus:
         self.members = spill(cold.withColumn("hot", F.lit(False)).unionByName(warm.withColumn("hot", F.lit(True))), "members")
         ends = spill(self.members.select("node").distinct(), "member_nodes")
         wanted = spill(self.nodes.join(ends, "node", "left_semi").select("node", "rep_id", "rep_raw"), "member_rows")
-        found = self.texts.join(wanted, (F.col("doc_id") == F.col("rep_id")) & (F.col("raw") == F.col("rep_raw"))).select("node", "text")
+        found = self.texts.join(_few(wanted), (F.col("doc_id") == F.col("rep_id")) & (F.col("raw") == F.col("rep_raw"))).select("node", "text")
         self.member_texts = spill(found.groupBy("node").agg(F.min("text").alias("text")) if self.repeated else found, "member_texts")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
@@ -365,7 +372,7 @@ def without_copies(docs: DataFrame) -> DataFrame:
     """docs with one row of each class: that with the least doc_id. Rows with a null doc_id or a null text all stay; of repeated rows one does."""
     corpus, classes = _classes(docs)
     kept = spill(classes.groupBy("class_no").agg(F.min(F.struct("rep_id", "rep_raw")).alias("rep")).select("rep.rep_id", "rep.rep_raw"), "kept")
-    found = docs.join(kept, (docs["doc_id"].cast("long") == kept["rep_id"]) & (F.xxhash64(docs["text"]) == kept["rep_raw"]) & docs["text"].isNotNull(), "left_semi")
+    found = docs.join(_few(kept), (docs["doc_id"].cast("long") == kept["rep_id"]) & (F.xxhash64(docs["text"]) == kept["rep_raw"]) & docs["text"].isNotNull(), "left_semi")
     if corpus.repeated:
         no = unused(docs, "kept_no")
         first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64("text"))
