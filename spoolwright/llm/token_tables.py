@@ -7,6 +7,7 @@ ChunkCounter encodes overlapping chunks of huge texts with offsets and splices t
 from __future__ import annotations
 
 import json
+import os
 import re
 from itertools import chain
 
@@ -24,6 +25,8 @@ _CLASS[128:], _CLASS[128:192], _CLASS[195:202] = ODD, LETTER, LETTER  # bytes th
 NOT_LATIN = re.compile("[\x80-\xbf\u00d7\u00f7\u0250-\U0010ffff]")
 #: The pre-token pattern of the file that drops white space (fixed value).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: White space to Python but not to the tokenizers.
+CONTROLS = re.compile("[\x1c-\x1f]")
 #: White space between non-white space and an ASCII letter or digit.
 GAP = re.compile(r"(?<=[^\s\x1c-\x1f])[ \n](?=[A-Za-z0-9])")
 
@@ -37,6 +40,7 @@ def byte_alphabet() -> dict[int, str]:
 
 def load(path: str):
     """The tokenizer of a file, without truncation and padding, and what the file says."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -221,12 +225,14 @@ class ChunkCounter:
     anew on either side and no normaliser works across, which no token of either chunk spans, and behind which both chunks have the
     same tokens at the same offsets up to the last white space of the overlap. Tokens before it are counted from the left chunk's
     encoding, those behind it from the right one's. Where there is none, the right chunk is encoded again with an overlap of twice the
-    length, and in the end as one with the left chunk. A tokenizer file for which white space proves nothing has texts encoded whole.
+    length, and in the end as one with the left chunk. Shorter texts are counted by their distinct words, which the library encodes once
+    and which are kept within a bound on their bytes. A tokenizer file for which white space proves nothing has texts encoded whole.
     """
 
-    def __init__(self, path: str, chunk: int = 16_384, overlap: int = 256):
+    def __init__(self, path: str, chunk: int = 16_384, overlap: int = 256, most_bytes: int = 64 << 20):
         self.tokenizer, file = load(path)
         self.chunk, self.overlap, self.proves = chunk, min(overlap, chunk // 2), drops_white_space(file)
+        self.words, self.held, self.most = {}, 0, most_bytes
         self.calls = self.characters = 0  # pieces that the library encoded, and their length
 
     def encoded(self, pieces: list[str]) -> list:
@@ -235,13 +241,26 @@ class ChunkCounter:
         return self.tokenizer.encode_batch(pieces, add_special_tokens=False)
 
     def counts(self, texts: list[str | None]) -> list[int]:
-        huge = {i for i, t in enumerate(texts) if t and self.proves and len(t) > self.chunk}
-        short = [i for i, t in enumerate(texts) if t and i not in huge]
         out = [0] * len(texts)
-        for i, e in zip(short, self.encoded([texts[i] for i in short]) if short else [], strict=True):
+        whole, split = [], {}
+        for i, t in enumerate(texts):
+            if t and self.proves and len(t) > self.chunk:
+                out[i] = self.spliced(t)
+            elif t and self.proves and not CONTROLS.search(t):
+                split[i] = t.split()
+            elif t:
+                whole.append(i)
+        for i, e in zip(whole, self.encoded([texts[i] for i in whole]) if whole else [], strict=True):
             out[i] = len(e)
-        for i in huge:
-            out[i] = self.spliced(texts[i])
+        # white space parts pre-tokens and is dropped, so the counts of a short text's words add up; distinct ones are encoded once
+        if self.held > self.most:
+            self.words, self.held = {}, 0
+        new = list({w for ws in split.values() for w in ws}.difference(self.words))
+        if new:
+            self.words.update(zip(new, map(len, self.encoded(new)), strict=True))
+            self.held += sum(map(len, new)) + 150 * len(new)
+        for i, ws in split.items():
+            out[i] = sum(map(self.words.__getitem__, ws))
         return out
 
     def placed(self, text: str, start: int, end: int) -> tuple[int, int, np.ndarray, np.ndarray]:
