@@ -25,6 +25,8 @@ _CLASS[128:], _CLASS[128:192], _CLASS[195:202] = ODD, LETTER, LETTER  # bytes th
 NOT_LATIN = re.compile("[\x80-\xbf\u00d7\u00f7\u0250-\U0010ffff]")
 #: The pre-token pattern of the file that drops white space (fixed value).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: That pattern for lower-cased ASCII words.
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: White space to Python but not to the tokenizers.
 CONTROLS = re.compile("[\x1c-\x1f]")
 #: White space between non-white space and an ASCII letter or digit.
@@ -225,14 +227,19 @@ class ChunkCounter:
     anew on either side and no normaliser works across, which no token of either chunk spans, and behind which both chunks have the
     same tokens at the same offsets up to the last white space of the overlap. Tokens before it are counted from the left chunk's
     encoding, those behind it from the right one's. Where there is none, the right chunk is encoded again with an overlap of twice the
-    length, and in the end as one with the left chunk. Shorter texts are counted by their distinct words, which the library encodes once
-    and which are kept within a bound on their bytes. A tokenizer file for which white space proves nothing has texts encoded whole.
+    length, and in the end as one with the left chunk. Shorter texts are counted by their distinct words, which the library, or for ASCII
+    its model, encodes once and which are kept within a bound on their bytes. A tokenizer file for which white space proves nothing has texts encoded whole.
     """
 
     def __init__(self, path: str, chunk: int = 16_384, overlap: int = 256, most_bytes: int = 64 << 20):
         self.tokenizer, file = load(path)
         self.chunk, self.overlap, self.proves = chunk, min(overlap, chunk // 2), drops_white_space(file)
         self.words, self.held, self.most = {}, 0, most_bytes
+        pre = _steps(file["pre_tokenizer"], "pretokenizers")
+        lowers = any(n["type"] == "Lowercase" for n in _steps(file["normalizer"], "normalizers"))
+        self.by_model = self.proves and lowers and [p["type"] for p in pre] == ["Split", "ByteLevel"] and not pre[1].get("use_regex", True) and not pre[1]["add_prefix_space"]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in file["added_tokens"]) or r"(?!)")
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         self.calls = self.characters = 0  # pieces that the library encoded, and their length
 
     def encoded(self, pieces: list[str]) -> list:
@@ -257,7 +264,11 @@ class ChunkCounter:
             self.words, self.held = {}, 0
         new = list({w for ws in split.values() for w in ws}.difference(self.words))
         if new:
-            self.words.update(zip(new, map(len, self.encoded(new)), strict=True))
+            plain = [w for w in new if self.by_model and w.isascii() and not self.special.search(w)]
+            for w in plain:
+                self.words[w] = sum(len(self.model.tokenize(p.translate(self.alphabet))) for p in ASCII_WORDS.findall(w.lower()))
+            other = [w for w in new if w not in self.words]
+            self.words.update(zip(other, map(len, self.encoded(other) if other else []), strict=True))
             self.held += sum(map(len, new)) + 150 * len(new)
         for i, ws in split.items():
             out[i] = sum(map(self.words.__getitem__, ws))
