@@ -269,6 +269,28 @@ def test_mixing(spark, edge, nothing):
     assert mixing.curriculum(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
 
 
+def test_mixing_does_not_depend_on_chunks(spark):
+    """Whatever the chunks and partitions, each row stands at the same place; copies of one row follow one another, as a plain walk has them."""
+    rows = [(1, "a b c", "hot")] * 400 + [(i, "w " * (i % 7), "hot" if i % 3 else None) for i in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def mix(parts, chunk_rows):
+        return sorted((r.doc_id, r.source or "", r.size, r.taken, tuple(r.epochs), tuple(-1 if x is None else round(x, 6) for x in r.positions)) for r in mixing.curriculum(docs.repartition(parts), chunk_rows=chunk_rows).collect())
+
+    want = mix(1, 20_000)
+    assert want == mix(5, 13) and len(want) == len(rows)
+    hashed = {(r.doc_id, r.source): r.h for r in mixing.curriculum(docs).collect()}
+    targets = brute_targets({s: sum(len(t.split()) for _, t, x in rows if x == s) for s in ("hot", None)})
+    walked, at, size = [], collections.Counter(), collections.Counter()
+    for i, t, s in rows:
+        size[s] += len(t.split())
+    for i, t, s in sorted(rows, key=lambda r: (hashed[r[0], r[2]] % 2**64, r[0])):
+        n, goal = len(t.split()), int(targets[s] + 0.5)
+        walked.append((i, s or "", n, tuple(max(0, min(n, goal - at[s] - e * size[s])) for e in range(3))))
+        at[s] += n
+    assert sorted(walked) == sorted((i, s, n, e) for i, s, n, _, e, _ in want)
+
+
 def test_top_k(spark):
     g = np.random.default_rng(2)
     v = g.integers(-40, 40, (260, 6)).astype(float)
