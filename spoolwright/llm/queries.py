@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, decontaminate, mixing, nearcopies, quality, sharding, token_files, topk, toxicity, warc
+from . import compression, counts, decontaminate, divergence, licenses, mixing, nearcopies, quality, sharding, token_files, topk, toxicity, warc
 from ._shared import table
+from .license_rules import WINDOW, read_rules
 
 
 def tokenizer_file(name: str) -> str:
@@ -61,10 +62,37 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
+def op13_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.compress(table(spark, sf_dir, "embeddings")).withColumnRenamed("group_error", "label_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_near_duplicates, op3_decontamination, op4_mixing, op5_top_k, op6_warc, op7_toxicity, op8_quality, op9_token_counts, op10_token_files)
+    f.__name__: f for f in (op1_sharding, op2_near_duplicates, op3_decontamination, op4_mixing, op5_top_k, op6_warc, op7_toxicity, op8_quality, op9_token_counts, op10_token_files, op11_divergence, op12_licenses, op13_compression)
 }
 
+TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+RULES_SQL = ", ".join(f"({r.number}, '{r.label}', {r.rank}, {r.confidence}::DOUBLE, {r.base}, '{r.keyword}', '{r.pattern}')" for r in read_rules())
+
+
+def _nearest_sql(book: str) -> str:
+    """Every part with the nearest entry of a codebook, by distance, then index."""
+    return f"SELECT x.row, x.p, any_value(x.s) AS s, min(list_sum([(x.s[i] - c.c[i]) * (x.s[i] - c.c[i]) FOR i IN range(1, len(x.s) + 1)]) * 64 + c.k) AS best FROM x JOIN {book} c USING (p) GROUP BY x.row, x.p"
+
+
+def _means_sql(found: str, book: str) -> str:
+    """A codebook with every entry that has parts replaced by their floored mean."""
+    return f"""SELECT b.p, b.k, coalesce(m.c, b.c) AS c FROM {book} b LEFT JOIN (SELECT p, k, list(((total - (((total % n) + n) % n)) // n)::BIGINT ORDER BY i) AS c FROM (
+SELECT p, best % 64 AS k, i, sum(s[i]) AS total, count(*) AS n FROM (SELECT p, best, s, unnest(range(1, len(s) + 1)) AS i FROM {found}) GROUP BY ALL) GROUP BY p, k) m ON b.p = m.p AND b.k = m.k"""
+
+
 WORDS_SQL = r"[w FOR w IN string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> '']"
 
 ORACLE_SQL: dict[str, str] = {
@@ -92,4 +120,38 @@ d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, max(p
 array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1) FOR i IN range(32)], '') AS payload_digest FROM p)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
 CASE WHEN page_id <> top THEN top END AS refers_to FROM d""",
+    "op11_divergence": f"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS MATERIALIZED (SELECT row, lang, source, unnest({TERMS_SQL}) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS MATERIALIZED (SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER w + 2 * count(*) OVER w)::HUGEINT AS p FROM x WINDOW w AS (PARTITION BY lang, source)),
+l AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER w + 2 * count(*) OVER w)::HUGEINT AS q FROM (SELECT lang, term, sum(n) AS n FROM s GROUP BY ALL) WINDOW w AS (PARTITION BY lang)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+term AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM s JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+UNION ALL SELECT lang, source, 'term', item, value FROM term),
+k AS (SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+SELECT * FROM k WHERE part = 'pair' OR rank <= 10""",
+    "op12_licenses": f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce({WORDS_SQL}, []) AS ws FROM documents),
+rules(number, label, rank, confidence, base, keyword, pattern) AS (VALUES {RULES_SQL}),
+a AS MATERIALIZED (SELECT row, i, ws[i + 1] AS w, array_to_string(list_slice(ws, i + 1, i + {WINDOW}), ' ') || ' ' AS after FROM (SELECT row, ws, unnest(range(len(ws))) AS i FROM d) WHERE ws[i + 1] IN (SELECT keyword FROM rules)),
+m AS (SELECT row, i AS start, number, label, rank, confidence, base, regexp_extract(after, pattern, 0) AS t FROM a JOIN rules ON w = keyword),
+f AS MATERIALIZED (SELECT *, len(t) - len(replace(t, ' ', '')) AS size FROM m WHERE t <> ''),
+k AS (SELECT * FROM f WHERE base OR NOT EXISTS (SELECT 1 FROM f e WHERE e.row = f.row AND e.start <= f.start AND e.start + e.size >= f.start + f.size AND (e.rank < f.rank OR (e.rank = f.rank AND (e.size > f.size OR (e.size = f.size AND e.number < f.number)))))),
+g AS (SELECT row, count(*) FILTER (base) AS n, min(start) FILTER (base) AS a, max(start) FILTER (base) AS z, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS bl, string_agg(DISTINCT label, ',' ORDER BY label) AS al, max(confidence) AS score FROM k GROUP BY row)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word, coalesce(bl, '') AS base_labels, coalesce(al, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score FROM d LEFT JOIN g USING (row)""",
+    "op13_compression": f"""
+WITH e AS (SELECT row_number() OVER () AS row, vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+x AS MATERIALIZED (SELECT row, vec_id, label, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS s FROM (SELECT *, unnest(range(16)) AS p FROM e)),
+c0 AS MATERIALIZED (SELECT p, k, s AS c FROM (SELECT p, s, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k FROM x) WHERE k < 64),
+a0 AS MATERIALIZED ({_nearest_sql("c0")}), c1 AS MATERIALIZED ({_means_sql("a0", "c0")}),
+a1 AS MATERIALIZED ({_nearest_sql("c1")}), c2 AS MATERIALIZED ({_means_sql("a1", "c1")}),
+a2 AS MATERIALIZED ({_nearest_sql("c2")}),
+coded AS (SELECT row, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY row),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM e JOIN coded USING (row), h""",
 }
