@@ -66,20 +66,26 @@ def read_members(spark: SparkSession, paths: list[str], extensions: list[str] =
     return spark.read.format("tar_members").option("extensions", ",".join(extensions)).option("content", str(content).lower()).load(",".join(paths))
 
 
+def read_member(row: dict) -> bytes:
+    """The payload of a member: by seeking where the offset is known, else by reading through the archive. row: tar_path, member_index, audio_file, offset, size."""
+    with open_stream(row["tar_path"]) as raw:
+        if row["offset"] is not None:
+            raw.seek(row["offset"])
+            data = raw.read(row["size"])
+            if len(data) < row["size"]:
+                raise ValueError(f"{row['audio_file']} breaks off after {len(data)} of {row['size']} bytes")
+            return data
+        with tarfile.open(fileobj=raw, mode="r") as tar:
+            return next(tar.extractfile(m).read() for i, m in enumerate(tar) if i == row["member_index"])
+
+
 def fetch(members: DataFrame) -> DataFrame:
-    """members with their content: by seeking where the offset is known, else by reading through the archive."""
+    """members with their content."""
 
     def run(batches):
         for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                with open_stream(r["tar_path"]) as raw:
-                    if r["offset"] is not None:
-                        raw.seek(r["offset"])
-                        r["content"] = raw.read(r["size"])
-                    else:
-                        with tarfile.open(fileobj=raw, mode="r") as tar:
-                            r["content"] = next(tar.extractfile(m).read() for i, m in enumerate(tar) if i == r["member_index"])
+            for r in batch.to_pylist():
+                r["content"] = read_member(r)
                 yield pa.RecordBatch.from_pylist([r], schema=batch.schema.set(batch.schema.get_field_index("content"), pa.field("content", pa.binary())))
 
     return members.mapInArrow(run, members.schema)
