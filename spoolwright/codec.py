@@ -8,6 +8,8 @@ from typing import Protocol
 
 import numpy as np
 
+from .resample import resample
+
 
 class Codec(Protocol):
     sample_rate: int
@@ -61,7 +63,7 @@ class ResidualCodec:
 
 
 def read_wave(data: bytes, sample_rate: int | None = None, trim: bool = True) -> tuple[np.ndarray, dict]:
-    """Mono samples in [-1, 1] of a PCM WAV file, resampled linearly, and what its header says."""
+    """Mono samples in [-1, 1] of a PCM WAV file, resampled by a windowed sinc, and what its header says."""
     with wave.open(io.BytesIO(data)) as w:
         rate, channels, width, n = w.getframerate(), w.getnchannels(), w.getsampwidth(), w.getnframes()
         raw = w.readframes(n)
@@ -75,9 +77,8 @@ def read_wave(data: bytes, sample_rate: int | None = None, trim: bool = True) ->
         raise ValueError(f"unsupported sample width {width}")
     x = (x - 128) / 128 if width == 1 else x / 2.0 ** (8 * width - 1)
     x = x.reshape(-1, channels).mean(1)
-    if sample_rate and sample_rate != rate and len(x):
-        m = round(len(x) * sample_rate / rate)
-        x = np.interp(np.arange(m) * rate / sample_rate, np.arange(len(x)), x)
+    if sample_rate and len(x):
+        x = resample(x, rate, sample_rate)
     if not len(x):
         raise ValueError("no samples")
     top = np.abs(x).max()
