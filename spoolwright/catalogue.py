@@ -3,6 +3,9 @@ customers are a manifest, documents waveforms of characters, labels the outputs
 
 from __future__ import annotations
 
+import io
+import struct
+import tarfile
 from collections.abc import Callable
 
 import numpy as np
@@ -10,13 +13,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import headers
 from .codec import ResidualCodec, decode_piecewise, encode_piecewise, lifted, measured_samples_per_token
 from .functions import signal, text
 from .operators import fragments, manifest, merge, offsets, progress
 from .plans import backfill, submission
 from .plans.audio import list_entries, list_totals
-from .sources import files, lines
-from .streaming import incremental
+from .resample import Resampler, resample
+from .sources import files, journal, lines, ordered, tar, tar_ranges
+from .sources.scratch import scratch_path
+from .streaming import decoder, incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -381,39 +387,25 @@ SELECT conv_id, u = a AS "commit", u AS "rows", CASE WHEN u = a THEN new ELSE 0
 def backfill_tallies(spark, sf_dir):
     """Turns of users as records, of assistants as members: conversations of which every turn is answered commit."""
     c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    meta = F.struct(F.lit("pcm").alias("codec"))
-    records = c.where("role = 'user'").select("conv_id", F.col("turn").alias("line_number"), F.lit("a.wav").alias("audio_file"), F.when(F.col("turn") % 4 != 0, meta).alias("original_metadata"))
-    found = c.where("role = 'assistant'").select("conv_id", F.col("turn").alias("member_index"), F.lit("x/a.wav").alias("audio_file"), meta.alias("original_metadata"))
-    return backfill.enriched(records, found, "conv_id")[1].select("conv_id", "commit", "rows", "updated")
+    records = c.where("role = 'user'").select("conv_id", F.col("turn").alias("line_number"), F.lit("a.wav").alias("audio_file"), F.lit(False).alias("is_bad"), F.lit(False).alias("has_error"), (F.col("turn") % 4 != 0).alias("has_metadata"))
+    found = c.where("role = 'assistant'").select("conv_id", F.col("turn").alias("member_index"), F.lit("x/a.wav").alias("audio_file"))
+    return backfill.file_tallies(backfill.row_actions(records, found, "conv_id"), "conv_id").drop("reason")
 
 
 @query("""WITH f AS (SELECT p_partkey, p_name AS line, sum(strlen(p_name) + 1) OVER (ORDER BY p_partkey)::BIGINT AS end_offset, row_number() OVER (ORDER BY p_partkey) AS line_number FROM part)
 SELECT line_number, end_offset - strlen(line) - 1 AS start_offset, end_offset, line, line AS found FROM f""")
 def file_line_index(spark, sf_dir):
     """A line file on disk, indexed in byte ranges and read back by seeking. The table is written as one file first."""
-    folder = _scratch(spark, "lines")
+    folder = scratch_path(spark, "lines")
     _t(spark, sf_dir, "part").select("p_partkey", "p_name").coalesce(1).sortWithinPartitions("p_partkey").select("p_name").write.text(folder)
     paths = [r.path for r in files.list_files(spark, folder, "part-*").collect()]
-    return lines.read_at(lines.index_lines(spark, paths, range_bytes=1000)).drop("path")
-
-
-def _scratch(spark, tag: str) -> str:
-    """A new folder that all executors see; a local one only in local mode."""
-    import tempfile
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"file://{tempfile.gettempdir()}"
-    return f"{root.rstrip('/')}/spoolwright-{tag}-{uuid.uuid4().hex}"
+    return lines.read_at(lines.index_lines(spark, paths, range_bytes=1000)).drop("path", "read_no")
 
 
 @query("SELECT event_id, user_id, event_type FROM events")
 def events_resume_stream(spark, sf_dir):
     """Events as files of a stream, run twice with one checkpoint: the second run adds nothing."""
-    folder = _scratch(spark, "stream")
+    folder = scratch_path(spark, "stream")
     events = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     events.write.parquet(f"{folder}/in")
     for _ in range(2):
@@ -424,7 +416,7 @@ def events_resume_stream(spark, sf_dir):
 @query(f"WITH {B} SELECT doc_id, emit_begin, emit_end FROM e WHERE emit_end > emit_begin UNION ALL SELECT doc_id, 0, n_chars FROM documents WHERE n_chars BETWEEN 1 AND 17")
 def stateful_decode(spark, sf_dir):
     """The progressive decoder as keyed state over a stream of blocks: what it gives out are the ranges of the closed form."""
-    folder = _scratch(spark, "blocks")
+    folder = scratch_path(spark, "blocks")
     d = _t(spark, sf_dir, "documents").where("n_chars > 0").select(F.col("doc_id").alias("key"), F.col("n_chars").cast("long").alias("t"))
     block = F.explode(F.sequence(F.lit(0).cast("long"), text.ceil_div(F.col("t"), 100) - 1)).alias("block_no")
     blocks = d.select("key", "t", block).select("key", "block_no", F.least(F.lit(100).cast("long"), F.col("t") - 100 * F.col("block_no")).alias("n_tokens"), ((F.col("block_no") + 1) * 100 >= F.col("t")).alias("last"))
@@ -453,3 +445,160 @@ def codec_roundtrip(spark, sf_dir):
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), *[pa.array(x) for x in zip(*rows, strict=True)]], ["vec_id", "samples", "per_token", "near", "lifted"])
 
     return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, samples long, per_token long, near boolean, lifted boolean")
+
+
+def write_archives(rows: DataFrame, folder: str) -> DataFrame:
+    """path of tar archives below a folder, written member by member as their rows come. rows: archive, name, content, sorted by archive within partitions."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        archive, out, raw = None, None, None
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["archive"] != archive:
+                    if out is not None:
+                        out.close()
+                        raw.close()
+                    archive = r["archive"]
+                    store, root = fs.FileSystem.from_uri(folder)
+                    store.create_dir(root, recursive=True)
+                    raw = store.open_output_stream(f"{root}/{archive}.tar", compression=None)
+                    out = tarfile.open(fileobj=raw, mode="w|")  # noqa: SIM115
+                    yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{archive}.tar"]})
+                info = tarfile.TarInfo(r["name"])
+                info.size = len(r["content"])
+                out.addfile(info, io.BytesIO(r["content"]))
+                out.members = []
+        if out is not None:
+            out.close()
+            raw.close()
+
+    return rows.select("archive", "name", "content").mapInArrow(run, "path string")
+
+
+@query("SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS size, md5(coalesce(html, '')) AS digest FROM pages")
+def archive_ranges(spark, sf_dir):
+    """Pages as members of archives, listed in byte ranges far smaller than an archive, and fetched by seeking."""
+    folder = scratch_path(spark, "archives")
+    pages = _t(spark, sf_dir, "pages").select(F.spark_partition_id().cast("string").alias("archive"), F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("content"))
+    paths = [r.path for r in write_archives(pages, folder).collect()]  # one a partition
+    members = tar_ranges.split_members(spark, paths, [".html"], range_bytes=64 << 10, probe_bytes=16 << 10)
+    found = tar.fetch(members.repartition("tar_path", "member_index"))
+    return found.select(text.stem(F.col("audio_file")).cast("bigint").alias("page_id"), "size", F.md5("content").alias("digest"))
+
+
+LOG = """k AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS line, n_chars % 11 = 0 AS bad FROM documents),
+g AS (SELECT source, min(line) FILTER (bad) AS bad_line, count(*) AS n FROM k GROUP BY source)"""
+
+
+@query(f"WITH {LOG} SELECT source, coalesce(bad_line - 1, n) AS \"rows\", bad_line, coalesce(n - bad_line + 1, 0) AS lost_lines, CASE WHEN bad_line IS NULL THEN 'whole' WHEN n = bad_line THEN 'torn' ELSE 'damaged' END AS state FROM g")
+def journal_prefix(spark, sf_dir):
+    """Logs of documents by source, some lines cut off: how far each is valid. The files are written by one job, each in order."""
+    folder = scratch_path(spark, "logs")
+    d = _t(spark, sf_dir, "documents")
+    record = F.to_json(F.struct(F.col("doc_id").cast("int").alias("member_index"), F.col("source").alias("tar_file"), F.substring("text", 1, 1 << 30).alias("audio_file")))
+    line = F.when(F.col("n_chars") % 11 == 0, F.left(record, F.length(record) - 1)).otherwise(record)
+    made = ordered.stage_files(d.select(F.concat(F.lit(f"{folder}/"), "source", F.lit(".jsonl")).alias("path"), line.alias("line"), "doc_id"), "doc_id")
+    ordered.put_in_place(made)
+    report = journal.log_prefix(spark, made.select("path"), range_bytes=1 << 20)[1]
+    return report.select(text.stem(F.col("path")).alias("source"), "rows", "bad_line", "lost_lines", "state")
+
+
+RULES = """n AS (SELECT source, count(*) % 3 AS kind FROM documents GROUP BY source),
+x AS (SELECT d.doc_id, source, kind, n_chars, coalesce(toxic, 0) AS toxic, coalesce(quality, 0) AS quality, d.doc_id = max(d.doc_id) OVER (PARTITION BY source) AS last FROM documents d JOIN n USING (source) LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+@query(f"""WITH {RULES} SELECT doc_id, source, CASE WHEN n_chars % 13 = 0 THEN 'error' WHEN toxic = 1 THEN 'failed' WHEN quality = 1 THEN 'kept' ELSE 'read' END AS became, CASE WHEN n_chars % 13 = 0 OR toxic = 1 THEN NULL WHEN quality = 1 THEN 1 ELSE 8000 + doc_id END::INTEGER AS sample_rate FROM x WHERE kind = 0
+UNION ALL SELECT doc_id, source, CASE WHEN n_chars % 13 = 0 THEN 'bad' WHEN toxic = 1 THEN 'failed' WHEN quality = 1 THEN 'kept' ELSE 'bare' END, CASE WHEN n_chars % 13 <> 0 AND toxic = 0 AND quality = 1 THEN 1 END::INTEGER FROM x WHERE kind <> 0 AND NOT (kind = 1 AND last) AND n_chars % 13 <> 0""")
+def backfill_rules(spark, sf_dir):
+    """Documents of a source as a record file and an archive: errors stay, bad lines become errors, metadata stays or is read from headers, and
+    files that lack a line, or their archive, stay as they are. All files go through one backfill."""
+    folder = scratch_path(spark, "backfill")
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    kinds = d.groupBy("source").agg((F.count("*") % 3).alias("kind"), F.max("doc_id").alias("top"))
+    d = d.join(kinds, "source").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
+    member = F.concat(F.col("doc_id").cast("string"), F.lit(".wav"))
+    rate = F.hex(F.reverse(F.unhex(F.lpad(F.hex(F.col("doc_id") + 8000), 8, "0"))))
+    wav = F.concat(F.lit(b"RIFF\x24\0\0\0WAVEfmt \x10\0\0\0\x01\0\x01\0"), F.unhex(rate), F.unhex(rate), F.lit(b"\x02\0\x10\0data\x08\0\0\0" + bytes(8)))
+    audio = d.where("kind < 2").select(F.col("source").alias("archive"), member.alias("name"), wav.alias("content"), "doc_id")
+    write_archives(audio.repartition("archive").sortWithinPartitions("archive", "doc_id"), f"{folder}/tars").write.format("noop").mode("overwrite").save()
+    meta = F.when(F.col("quality") == 1, F.struct(F.lit(1).alias("sample_rate")))
+    record = F.to_json(F.struct(F.col("source").alias("tar_file"), member.alias("audio_file"), meta.alias("original_metadata"), F.when(F.col("toxic") == 1, "was bad").alias("error")))
+    line = F.when(F.col("n_chars") % 13 == 0, F.left(record, F.length(record) - 2)).otherwise(record)
+    rows = d.where("NOT (kind = 1 AND doc_id = top)").select(F.concat(F.lit(f"{folder}/"), "source", F.lit(".jsonl")).alias("path"), line.alias("line"), "doc_id")
+    made = ordered.stage_files(rows, "doc_id")
+    ordered.put_in_place(made)
+    backfill.backfill(spark, made.select("path"), f"{folder}/tars", range_bytes=1 << 20)
+    now = backfill.parsed_lines(lines.index_lines(spark, made.select("path"))).where("r.audio_file IS NOT NULL AND NOT is_bad")
+    error, found = F.col("r.error"), F.col("r.original_metadata.sample_rate")
+    became = F.when(error == "was bad", "failed").when(error.isNotNull(), "error").when(found == 1, "kept").when(found.isNull(), "bare").otherwise("read")
+    return now.select(text.stem(F.col("r.audio_file")).cast("bigint").alias("doc_id"), text.stem(F.col("path")).alias("source"), became.alias("became"), F.when(error.isNull(), found).alias("sample_rate"))
+
+
+@query("SELECT vec_id, 64::BIGINT AS samples, true AS same FROM embeddings")
+def stateful_waves(spark, sf_dir):
+    """Embeddings as clips whose tokens come as a stream of blocks; what the stateful decoder gives out, joined, is the whole clip decoded."""
+    folder = scratch_path(spark, "waves")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    coded = codec_encode(spark, sf_dir).select(F.col("vec_id").alias("key"), "tokens")
+    part = lambda b: F.transform("tokens", lambda row: F.slice(row, b * 5 + 1, 5))
+    blocks = coded.select("key", "tokens", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("block_no")).select("key", F.col("block_no").cast("bigint"), part(F.col("block_no")).alias("tokens"), (F.col("block_no") == 3).alias("last"))
+    blocks.write.parquet(f"{folder}/in")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        waves = decoder.progressive_waves(spark.readStream.schema(blocks.schema).parquet(f"{folder}/in"), lambda: ResidualCodec(24_000, 4), 2, 1)
+        waves.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+    def whole(batches):
+        c = ResidualCodec(24_000, 4)
+        for b in batches:
+            rows = [c.decode(np.array(t)).tolist() for t in b.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(rows, pa.list_(pa.float64()))], ["key", "wave"])
+
+    wanted = coded.mapInArrow(whole, "key bigint, wave array<double>")
+    given = fragments.stitch(spark.read.schema(f"key bigint, {decoder.WAVES}").parquet(f"{folder}/out"), ["key"], "emit_begin", "samples")
+    return wanted.join(given, "key").select(F.col("key").alias("vec_id"), F.size("samples").cast("bigint").alias("samples"), (F.col("samples") == F.col("wave")).alias("same"))
+
+
+@query("SELECT vec_id, ((64 * 80 + 146) // 147)::BIGINT AS samples, true AS chunked, true AS quiet FROM embeddings")
+def resampled_clips(spark, sf_dir):
+    """Embeddings as clips at 44.1 kHz, resampled to 24 kHz in one piece and in chunks; a tone above the new half rate comes out 60 dB lower."""
+
+    def run(batches):
+        t = np.arange(4096)
+        for b in batches:
+            rows = []
+            for v in b.column("embedding"):
+                x = v.values.to_numpy().astype(float)
+                whole, r = resample(x, 44_100, 24_000), Resampler(44_100, 24_000)
+                parts = np.concatenate([*[r.push(x[i : i + 7]) for i in range(0, len(x), 7)], r.finish()])
+                high = resample(x[0] * np.sin(2 * np.pi * 15_000 / 44_100 * t), 44_100, 24_000)[400:-400]
+                rows.append((len(whole), bool(np.abs(parts - whole).max() < 1e-12), bool(np.abs(high).max() <= abs(x[0]) / 1000)))
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), *[pa.array(x) for x in zip(*rows, strict=True)]], ["vec_id", "samples", "chunked", "quiet"])
+
+    return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, samples long, chunked boolean, quiet boolean")
+
+
+@query("""WITH p AS (SELECT p_partkey, 4 + p_size AS frames, [32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320][p_partkey % 14 + 1] AS kbps, p_partkey % 2 = 0 AS counted FROM part)
+SELECT p_partkey AS partkey, 44100::INTEGER AS sample_rate, CASE WHEN counted THEN frames * 1152 / 44100.0::DOUBLE ELSE 8 * frames * (144000 * kbps // 44100) / (1000.0::DOUBLE * kbps) END AS duration, true AS short FROM p""")
+def mpeg_headers(spark, sf_dir):
+    """Parts as MPEG files of so many frames, half of them behind a header that tells their number; durations come from headers alone."""
+    rates = headers.BIT_RATES[1, 3]
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for key, frames in zip(b.column("p_partkey").to_pylist(), b.column("frames").to_pylist(), strict=True):
+                head = bytes([0xFF, 0xFB, (key % 14 + 1) << 4, 0])
+                one = head + bytes(headers.frame(head)["length"] - 4)
+                first = head + bytes(32) + b"Info" + struct.pack(">II", 1, frames) if key % 2 == 0 else b""
+                data = b"ID3\x03\0\0\0\0\x02\0" + bytes(256) + (first + bytes(max(0, len(one) - len(first))) if first else b"") + one * frames
+                read = headers.Counted(io.BytesIO(data), 0, len(data))
+                m = headers.metadata(read, len(data))
+                rows.append((key, m["sample_rate"], m["duration_seconds_from_header"], read.bytes < headers.MOST_JUNK + 2048))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.float64(), pa.bool_()), strict=True)], ["partkey", "sample_rate", "duration", "short"])
+
+    return _t(spark, sf_dir, "part").select("p_partkey", (4 + F.col("p_size")).alias("frames")).mapInArrow(run, "partkey long, sample_rate int, duration double, short boolean")

@@ -14,8 +14,21 @@ from ..functions.text import stem
 from ..operators.progress import resume
 from ..schemas import RESULTS
 from ..sources.files import drop_folder
+from ..sources.journal import append, read_journal
 from ..sources.records import read_results, write_results
-from ..sources.tar import fetch, read_members
+from ..sources.tar import read_member
+from ..sources.tar_ranges import split_members
+
+
+def record_of(row: dict, content: bytes, codec, most: int = 25_000, overlap: int = 250) -> dict:
+    """The result record of a member; one that fails gets its error."""
+    out = {"tar_file": row["tar_path"], "audio_file": row["audio_file"]}
+    try:
+        x, meta = read_wave(content, codec.sample_rate)
+        t = encode_piecewise(codec, x, most, overlap)
+        return out | {"num_samples": len(x), "sample_rate": codec.sample_rate, "original_metadata": meta, "tokens": t.tolist(), "token_shape": list(t.shape)}
+    except Exception as e:  # noqa: BLE001
+        return out | {"error": str(e) or type(e).__name__}
 
 
 def encode_members(members: DataFrame, codec=ResidualCodec, most: int = 25_000, overlap: int = 250) -> DataFrame:
@@ -26,40 +39,52 @@ def encode_members(members: DataFrame, codec=ResidualCodec, most: int = 25_000,
         c = codec()
         for batch in batches:
             for r in batch.to_pylist():
-                row = {"tar_file": r["tar_path"], "audio_file": r["audio_file"]}
-                try:
-                    x, meta = read_wave(r["content"], c.sample_rate)
-                    t = encode_piecewise(c, x, most, overlap)
-                    row |= {"num_samples": len(x), "sample_rate": c.sample_rate, "original_metadata": meta, "tokens": t.tolist(), "token_shape": list(t.shape)}
-                except Exception as e:  # noqa: BLE001
-                    row["error"] = str(e) or type(e).__name__
-                yield pa.RecordBatch.from_pylist([row], schema=schema)
+                yield pa.RecordBatch.from_pylist([record_of(r, r["content"], c, most, overlap)], schema=schema)
 
     return members.select("tar_path", "audio_file", "content").mapInArrow(run, RESULTS)
 
 
-def tokenize(spark: SparkSession, tars: list[str], out: str, extensions: list[str] = (".wav",), retry_errors: bool = False, codec=ResidualCodec, **sizes) -> DataFrame:
+def encoder(codec=ResidualCodec, most: int = 25_000, overlap: int = 250):
+    """What the journal calls once a task: members are fetched, encoded and told in one place, so payloads stay in their worker."""
+
+    def work():
+        c = codec()
+
+        def one(row: dict) -> dict:
+            try:
+                content = read_member(row)
+            except Exception as e:  # noqa: BLE001
+                return {"tar_file": row["tar_path"], "audio_file": row["audio_file"], "error": str(e) or type(e).__name__}
+            return record_of(row, content, c, most, overlap)
+
+        return one
+
+    return work
+
+
+def tokenize(spark: SparkSession, tars: list[str], out: str, extensions: list[str] = (".wav",), retry_errors: bool = False, codec=ResidualCodec, range_bytes: int = 64 << 20, **sizes) -> DataFrame:
     """Tokenize what out doesn't have yet, and replace the folders of the archives that changed; returns all records of out.
 
-    Headers come first and are anti-joined with the records there, so that only missing payloads are read. Runs again without harm.
+    Headers come first, in ranges of archives, and are anti-joined with the records there and those of the journal, so that only missing
+    payloads are read. Every finished member is appended to the journal in out/_journal at once; a run that is killed, at any point, is
+    carried on by the next one. When all are there, the journal's records go to their archives' folders and the journal is removed.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    path, log = spark._jvm.org.apache.hadoop.fs.Path(out), f"{out.rstrip('/')}/_journal"
     exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    members = read_members(spark, tars, extensions)
+    members = split_members(spark, tars, extensions, range_bytes)
     old = read_results(spark, out + "/*") if exists else spark.createDataFrame([], RESULTS)
     old = old.where("error IS NULL") if retry_errors else old
-    done = old.select(F.col("tar_file").alias("tar_path"), "audio_file")
-    todo = resume(members, done, ["tar_path", "audio_file"])
-    new = encode_members(fetch(todo.repartition(F.col("tar_path"), F.col("member_index"))), codec, **sizes)
-    run = uuid.uuid4().hex  # two runs do not share what they stage
-    staged = f"{out.rstrip('/')}.staged-{run}"
-    new.write.mode("overwrite").json(staged)
-    new = spark.read.schema(RESULTS).json(staged)
+    logged = read_journal(spark, log)
+    logged = logged.where("error IS NULL") if retry_errors else logged
+    todo = resume(members, old.select(F.col("tar_file").alias("tar_path"), "audio_file"), ["tar_path", "audio_file"])
+    todo = resume(todo, logged.select(F.col("tar_file").alias("tar_path"), "member_index"), ["tar_path", "member_index"])
+    append(todo.repartition(F.col("tar_path"), F.col("member_index")), log, uuid.uuid4().hex, encoder(codec, **sizes))
+    new = read_journal(spark, log).drop("member_index")
     touched = new.select("tar_file").distinct()
-    whole = f"{out.rstrip('/')}.whole-{run}"
-    old.join(touched, "tar_file", "left_semi").unionByName(new).write.mode("overwrite").json(whole)
+    whole = f"{out.rstrip('/')}.whole-{uuid.uuid4().hex}"
+    old.join(new.select("tar_file", "audio_file"), ["tar_file", "audio_file"], "left_anti").join(touched, "tar_file", "left_semi").unionByName(new).write.mode("overwrite").json(whole)
     write_results(spark.read.schema(RESULTS).json(whole), out)
-    for folder in (staged, whole):
+    for folder in (whole, log):
         drop_folder(spark, folder)
     return spark.read.schema(RESULTS).json(out)
 

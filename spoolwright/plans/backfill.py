@@ -1,83 +1,148 @@
-"""Metadata backfill: records meet the members of their archive by position, and files whose every row fits are replaced as a whole."""
+"""Metadata backfill: the lines of record files meet the members of their archive by position, and files of which every line fits are replaced.
+
+All files go through the same few jobs. What is compared are thin rows; of members only headers are read, and only of those whose record lacks
+metadata; lines that stay are written again byte for byte.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import io
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..codec import read_wave
 from ..functions.text import name, stem
-from ..operators.merge import committable, positional_merge
+from ..headers import Counted, metadata
+from ..operators.merge import positional_merge
 from ..schemas import METADATA, RESULTS
-from ..sources.files import drop_folder, list_files, replace
+from ..sources.files import list_files
 from ..sources.lines import index_lines
-from ..sources.tar import fetch, read_members
+from ..sources.ordered import put_in_place, stage_files
+from ..sources.scratch import stored
+from ..sources.tar import open_stream, read_member
+from ..sources.tar_ranges import split_members
+
+BAD = "_bad"
 
 
 def paired(files: DataFrame, archives: DataFrame) -> DataFrame:
-    """path and tar_path of record files and the archives of the same stem; tar_path is null where there is none."""
-    a = archives.select(F.col("path").alias("tar_path"), stem(F.col("path")).alias("stem"))
-    return files.select("path", stem(F.col("path")).alias("stem")).join(a, "stem", "left").select("path", "tar_path")
+    """path and tar_path of record files and the archives of the same stem; tar_path is null where there is none, or more than one (then ambiguous)."""
+    a = archives.groupBy(stem(F.col("path")).alias("stem")).agg(F.max("path").alias("tar_path"), (F.count_distinct("path") > 1).alias("many"))
+    both = files.select("path", stem(F.col("path")).alias("stem")).distinct().join(a, "stem", "left")
+    many = F.coalesce("many", F.lit(False))
+    return both.select("path", F.when(~many, F.col("tar_path")).alias("tar_path"), many.alias("ambiguous"))
+
+
+def row_actions(lines: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """What becomes of every position of a key: keep, read or replace, or why its whole file must stay as it is: missing_line, extra_line or name.
+
+    lines: key, line_number, audio_file, is_bad, has_error, has_metadata. members: key, member_index, audio_file. The k-th line meets the
+    k-th member. A bad line is replaced by an error record whatever it was about; a line with an error is kept whatever its name; names
+    are compared without folders, and a line without one fits none; lines with metadata are kept; the others are to be read.
+    """
+    left = lines.select(key, "line_number", name(F.col("audio_file")).alias("base"), *[F.coalesce(c, F.lit(False)).alias(c) for c in ("is_bad", "has_error", "has_metadata")])
+    right = members.select(key, F.col("member_index").cast("bigint").alias("line_number"), F.col("audio_file").alias("member"))
+    m = positional_merge(left, right, [key], "line_number")
+    same = F.col("left_base").eqNullSafe(name(F.col("right_member")))
+    action = F.when(F.col("state") == "right_short", "extra_line").when(F.col("state") == "right_long", "missing_line").when(F.col("left_is_bad"), "replace").when(F.col("left_has_error"), "keep")
+    action = action.when(~same, "name").when(F.col("left_has_metadata"), "keep").otherwise("read")
+    return m.select(key, "k", F.col("left_line_number").alias("line_number"), F.col("right_line_number").alias("member_index"), F.col("right_member").alias("audio_file"), action.alias("action"))
 
 
-def with_metadata(members: DataFrame) -> DataFrame:
-    """tar_path, member_index, audio_file, original_metadata of members with content; null metadata for what can't be read."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
+def file_tallies(actions: DataFrame, key: str) -> DataFrame:
+    """key, commit, rows (lines), updated (lines that get metadata or an error; none without commit) and reason: of what forbids it, that of the first position."""
+    stops = F.col("action").isin("missing_line", "extra_line", "name")
+    changes = F.col("action").isin("read", "replace")
+    out = actions.groupBy(key).agg(F.count("line_number").alias("rows"), F.count_if(changes).alias("updated"), F.min_by(F.when(stops, F.col("action")), F.when(stops, F.col("k"))).alias("reason"))
+    commit = F.col("reason").isNull()
+    return out.select(key, commit.alias("commit"), "rows", F.when(commit, F.col("updated")).otherwise(0).alias("updated"), "reason")
 
-    schema = members.select("tar_path", "member_index", "audio_file").schema.add("original_metadata", METADATA)
-    arrow = to_arrow_schema(schema)
+
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """lines with r, the record (null if bad), and is_bad, has_error and has_metadata."""
+    fields = T.StructType([*RESULTS.fields, T.StructField(BAD, T.StringType())])
+    out = lines.withColumn("r", F.from_json("line", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
+    bad = F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
+    return out.withColumns({"is_bad": bad, "has_error": ~bad & F.col("r.error").isNotNull(), "has_metadata": ~bad & F.col("r.original_metadata").isNotNull()})
+
+
+def read_headers(members: DataFrame) -> DataFrame:
+    """members with original_metadata and read_error, one of which is null. members: tar_path, member_index, offset, size and others, but no content.
+
+    Where the offset is known, some kilobytes are read by seeking; members of compressed archives are read through.
+    """
+    schema = T.StructType([*members.schema.fields, T.StructField("original_metadata", METADATA), T.StructField("read_error", T.StringType())])
+    meta_type = to_arrow_schema(schema).field("original_metadata").type
 
     def run(batches):
         for batch in batches:
+            metas, errors = [], []
             for r in batch.to_pylist():
+                meta = error = None
                 try:
-                    meta = read_wave(r["content"])[1]
-                except Exception:  # noqa: BLE001
-                    meta = None
-                yield pa.RecordBatch.from_pylist([{"tar_path": r["tar_path"], "member_index": r["member_index"], "audio_file": r["audio_file"], "original_metadata": meta}], schema=arrow)
+                    if r["offset"] is None:
+                        data = read_member(r)
+                        meta = metadata(Counted(io.BytesIO(data), 0, len(data)), len(data))
+                    else:
+                        with open_stream(r["tar_path"]) as raw:
+                            meta = metadata(Counted(raw, r["offset"], r["size"]), r["size"])
+                except Exception as e:  # noqa: BLE001
+                    error = str(e) or type(e).__name__
+                metas.append(meta)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(metas, meta_type), pa.array(errors, pa.string())], [*batch.schema.names, "original_metadata", "read_error"])
 
     return members.mapInArrow(run, schema)
 
 
-def enriched(records: DataFrame, found: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(records with metadata, one row a file: commit, rows, updated).
-
-    records: the key, line_number, audio_file and original_metadata, beside other columns. found: the key, member_index, audio_file and
-    original_metadata in archive order. Rows that have metadata keep it. A file commits only if every position has both sides and their names agree.
-    """
-    left = records.withColumn("base", name(F.col("audio_file")))
-    right = found.select(key, F.col("member_index").cast("long").alias("line_number"), name(F.col("audio_file")).alias("base"), F.col("original_metadata").alias("read"))
-    merged = positional_merge(left, right, [key], "line_number", "base")
-    fresh = F.col("left_original_metadata").isNull() & F.col("right_read").isNotNull()
-    tallies = merged.groupBy(key).agg(F.count("left_line_number").alias("rows"), F.count_if(fresh).alias("updated")).join(committable(merged, [key]), key)
-    tallies = tallies.withColumn("updated", F.when(F.col("commit"), F.col("updated")).otherwise(0))
-    meta = F.coalesce("left_original_metadata", "right_read").alias("original_metadata")
-    rows = merged.join(tallies.where("commit").select(key), key, "left_semi")
-    columns = [c for c in records.columns if c not in (key, "original_metadata")]
-    return rows.select(key, *[F.col(f"left_{c}").alias(c) for c in columns], meta), tallies
-
-
-def backfill(spark: SparkSession, files: list[str], tar_folder: str, extensions: list[str] = (".wav",)) -> DataFrame:
-    """Give the records of JSON-line files the metadata that their archives have; returns path, status (updated, mismatch or no_archive), rows, updated.
-
-    Every file is staged beside itself under .temp and renamed over; files that do not fit stay as they are.
+def _new_line(record: Column, meta: Column, tar: Column, member: Column, error: Column) -> Column:
+    """A line of a record with its metadata, in the order of the schema; or of an error."""
+    wrong = F.to_json(F.struct(tar.alias("tar_file"), member.alias("audio_file"), error.alias("error")))
+    fields = [F.coalesce(record["tar_file"], tar).alias("tar_file"), *[record[c].alias(c) for c in ("audio_file", "num_samples", "sample_rate")], meta.alias("original_metadata"), record["tokens"].alias("tokens"), record["token_shape"].alias("token_shape")]
+    return F.when(error.isNotNull(), wrong).otherwise(F.to_json(F.struct(*fields)))
+
+
+def staged(spark: SparkSession, files: list[str] | DataFrame, tar_folder: str, extensions: list[str] = (".wav",), range_bytes: int = 64 << 20) -> tuple[DataFrame, DataFrame]:
+    """(the manifest of new files, not yet in place; one report row a file: path, status, rows, updated, reason). See backfill()."""
+    given = files.select("path") if isinstance(files, DataFrame) else spark.createDataFrame([(f,) for f in files], "path string")
+    pairs = stored(paired(given, list_files(spark, tar_folder, "*.tar")), "pairs")  # one row a file
+    found = pairs.where("tar_path IS NOT NULL").select("path", "tar_path")
+    lines = parsed_lines(index_lines(spark, found, range_bytes=range_bytes))
+    members = split_members(spark, found.select(F.col("tar_path").alias("path")), extensions, range_bytes).drop("content")
+    members = stored(members.join(found, "tar_path"), "members")
+    thin = lines.select("path", "line_number", F.col("r.audio_file").alias("audio_file"), "is_bad", "has_error", "has_metadata")
+    actions = stored(row_actions(thin, members, "path"), "actions")
+    tallies = stored(file_tallies(actions, "path"), "tallies")
+
+    changed = tallies.where("commit AND updated > 0").select("path")
+    work = actions.join(changed, "path", "left_semi")
+    asked = work.where("action = 'read'").select("path", "line_number", "member_index").join(members.select("path", F.col("member_index").cast("bigint").alias("member_index"), "tar_path", "offset", "size"), ["path", "member_index"])
+    read = stored(read_headers(asked.repartition(F.col("path"), F.col("line_number"))).select("path", "line_number", "original_metadata", "read_error"), "headers")
+    plan = work.select("path", "line_number", "action", F.col("audio_file").alias("member")).join(read, ["path", "line_number"], "left").join(found, "path")
+    error = F.when(F.col("action") == "replace", "the line could not be read as JSON").otherwise(F.col("read_error"))
+    line = F.when(F.col("action") == "keep", F.col("line")).otherwise(_new_line(F.col("r"), F.col("original_metadata"), F.col("tar_path"), F.col("member"), error))
+    new = lines.select("path", "line_number", "line", "r").join(plan, ["path", "line_number"]).select("path", "line_number", line.alias("line"))
+    manifest = stage_files(new, "line_number")
+
+    status = F.when(F.col("ambiguous"), "ambiguous").when(F.col("tar_path").isNull(), "no_archive").when(F.col("commit").isNull(), "empty").when(F.col("commit"), "updated").otherwise("mismatch")
+    none = F.lit(0).cast("bigint")
+    report = pairs.join(tallies, "path", "left").select("path", status.alias("status"), F.coalesce("rows", none).alias("rows"), F.coalesce("updated", none).alias("updated"), "reason")
+    return manifest, report
+
+
+def backfill(spark: SparkSession, files: list[str] | DataFrame, tar_folder: str, extensions: list[str] = (".wav",), dry_run: bool = False, **options) -> DataFrame:
+    """Give the records of JSON-line files the metadata that their archives' headers have; returns path, status, rows, updated and reason.
+
+    Status: updated (fits its archive; updated tells how many lines were changed, and a file of which none was is not written), mismatch,
+    no_archive, ambiguous (several archives of its stem) or empty (neither lines nor members). Rules of a line: see row_actions(); a
+    member whose header cannot be read makes its line an error record. Lines that stay are written byte for byte, blank lines are left out.
+    New files are staged beside the old ones and renamed over them, one atomic step a file; dry_run stages, and puts nothing in place.
     """
-    pairs = paired(spark.createDataFrame([(f,) for f in files], "path string"), list_files(spark, tar_folder, "*.tar")).cache()
-    found = [r for r in pairs.collect() if r.tar_path]
-    records = index_lines(spark, [r.path for r in found]).select("path", "line_number", F.from_json("line", RESULTS).alias("r")).select("path", "line_number", "r.*")
-    members = fetch(read_members(spark, [r.tar_path for r in found], list(extensions))) if found else spark.createDataFrame([], "tar_path string, member_index int, audio_file string, content binary")
-    read = with_metadata(members.select("tar_path", "member_index", "audio_file", "content")).join(F.broadcast(pairs.where("tar_path IS NOT NULL")), "tar_path")
-    rows, tallies = enriched(records, read.drop("tar_path"), "path")
-    report = tallies.collect()  # one row a file
-    for r in report:
-        if r.commit:
-            one = rows.where(F.col("path") == r.path).orderBy("line_number").coalesce(1)
-            one.select(F.to_json(F.struct(*RESULTS.fieldNames())).alias("value")).write.mode("overwrite").text(r.path + ".temp")
-            (part,) = [p.path for p in list_files(spark, r.path + ".temp", "part-*").collect()]
-            replace(spark, part, r.path)
-            drop_folder(spark, r.path + ".temp")
-    said = {r.path: ("updated" if r.commit else "mismatch", r["rows"], r.updated) for r in report}
-    out = [(f, *said.get(f, ("no_archive" if f not in {r.path for r in found} else "updated", 0, 0))) for f in files]
-    pairs.unpersist()
-    return spark.createDataFrame(out, "path string, status string, rows bigint, updated bigint")
+    manifest, report = staged(spark, files, tar_folder, extensions, **options)
+    report = stored(report, "report")
+    if not dry_run:
+        put_in_place(manifest)
+    return report

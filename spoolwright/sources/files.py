@@ -83,12 +83,21 @@ def clean_temporary(spark: SparkSession, folder: str, pattern: str = "*.temp", h
     return delete(spark, older_than(list_files(spark, folder, pattern), hours, now), dry_run)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, p = _store(spark, path)
+    return store.exists(p)
+
+
 def replace(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a staged file in the place of another; a target that is there is removed only when the staged file is."""
-    store, old = _store(spark, target)
-    new = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    """Rename a staged file over another in one step of the store: whoever looks sees the old or the new file, never none."""
+    hadoop, gateway = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._gateway
+    new, old = hadoop.Path(staged), hadoop.Path(target)
+    store = old.getFileSystem(spark._jsc.hadoopConfiguration())
     if not store.exists(new):
         raise FileNotFoundError(staged)
-    store.delete(old, True)
-    if not store.rename(new, old):
-        raise OSError(f"cannot rename {staged} to {target}")
+    checksum = hadoop.Path(old.getParent(), f".{old.getName()}.crc")
+    if store.getScheme() == "file" and store.getRawFileSystem().exists(checksum):  # of the old file; without one, none is checked
+        store.getRawFileSystem().delete(checksum, False)
+    options = gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(store.getUri(), spark._jsc.hadoopConfiguration()).rename(store.makeQualified(new), store.makeQualified(old), options)

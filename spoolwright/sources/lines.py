@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.text import is_blank
+from .scratch import stored
 from .tar import open_stream
 
 SCHEMA = "path string, range_no int, line_in_range bigint, start_offset bigint, end_offset bigint, line string"
@@ -84,19 +85,74 @@ class LineSource(DataSource):
         return LineReader(self.options)
 
 
-def index_lines(spark: SparkSession, paths: list[str], json_only: bool = False, range_bytes: int = 64 << 20) -> DataFrame:
-    """path, line_number (from 1, every line counted), start_offset, end_offset, line; blank lines, and bad JSON if asked, are left out."""
-    spark.dataSource.register(LineSource)
-    if not paths:
-        return spark.createDataFrame([], "path string, line_number bigint, start_offset bigint, end_offset bigint, line string")
-    lines = spark.read.format("indexed_lines").option("rangeBytes", range_bytes).load(",".join(paths))
-    counts = lines.groupBy("path", "range_no").agg(F.count("*").alias("n"))
+def _ranges(paths: DataFrame, range_bytes: int) -> DataFrame:
+    """path, range_no, start, end of the byte ranges of files, sized by the executors."""
+
+    def sized(batches):
+        for batch in batches:
+            rows = []
+            for path in batch.column("path").to_pylist():
+                with open_stream(path) as raw:
+                    size = raw.size()
+                rows += [(path, i, at, min(at + range_bytes, size)) for i, at in enumerate(range(0, max(size, 1), range_bytes))]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["path", "range_no", "start", "end"])
+
+    lanes = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return paths.select("path").distinct().mapInArrow(sized, "path string, range_no bigint, start bigint, end bigint").repartition(lanes, "path", "range_no")
+
+
+def read_lines(ranges: DataFrame, batch_bytes: int = 4 << 20) -> DataFrame:
+    """path, line_number, start_offset, end_offset, line of the lines that start in byte ranges. ranges: path, start, end and ahead, the lines before."""
+
+    def run(batches):
+        def batch_of(path, rows):
+            number, start, end, line = zip(*rows, strict=True)
+            text = pa.array([x.decode("utf-8", "replace") for x in line], pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([path] * len(rows)), *[pa.array(c, pa.int64()) for c in (number, start, end)], text], ["path", "line_number", "start_offset", "end_offset", "line"])
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                with open_stream(r["path"]) as raw:
+                    rows, held = [], 0
+                    for i, (a, b, line) in enumerate(lines_between(raw, r["start"], r["end"])):
+                        rows.append((r["ahead"] + i + 1, a, b, line))
+                        held += len(line) + 64
+                        if held > batch_bytes:
+                            yield batch_of(r["path"], rows)
+                            rows, held = [], 0
+                    if rows:
+                        yield batch_of(r["path"], rows)
+
+    return ranges.select("path", "start", "end", "ahead").mapInArrow(run, "path string, line_number bigint, start_offset bigint, end_offset bigint, line string")
+
+
+def numbered_ranges(paths: DataFrame, range_bytes: int) -> DataFrame:
+    """The byte ranges of files with ahead, the number of lines before each: lines are counted where they lie, and counts added up."""
+
+    def count(batches):
+        for batch in batches:
+            n = []
+            for r in batch.to_pylist():
+                with open_stream(r["path"]) as raw:
+                    n.append(sum(1 for _ in lines_between(raw, r["start"], r["end"])))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], [*batch.schema.names, "n"])
+
+    counted = _ranges(paths, range_bytes).mapInArrow(count, "path string, range_no bigint, start bigint, end bigint, n bigint")
     before = Window.partitionBy("path").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("path", "range_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))  # one row a range
-    out = lines.join(counts, ["path", "range_no"]).where(~is_blank(F.col("line")))
-    if json_only:
-        out = out.where(F.expr("try_parse_json(line) IS NOT NULL"))
-    return out.select("path", (F.col("ahead") + F.col("line_in_range") + 1).alias("line_number"), "start_offset", "end_offset", "line")
+    out = stored(counted.select("*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead")), "line_ranges")  # one row a range
+    return out.where("n > 0").repartition(int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "range_no")
+
+
+def index_lines(spark: SparkSession, paths: list[str] | DataFrame, json_only: bool = False, range_bytes: int = 64 << 20) -> DataFrame:
+    """path, line_number (from 1, every line counted), start_offset, end_offset, line; blank lines, and bad JSON if asked, are left out.
+
+    paths: a list, or a DataFrame with path. Ranges are counted first and their counts added up; then every range is read with its first
+    line's number known, so that lines are never exchanged.
+    """
+    given = paths.select("path") if isinstance(paths, DataFrame) else spark.createDataFrame([(p,) for p in paths], "path string")
+    out = read_lines(numbered_ranges(given, range_bytes)).where(~is_blank(F.col("line")))
+    return out.where(F.expr("try_parse_json(line) IS NOT NULL")) if json_only else out
 
 
 def write_index(index: DataFrame, path: str) -> None:
@@ -104,22 +160,47 @@ def write_index(index: DataFrame, path: str) -> None:
     index.drop("line").orderBy("path", "line_number").write.mode("overwrite").json(path)
 
 
-def read_at(index: DataFrame) -> DataFrame:
-    """index with found: the text between a line's offsets, by seeking in its file."""
+def write_lookup_index(index: DataFrame, path: str) -> None:
+    """The index without its lines as Parquet, clustered by file and offset: row groups hold short ranges of both, so that look-ups by either skip the rest."""
+    index.drop("line").repartitionByRange("path", "start_offset").sortWithinPartitions("path", "start_offset").write.mode("overwrite").parquet(path)
+
+
+def merged(spans: list[tuple[int, int]], gap: int, most: int) -> list[tuple[int, int, list[int]]]:
+    """(start, end, places in spans) of reads that serve all spans: neighbours at most gap bytes apart share one, of at most so many bytes."""
+    out: list[tuple[int, int, list[int]]] = []
+    for i in sorted(range(len(spans)), key=lambda i: spans[i]):
+        a, b = spans[i]
+        if out and a - out[-1][1] <= gap and max(b, out[-1][1]) - out[-1][0] <= most:
+            start, end, of = out[-1]
+            of.append(i)
+            out[-1] = start, max(end, b), of
+        else:
+            out.append((a, b, [i]))
+    return out
+
+
+def read_at(index: DataFrame, gap: int = 64 << 10, most: int = 16 << 20) -> DataFrame:
+    """index with found, the text between a line's offsets, and read_no, the read within its batch and file that brought it.
+
+    Neighbours at most gap bytes apart come in one read of at most `most` bytes; an index in order of file and offset needs fewest.
+    """
 
     def run(batches):
         for batch in batches:
-            found, open_path, raw = [], None, None
-            for path, a, b in zip(*[batch.column(c).to_pylist() for c in ("path", "start_offset", "end_offset")], strict=True):
-                if path != open_path:
-                    if raw is not None:
-                        raw.close()
-                    raw, open_path = open_stream(path), path
-                raw.seek(a)
-                found.append(raw.read(b - a).decode("utf-8", "replace").rstrip("\r\n"))
-            if raw is not None:
-                raw.close()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "found"])
+            by_path: dict[str, list[int]] = {}
+            for i, p in enumerate(batch.column("path").to_pylist()):
+                by_path.setdefault(p, []).append(i)
+            spans = list(zip(batch.column("start_offset").to_pylist(), batch.column("end_offset").to_pylist(), strict=True))
+            found, number = [None] * len(spans), [None] * len(spans)
+            for path, rows in by_path.items():
+                with open_stream(path) as raw:
+                    for no, (a, b, of) in enumerate(merged([spans[i] for i in rows], gap, most)):
+                        raw.seek(a)
+                        data = raw.read(b - a)
+                        for j in of:
+                            s, e = spans[rows[j]]
+                            found[rows[j]], number[rows[j]] = data[s - a : e - a].decode("utf-8", "replace").rstrip("\r\n"), no
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(number, pa.int32())], [*batch.schema.names, "found", "read_no"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema.fields)
-    return index.mapInArrow(run, f"{kinds}, found string")
+    return index.mapInArrow(run, f"{kinds}, found string, read_no int")
