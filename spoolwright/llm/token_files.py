@@ -62,7 +62,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
     def encode(batches):
         enc = encoder(path)
         for batch in batches:
-            for piece in byte_slices(batch, "text"):
+            for piece in byte_slices(batch, "text", 2 << 20):  # what encoding holds beside a piece is many times its size
                 ids, at = enc.encode(piece.column("text"), end_id)
                 part = [bisect_right(bounds, p) for p in _places([piece.column(c).to_pylist() for c in (*by, "text_hash")])]
                 rows = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at * enc.type.itemsize), pa.py_buffer(ids)])
