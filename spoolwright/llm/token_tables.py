@@ -6,9 +6,11 @@ ChunkCounter encodes overlapping chunks of huge texts with offsets and splices t
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
+import unicodedata
 from itertools import chain
 
 import numpy as np
@@ -33,6 +35,21 @@ CONTROLS = re.compile("[\x1c-\x1f]")
 GAP = re.compile(r"(?<=[^\s\x1c-\x1f])[ \n](?=[A-Za-z0-9])")
 
 
+@functools.cache
+def word_gaps(kept: str) -> re.Pattern:
+    """Where the pre-token pattern of words begins anew whatever stands before: at white space before a letter or digit; between punctuation
+    (but an apostrophe, and the characters of kept) and a letter; and between digits, each of which is a piece.
+
+    Letters, digits and punctuation are those of the first plane that Unicode has had since version 3.2, as tables may differ in later ones.
+    None of them composes with what stands before such a place, so normalisation works on either side alone.
+    """
+    old = unicodedata.ucd_3_2_0
+    chars = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    group = lambda kinds: "".join(re.escape(c) for c in chars if old.category(c)[0] in kinds and c not in kept)
+    letters, digits, marks = group("L"), "0-9", "".join(re.escape(c) for c in chars if old.category(c)[0] in "PS" and c not in kept + "'")
+    return re.compile(rf"(?<=[^\s\x1c-\x1f])[ \n](?=[{letters}{digits}])|(?<=[{marks}])(?=[{letters}])|(?<=[{digits}])(?=[{digits}])")
+
+
 def byte_alphabet() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for characters from 256 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -126,7 +143,7 @@ class ByteEncoder:
     library. Recent ones are kept, within a bound on their bytes. A file with another pre-tokenizer has its texts encoded whole.
     """
 
-    def __init__(self, path: str, most_bytes: int = 128 << 20, gather: int = 1 << 20):
+    def __init__(self, path: str, most_bytes: int = 64 << 20, gather: int = 1 << 20):
         self.tokenizer, file = load(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cuts, self.most, self.gather = cuts_at_spaces(file), most_bytes, gather
@@ -222,22 +239,24 @@ class ByteEncoder:
 class ChunkCounter:
     """Token counts of whole texts, as Tokenizer.encode gives them; huge ones by overlap resynchronisation.
 
-    A text of more than `chunk` characters is encoded in chunks that overlap by `overlap` characters. Two neighbours are spliced at a
-    proven boundary of their overlap: white space between non-white space and an ASCII letter or digit, where the pre-tokenizer starts
-    anew on either side and no normaliser works across, which no token of either chunk spans, and behind which both chunks have the
-    same tokens at the same offsets up to the last white space of the overlap. Tokens before it are counted from the left chunk's
-    encoding, those behind it from the right one's. Where there is none, the right chunk is encoded again with an overlap of twice the
-    length, and in the end as one with the left chunk. Shorter texts are counted by their distinct words, which the library, or for ASCII
+    A text of more than `chunk` characters is encoded in chunks that overlap by `overlap` characters or more. Two neighbours are spliced at a
+    proven boundary of their overlap: a place where the pre-tokenizer starts anew whatever stands before and no normaliser works across,
+    which no token of either chunk spans, and behind which both chunks have the same tokens at the same offsets up to the last such place
+    of the overlap. Tokens before it are counted from the left chunk's encoding, those behind it from the right one's. Chunks are laid so
+    that their overlaps hold such places; if their tokens do not agree all the same, the right chunk is encoded again with all that is not
+    counted yet, and if that fails too, the text is counted once, whole, as is a text without any such place. Shorter texts are counted by their distinct words, which the library, or for ASCII
     its model, encodes once and which are kept within a bound on their bytes. A tokenizer file for which white space proves nothing has texts encoded whole.
     """
 
     def __init__(self, path: str, chunk: int = 16_384, overlap: int = 256, most_bytes: int = 64 << 20):
         self.tokenizer, file = load(path)
-        self.chunk, self.overlap, self.proves = chunk, min(overlap, chunk // 2), drops_white_space(file)
+        self.chunk, self.overlap, self.proves = chunk, max(1, min(overlap, chunk // 2)), drops_white_space(file)
         self.words, self.held, self.most = {}, 0, most_bytes
         pre = _steps(file["pre_tokenizer"], "pretokenizers")
         lowers = any(n["type"] == "Lowercase" for n in _steps(file["normalizer"], "normalizers"))
         self.by_model = self.proves and lowers and [p["type"] for p in pre] == ["Split", "ByteLevel"] and not pre[1].get("use_regex", True) and not pre[1]["add_prefix_space"]
+        by_words = bool(pre) and pre[0]["type"] == "Split"
+        self.gap = word_gaps("".join(sorted({c for t in file["added_tokens"] for c in t["content"] if not c.isalnum()}))) if self.proves and by_words else GAP
         self.special = re.compile("|".join(re.escape(t["content"]) for t in file["added_tokens"]) or r"(?!)")
         self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         self.calls = self.characters = 0  # pieces that the library encoded, and their length
@@ -279,21 +298,48 @@ class ChunkCounter:
         (e,) = self.encoded([text[start:end]])
         return start, end, np.array(e.ids, np.int64), np.array(e.offsets, np.int64).reshape(-1, 2) + start
 
-    def spliced(self, text: str) -> int:
-        total, counted = 0, 0  # tokens so far, and the place in the text up to which they go
-        left = self.placed(text, 0, min(self.chunk, len(text)))
-        while left[1] < len(text):
-            lap = self.overlap
-            end = min(len(text), left[1] + self.chunk - self.overlap)
-            right = self.placed(text, left[1] - lap, end)
-            while (cut := self.boundary(text, left, right, counted)) is None and left[1] - lap > left[0]:
-                lap = min(2 * lap, left[1] - left[0])
-                right = self.placed(text, left[1] - lap, end)
-            if cut is None:  # no boundary in all of the left chunk
-                left = self.placed(text, left[0], end)
+    def ranges(self, text: str):
+        """The chunks of a text: each begins in the latter half of the one before, and two possible boundaries lie where they overlap.
+
+        What is looked at are characters, not yet tokens. Where the latter half holds no two boundaries, the chunk goes on to the second one
+        behind it, and to the end of the text if there is none. So no character stands in more than two chunks.
+        """
+        begin = 0
+        while begin + self.chunk < len(text):
+            half, end = begin + self.chunk // 2, begin + self.chunk
+            back, found = self.overlap, []
+            while len(found) < 2 and back:
+                low = max(half, end - back)
+                found = [m.start() for m in self.gap.finditer(text, low, end)]
+                back = 4 * back if low > half else 0
+            if len(found) < 2:
+                found = [m.start() for m, _ in zip(self.gap.finditer(text, half), range(2), strict=False)]
+                if len(found) < 2:
+                    break
+                end = min(len(text), found[1] + 2)
+                after = found[0] - 1
             else:
+                after = min(found[-2] - 1, end - self.overlap)
+            yield begin, end
+            if end == len(text):
+                return
+            begin = max(after, half - 1, begin + 1)
+        yield begin, len(text)
+
+    def spliced(self, text: str) -> int:
+        total, counted, left = 0, 0, None  # tokens so far, and the place in the text up to which they go
+        for begin, end in self.ranges(text):
+            right = self.placed(text, begin, end)
+            if left is not None:
+                cut = self.boundary(text, left, right, counted)
+                if cut is None and begin > max(counted, left[0]):  # alignment failed: the overlap is widened to all that is not counted yet
+                    right = self.placed(text, max(counted, left[0]), end)
+                    cut = self.boundary(text, left, right, counted)
+                if cut is None:
+                    return len(self.encoded([text])[0])
                 total += self.between(left, counted, cut)
-                left, counted = right, cut
+                counted = cut
+            left = right
         return total + self.between(left, counted, len(text))
 
     def between(self, chunk: tuple, start: int, end: int) -> int:
@@ -302,7 +348,7 @@ class ChunkCounter:
 
     def boundary(self, text: str, left: tuple, right: tuple, counted: int) -> int | None:
         """The last proven boundary in the overlap, behind what is counted already; None if there is none."""
-        gaps = [m.start() for m in GAP.finditer(text, max(right[0], counted) + 1, left[1])]
+        gaps = [m.start() for m in self.gap.finditer(text, max(right[0], counted) + 1, left[1])]
         if len(gaps) < 2:
             return None
         upto = gaps[-1]  # behind it the left chunk may break off within a word
