@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -31,7 +32,7 @@ def test_matches_sql(spark, name):
 
 
 def test_shards(edge, nothing):
-    rows = sharding.shard_documents(edge, 4, 64).collect()
+    rows = sharding.shard_documents(edge, 4).collect()
     src = edge.collect()
     assert len(rows) == len(src)
     assert collections.Counter((r.doc_id, r.size) for r in rows) == collections.Counter((r.doc_id, len((r.text or "").encode()) + 8) for r in src)
@@ -53,6 +54,36 @@ def test_least_loaded_is_lpt():
     assert placed == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 1}
 
 
+def test_runs_of_one_size_are_scheduled_as_one_by_one():
+    g = random.Random(1)
+    for _ in range(150):
+        shards, runs = g.randint(1, 9), [(z, g.choice([1, 2, 3, 50, 200])) for z in g.sample(range(1, 60), g.randint(1, 8))]
+        wanted = {z: [0] * shards for z, _ in runs}
+        for name, s in sharding.least_loaded([(f"{z:03d}-{i:05d}", z) for z, m in runs for i in range(m)], shards).items():
+            wanted[int(name[:3])][s] += 1
+        assert sharding.schedule_runs(runs, shards) == wanted
+    (taken,) = sharding.schedule_runs([(8, 100_000)], 24).values()
+    assert sum(taken) == 100_000 and max(taken) - min(taken) == 1
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_runs": 0, "chunk_rows": 7}])
+def test_loads_are_those_of_plain_scheduling(spark, options):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    extra = spark.range(700).select((-1 - F.col("id")).alias("doc_id"), F.concat(F.lit("same size "), F.lpad((F.col("id") % 350).cast("string"), 4, "0")).alias("text"))
+    docs = docs.unionByName(extra).unionByName(extra.limit(1).join(spark.range(400).select(F.lit(1).alias("one"))).select("doc_id", "text"))
+    rows, texts = sharding.shard_documents(docs, **options).collect(), {}
+    for r in docs.collect():
+        texts.setdefault(r.text, []).append(len((r.text or "").encode()) + 8)
+    placed = sharding.least_loaded([(str(i), sum(sizes)) for i, sizes in enumerate(texts.values())], 24)
+    wanted, got = collections.Counter(), collections.Counter()
+    for i, sizes in enumerate(texts.values()):
+        wanted[placed[str(i)]] += sum(sizes)
+    for r in rows:
+        got[r.shard] += r.size
+    assert len(rows) == docs.count() and got == wanted
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows))) for s in range(24))
+
+
 def test_shards_are_balanced(spark):
     rows = queries.op1_sharding(spark, SF).collect()
     loads = collections.Counter()
@@ -314,6 +345,29 @@ def test_top_k_of_empty_vectors_and_repeated_ids(spark):
     assert got == sorted([(0, 1, 1, 0), (0, 2, 2, 0), *first, *second])
 
 
+@pytest.mark.parametrize("top", [10, 2**26, 2**31, 2**40, 1e300])
+def test_scores_are_exact_at_any_size(spark, top):
+    g = np.random.default_rng(7)
+    v = np.floor(g.uniform(-1, 1, (60, 5)) * float(top))
+    v[7] = v[9]
+    whole = [[int(x) for x in row] for row in v.tolist()]
+    got = topk.top_k(spark.createDataFrame([(i, row) for i, row in enumerate(v.tolist())], "vec_id long, v array<double>"), F.col("vec_id") % 20 == 0, 7, block_rows=25).collect()
+    for q in (0, 20, 40):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], x, strict=True)), i) for i, x in enumerate(whole) if i != q)[:7]
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert mine == [(k + 1, i, -s if -(2**63) <= -s < 2**63 else None) for k, (s, i) in enumerate(best)]
+
+
+def test_limbs_keep_order_and_value(spark):
+    edges = sorted({s * (1 << b) + d for b in (0, 30, 61, 62, 63, 64, 124, 130, 190) for s in (1, -1) for d in (-1, 0, 1)})
+    for n in (2, 3, 4):
+        some = [x for x in edges if abs(x) < 1 << (62 * n - 1)]
+        cut = [topk.limbs(x, n) for x in some]
+        assert cut == sorted(cut)
+        got = spark.createDataFrame([(i, c) for i, c in enumerate(cut)], "i int, score array<long>").select("i", topk._as_long(n)).collect()
+        assert {r[0]: r[1] for r in got} == {i: x if -(2**63) <= x < 2**63 else None for i, x in enumerate(some)}
+
+
 def test_pivots_eliminate_candidates():
     """Of clustered vectors few are evaluated."""
     g = np.random.default_rng(5)
@@ -479,7 +533,25 @@ def test_huge_texts_are_counted_from_their_chunks():
 def test_overlaps_are_widened(text):
     c = token_tables.ChunkCounter(queries.tokenizer_file("word_bpe_49k.json"), chunk=500, overlap=20)
     assert c.counts([text]) == [len(c.tokenizer.encode(text, add_special_tokens=False).ids)]
-    assert c.characters > len(text)
+    assert len(text) <= c.characters < 2 * len(text)
+
+
+@pytest.mark.parametrize("unit", ["Быстрая лиса прыгает через ленивую собаку, и ещё раз. ", "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。", "abcdefghij", "1234567890", "สวัสดีครับผมชื่อ", "l'été, don't 'sß「日本」ﾞ <|endoftext|>a|b<|end Σας ΣΑΣ  \u0301x "])
+def test_long_texts_of_any_script_are_encoded_about_once(unit):
+    for size in (40_000, 320_000):
+        text = (unit * (size // len(unit) + 1))[:size]
+        c = token_tables.ChunkCounter(queries.tokenizer_file("word_bpe_49k.json"))
+        assert c.counts([text]) == [len(c.tokenizer.encode(text, add_special_tokens=False).ids)]
+        assert c.characters < 1.1 * size
+
+
+def test_random_mixtures_are_spliced_right():
+    g = random.Random(6)
+    units = ["l'été ", "don't we'll ", "「日本」", "ﾞ", "<|endoftext|>", "a|b<|end", "Σας ", " \u0301x", "12 3", "'S", "。a", "ᅡᄀ"]
+    c = token_tables.ChunkCounter(queries.tokenizer_file("word_bpe_49k.json"), chunk=20, overlap=2)
+    for _ in range(150):
+        text = "".join(g.choice(units) if g.random() < 0.4 else g.choice("ab'. 1é日。ﾞᅡᄀ<|>\n") for _ in range(g.randint(50, 300)))
+        assert c.counts([text]) == [len(c.tokenizer.encode(text, add_special_tokens=False).ids)]
 
 
 def test_other_tokenizers_get_whole_texts(tmp_path):
