@@ -13,9 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import headers
-from .codec import ResidualCodec, decode_piecewise, encode_piecewise, lifted, measured_samples_per_token
+from . import headers, tables
+from .codec import Adapter, ResidualCodec, decode_piecewise, encode_piecewise, lifted, measured_samples_per_token
 from .functions import signal, text
+from .functions.jsontext import ascii_json
 from .operators import fragments, manifest, merge, offsets, progress
 from .plans import backfill, submission
 from .plans.audio import list_entries, list_totals
@@ -602,3 +603,107 @@ def mpeg_headers(spark, sf_dir):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.float64(), pa.bool_()), strict=True)], ["partkey", "sample_rate", "duration", "short"])
 
     return _t(spark, sf_dir, "part").select("p_partkey", (4 + F.col("p_size")).alias("frames")).mapInArrow(run, "partkey long, sample_rate int, duration double, short boolean")
+
+
+@query(f'WITH {_fragment_sql(4)} SELECT doc_id, fragment, "begin", "end", kept_begin, kept_end FROM k')
+def fragment_function(spark, sf_dir):
+    """The table function of fragments, called for every document by LATERAL."""
+    tables.register(spark)
+    _t(spark, sf_dir, "documents").createOrReplaceTempView("spoolwright_documents")
+    return spark.sql("SELECT doc_id, f.* FROM spoolwright_documents, LATERAL fragments(n_chars, 4, 200, 20) AS f")
+
+
+@query(r"""WITH j AS (SELECT doc_id, to_json(text)::VARCHAR AS j FROM documents),
+e AS (SELECT doc_id, array_to_string([CASE WHEN unicode(x) BETWEEN 32 AND 126 THEN x WHEN unicode(x) < 65536 THEN printf('\u%04x', unicode(x)) ELSE printf('\u%04x\u%04x', 55296 + ((unicode(x) - 65536) >> 10), 56320 + ((unicode(x) - 65536) & 1023)) END FOR x IN regexp_extract_all(j, '[\x20-\x7E]+|[^\x20-\x7E]')], '') AS a FROM j)
+SELECT doc_id, octet_length(encode(a))::INTEGER AS bytes, md5(a) AS digest FROM e""")
+def ascii_records(spark, sf_dir):
+    """Whole texts as JSON strings in ASCII."""
+    j = F.to_json(F.struct("text"))
+    a = ascii_json(F.substring(j, F.lit(9), F.length(j) - 9))  # of {"text":"..."} the string
+    return _t(spark, sf_dir, "documents").select("doc_id", a.alias("a")).select("doc_id", F.octet_length("a").alias("bytes"), F.md5("a").alias("digest"))
+
+
+@query(f"WITH {L} SELECT source, count(*) AS entries, grouping(source)::INTEGER AS is_total FROM x GROUP BY ROLLUP (source)")
+def index_totals(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("source", F.explode(F.split("text", "\n")).alias("line"))
+    return progress.index_totals(d.where(~text.is_blank(F.col("line"))), "source")
+
+
+@query("SELECT vec_id, [round((embedding[i]::DOUBLE + embedding[i + 16]::DOUBLE + embedding[i + 32]::DOUBLE + embedding[i + 48]::DOUBLE) / 4, 6) FOR i IN range(1, 17)] AS wave FROM embeddings")
+def mixed_channels(spark, sf_dir):
+    """Embeddings as four channels, mixed into one."""
+    d = F.transform("embedding", lambda x: x.cast("double"))
+    channels = F.array(*[F.slice(d, 16 * i + 1, 16) for i in range(4)])
+    return _t(spark, sf_dir, "embeddings").select("vec_id", F.transform(signal.mixed(channels), lambda x: F.round(x, 6)).alias("wave"))
+
+
+@query("SELECT p_partkey AS partkey, '/corpus/' || p_name || '.tar' AS path FROM part")
+def absolute_paths(spark, sf_dir):
+    relative = F.concat(F.lit("./more/../"), "p_name", F.lit(".tar"))
+    return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"), text.absolute(relative, "/corpus").alias("path"))
+
+
+@query("SELECT page_id, row_number() OVER (PARTITION BY regexp_extract(url, '^[^/]*//[^/]*') ORDER BY string_split(url, '/'), page_id)::INTEGER AS place FROM pages")
+def path_places(spark, sf_dir):
+    """Pages of a host in the order of their paths' components."""
+    from pyspark.sql import Window
+
+    by = Window.partitionBy(F.regexp_extract("url", "^[^/]*//[^/]*", 0)).orderBy(text.path_order(F.col("url")), "page_id")
+    return _t(spark, sf_dir, "pages").select("page_id", F.row_number().over(by).alias("place"))
+
+
+@query("WITH f AS (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS size, arg_min(props, event_id) AS first FROM events GROUP BY user_id) SELECT user_id, size > 0 AND coalesce(json_valid(first), false) AS valid FROM f")
+def output_validity(spark, sf_dir):
+    """Users as outputs, purchases as their bytes: those without any are invalid, whatever their first line is."""
+    e = _t(spark, sf_dir, "events")
+    listing = e.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("size"))
+    return progress.output_validity(listing, progress.first_line_valid(e, "user_id", "event_id", "props"), "user_id").select("user_id", "valid")
+
+
+@query(f"WITH {M} SELECT pos, tar_path, tar_stem FROM m WHERE pos // 4 = 3")
+def task_slice(spark, sf_dir):
+    return manifest.task_slice(_manifest(spark, sf_dir), 3)
+
+
+@query(f"WITH {M} SELECT pos, tar_path, tar_stem FROM m WHERE pos NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def gate_skip(spark, sf_dir):
+    """Customers as archives, those with pending orders as outputs that exist: the gate in its skipping mode."""
+    m = _manifest(spark, sf_dir)
+    final = m.join(_t(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("pos")), "pos", "left_semi").select(F.col("tar_stem").alias("stem"), F.lit("final").alias("kind"))
+    return progress.gate(m, final, "skip")
+
+
+@query(f"WITH {S} SELECT list, pos, tar_path FROM (SELECT unnest(CASE status WHEN 'complete' THEN ['completed'] WHEN 'invalid' THEN ['remaining', 'invalid'] ELSE ['remaining'] END) AS list, tar_stem::BIGINT AS pos, tar_stem || '.tar' AS tar_path FROM s)")
+def progress_lists(spark, sf_dir):
+    """Lists of archives written in manifest order and read again; a line's place in its file gives its position back."""
+    folder = scratch_path(spark, "progress")
+    status = _status(spark, sf_dir).select(F.col("tar_stem").cast("bigint").alias("pos"), F.concat("tar_stem", F.lit(".tar")).alias("tar_path"), "status")
+    names = [n for n, size in progress.write_progress(status, folder, completed=True).items() if size]
+    back = lines.index_lines(spark, [f"{folder}/{n}.txt" for n in names])
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("path").orderBy(F.col("pos")))
+    sorted_too = back.withColumn("pos", text.stem(F.col("line")).cast("bigint")).withColumn("place", place).where(F.col("place") == F.col("line_number"))
+    return sorted_too.select(text.stem(F.col("path")).alias("list"), "pos", F.col("line").alias("tar_path"))
+
+
+@query("SELECT count(*) AS breaks, count(*) AS lines FROM part")
+def line_counts(spark, sf_dir):
+    """Lines of a file on disk, counted in byte ranges."""
+    folder = scratch_path(spark, "count")
+    _t(spark, sf_dir, "part").select("p_name").coalesce(1).write.text(folder)
+    return lines.count_lines(files.list_files(spark, folder, "part-*"), range_bytes=777).select("breaks", "lines")
+
+
+@query("SELECT vec_id, 15::BIGINT AS n_tokens, true AS same FROM embeddings")
+def irregular_codec(spark, sf_dir):
+    """Embeddings less two samples, with a codec that gives tokens for whole steps only: fragments follow one another by what they gave."""
+
+    def run(batches):
+        c = ResidualCodec(24_000, 4)
+        floor = Adapter(lambda x: c.encode(x[: len(x) // 4 * 4]), c.decode, 24_000, regular=False)
+        for b in batches:
+            pairs = [(encode_piecewise(floor, x, 8, 1), floor.encode(x)) for x in (v.values.to_numpy().astype(float)[:62] for v in b.column("embedding"))]
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array([t.shape[1] for t, _ in pairs], pa.int64()), pa.array([bool((t == w).all()) for t, w in pairs])], ["vec_id", "n_tokens", "same"])
+
+    return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, n_tokens long, same boolean")

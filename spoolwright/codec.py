@@ -101,7 +101,9 @@ def write_wave(samples: np.ndarray, rate: int) -> bytes:
 
 
 def encode_piecewise(codec: Codec, x: np.ndarray, most: int = 25_000, overlap: int = 250) -> np.ndarray:
-    """Fragments by the closed form of operators.fragments, encoded one by one and trimmed."""
+    """Fragments by the closed form of operators.fragments, encoded one by one and trimmed; step by step for a codec that is not regular."""
+    if not getattr(codec, "regular", True):
+        return encode_walk(codec, x, most, overlap)
     if overlap < 0 or most <= 2 * overlap:
         raise ValueError("most must exceed twice the overlap")
     p, step = codec.samples_per_token, most - 2 * overlap
@@ -113,6 +115,44 @@ def encode_piecewise(codec: Codec, x: np.ndarray, most: int = 25_000, overlap: i
     return np.concatenate(out, 1)
 
 
+class Adapter:
+    """A codec out of any model's two functions. encode: samples -> (codebooks, T) whole numbers; decode: such a matrix -> samples.
+
+    regular tells whether n samples always give ceil(n / samples_per_token) tokens; if not, fragments follow one another by the tokens
+    that they really gave. samples_per_token is measured where it is not given.
+    """
+
+    def __init__(self, encode, decode, sample_rate: int, stages: int = 8, samples_per_token: int | None = None, regular: bool = True):
+        self.encode, self.decode, self.sample_rate, self.stages, self.regular = encode, decode, sample_rate, stages, regular
+        self.samples_per_token = samples_per_token or measured_samples_per_token(self, stages)
+
+
+def walk_fragments(codec: Codec, x: np.ndarray, most: int = 25_000, overlap: int = 250, place: tuple[int, bool] = (0, True)):
+    """Fragments one after another, each from where the tokens of those before it really end: yields (tokens kept, place behind them).
+
+    A place is (samples behind, whether nothing was kept yet); the walk goes on from any that it gave, so that it can be taken up elsewhere.
+    """
+    if overlap < 0 or most <= 2 * overlap:
+        raise ValueError("most must exceed twice the overlap")
+    p, (at, first) = codec.samples_per_token, place
+    while True:
+        begin = max(at - overlap * p, 0)
+        end = begin + most * p
+        t = codec.encode(x[begin:end])
+        kept = t[:, 0 if first else overlap : t.shape[1] - (overlap if end < len(x) else 0)]
+        if not kept.shape[1] and end < len(x):
+            raise ValueError("a fragment gives no tokens beyond its overlap")
+        at, first = at + kept.shape[1] * p, False
+        yield kept, (at, first)
+        if end >= len(x):
+            return
+
+
+def encode_walk(codec: Codec, x: np.ndarray, most: int = 25_000, overlap: int = 250) -> np.ndarray:
+    """As encode_piecewise(), for codecs whose number of tokens follows no rule."""
+    return np.concatenate([t for t, _ in walk_fragments(codec, x, most, overlap)], 1)
+
+
 def decode_piecewise(codec: Codec, tokens: np.ndarray, block: int = 10_000, context: int = 50, tail: int = 50) -> np.ndarray:
     tokens, p, carry = np.asarray(tokens), codec.samples_per_token, context + tail
     n, out = tokens.shape[1], []

@@ -10,6 +10,18 @@ def mono(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, lambda a, b: (a + b) / 2)
 
 
+def mixed(channels: Column) -> Column:
+    """The mean over any number of channels of equal length; null without channels."""
+    total = F.aggregate(F.slice(channels, 2, F.greatest(F.size(channels) - 1, F.lit(0))), F.get(channels, F.lit(0)), lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+    return F.transform(total, lambda x: x / F.size(channels))
+
+
+def checked_tokens(tokens: Column, codebooks: int = 8) -> Column:
+    """The token matrix; a row of another number of codebooks, or of codebooks of different lengths, raises."""
+    good = (F.size(tokens) == codebooks) & (F.size(F.array_distinct(F.transform(tokens, lambda t: F.size(t)))) <= 1)
+    return F.when(tokens.isNull() | good, tokens).otherwise(F.raise_error(F.concat(F.lit("not a matrix of so many codebooks: "), F.size(tokens).cast("string"))))
+
+
 def peak(wave: Column) -> Column:
     return F.array_max(F.transform(wave, lambda x: F.abs(x)))
 

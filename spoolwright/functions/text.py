@@ -26,6 +26,20 @@ def parent(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
+def absolute(path: Column, folder: str) -> Column:
+    """The path below a folder if it is relative, without . and .. components; absolute paths and URIs only lose those."""
+    whole = F.when(path.startswith("/") | path.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:/"), path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path))
+    parts = F.filter(F.split(whole, "/"), lambda c: c != ".")
+    # every .. takes the component before it away
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, c: F.when((c == "..") & (F.size(done) > 1), F.slice(done, 1, F.size(done) - 1)).when(c == "..", done).otherwise(F.array_append(done, c)))
+    return F.array_join(kept, "/")
+
+
+def path_order(path: Column) -> Column:
+    """What to sort paths by: their components, so that a folder's files stand together."""
+    return F.split(path, "/")
+
+
 def relative_to(path: Column, folder: str) -> Column:
     """The path below a folder; other paths as they are."""
     root = folder.rstrip("/") + "/"
@@ -70,7 +84,9 @@ def matches_any(path: Column, patterns: list[str]) -> Column:
 
 
 def ceil_div(n: Column, by: int) -> Column:
-    return F.floor((n + (by - 1)) / F.lit(by)).cast("long")
+    """The least whole number not below n / by, in whole numbers throughout; n is not negative."""
+    n = n.cast("bigint")
+    return F.call_function("div", n, F.lit(by).cast("bigint")) + F.when(n % by > 0, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
 def job_number(jobid: Column) -> Column:

@@ -22,11 +22,25 @@ def line_offsets(files: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def lookup(index: DataFrame, files: DataFrame, key: str, text: str) -> DataFrame:
-    """The bytes between the offsets of index, as text."""
-    # the entries of a file meet its text once; files on disk are read by seeking, see sources.lines
-    entries = index.groupBy(key).agg(F.collect_list(F.struct(*[c for c in index.columns if c != key])).alias("entries"))
+def lookup(index: DataFrame, files: DataFrame, key: str, text: str, block: int = 16 << 10) -> DataFrame:
+    """index with found, the bytes between its offsets as text. index: key, line_number, start_offset, end_offset and others.
+
+    Files are cut into blocks of bytes, and an entry meets the blocks that it lies in, so that neither a file nor its entries come together
+    in a row; entries within a block need no more than that.
+    """
     raw = files.select(key, F.encode(text, "UTF-8").alias("raw"))
-    at = lambda e: F.decode(F.substring(F.col("raw"), e["start_offset"].cast("int") + 1, (e["end_offset"] - e["start_offset"]).cast("int")), "UTF-8")
-    both = entries.join(raw, key).select(key, F.explode(F.transform("entries", lambda e: F.struct(e.alias("e"), at(e).alias("found")))).alias("x"))
-    return both.select(key, "x.e.*", "x.found")
+    last = lambda n: F.call_function("div", F.greatest(n - 1, F.lit(0)).cast("bigint"), F.lit(block).cast("bigint"))
+    blocks = raw.select(key, "raw", F.explode(F.sequence(F.lit(0).cast("bigint"), last(F.octet_length("raw")))).alias("block"))
+    blocks = blocks.select(key, "block", F.substring("raw", (F.col("block") * block + 1).cast("int"), F.lit(block)).alias("bytes"))
+    first = F.call_function("div", F.col("start_offset"), F.lit(block).cast("bigint"))
+    asked = index.withColumn("from_block", first).withColumn("to_block", F.greatest(first, last(F.col("end_offset"))))
+    met = asked.withColumn("block", F.explode(F.sequence("from_block", "to_block"))).join(blocks, [key, "block"])
+    at = F.greatest(F.col("start_offset") - F.col("block") * block, F.lit(0))
+    piece = F.substring("bytes", (at + 1).cast("int"), (F.least(F.col("end_offset") - F.col("block") * block, F.lit(block)) - at).cast("int"))
+    met = met.withColumn("piece", piece)
+    kept = [c for c in index.columns if c != key]
+    within = met.where("from_block = to_block").select(key, *kept, F.decode("piece", "UTF-8").alias("found"))
+    # pieces of one entry: as many as the blocks that it spans
+    joined = F.aggregate(F.array_sort(F.collect_list(F.struct("block", "piece"))), F.lit(b""), lambda a, p: F.concat(a, p["piece"]))
+    across = met.where("from_block < to_block").groupBy(key, *kept).agg(F.decode(joined, "UTF-8").alias("found"))
+    return within.unionByName(across)

@@ -33,6 +33,37 @@ def resume(members: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return members.join(done.select(*keys), keys, "left_anti")
 
 
+def gate(manifest: DataFrame, outputs: DataFrame, mode: str = "ask") -> DataFrame:
+    """Archives to work on, given the outputs that exist by stem. mode: skip leaves out those with a final output, valid or not; force takes
+    all; ask raises if there is any."""
+    if mode not in ("skip", "force", "ask"):
+        raise ValueError(f"no mode: {mode}")
+    if mode == "force":
+        return manifest
+    final = outputs.where("kind = 'final'").select(F.col("stem").alias("tar_stem"))
+    if mode == "ask":
+        there = manifest.join(final, "tar_stem", "left_semi").limit(3).collect()
+        if there:
+            raise FileExistsError(f"outputs exist, as of {[r.tar_path for r in there]}: skip or force")
+    return manifest.join(final, "tar_stem", "left_anti")
+
+
+def write_progress(status: DataFrame, folder: str, completed: bool = False, invalid: bool = True) -> dict[str, int]:
+    """Lists of archives, each a text file in manifest order: remaining.txt always, completed.txt if asked, invalid.txt if there are any.
+
+    Returns the rows of each list. One job writes them all; lists of an earlier time are replaced in one step each. status: as of tar_status().
+    """
+    from ..sources.ordered import put_in_place, stage_files
+
+    lists = {"remaining": F.col("status") != "complete"} | ({"completed": F.col("status") == "complete"} if completed else {}) | ({"invalid": F.col("status") == "invalid"} if invalid else {})
+    names = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in lists.items()]), lambda n: n.isNotNull())
+    rows = status.select("pos", F.col("tar_path").alias("line"), F.explode(names).alias("list"))
+    made = stage_files(rows.select(F.concat(F.lit(folder.rstrip("/") + "/"), "list", F.lit(".txt")).alias("path"), "line", "pos"), "pos")
+    put_in_place(made)
+    sizes = {r.path.rpartition("/")[2].removesuffix(".txt"): r.n for r in made.collect()}  # three rows at most
+    return {n: sizes.get(n, 0) for n in lists}
+
+
 def journal_counts(lines: DataFrame, key: str, line: str) -> DataFrame:
     """Lines that are not blank in each journal."""
     from ..functions.text import is_blank
@@ -73,6 +104,16 @@ def partial_submissions(manifest: DataFrame, submitted: DataFrame, outputs: Data
     return last.join(part, "tar_stem", "left_semi").join(submitted, "tar_path", "left_semi").select("tar_path")
 
 
+def output_validity(outputs: DataFrame, first: DataFrame, key: str = "stem") -> DataFrame:
+    """outputs with valid: it has bytes, and its first line is a JSON object. first: key and valid, see first_line_valid(); empty files have no row there."""
+    return outputs.join(first.select(key, F.col("valid").alias("first_valid")), key, "left").withColumn("valid", (F.col("size") > 0) & F.coalesce("first_valid", F.lit(False))).drop("first_valid")
+
+
+def index_totals(entries: DataFrame, key: str) -> DataFrame:
+    """Entries of each file, and of all files in a row without a key."""
+    return entries.rollup(key).agg(F.count("*").alias("entries"), F.grouping(key).cast("int").alias("is_total"))
+
+
 def first_line_valid(lines: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """Whether the first line of each key is a JSON object; aggregated without sorting."""
     first = lines.groupBy(key).agg(F.min_by(value, order).alias("first"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.progress import failed_submissions, partial_submissions, pending_batch
 from ..sources.files import _store
+from ..sources.scratch import stored
 
 STATE = "tar_path string"
 
@@ -24,10 +25,28 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_state(submitted: DataFrame, path: str) -> None:
-    """Replace the state: one sorted list. It holds a path for each archive, as the manifest does."""
-    rows = submitted.agg(F.array_sort(F.collect_set("tar_path")).alias("submitted"))
-    kept = submitted.sparkSession.createDataFrame(rows.collect(), "submitted array<string>")  # read before it is overwritten
-    kept.coalesce(1).write.mode("overwrite").json(path)
+    """Replace the state by other paths, a list of one for each; written by the executors, by way of a stored table, as what is replaced is read."""
+    kept = stored(submitted.select("tar_path").distinct(), "state")
+    kept.select(F.array("tar_path").alias("submitted")).write.mode("overwrite").json(path)
+
+
+def add_to_state(submitted: DataFrame, path: str) -> None:
+    """Append paths to the state; what is there is not read."""
+    submitted.select(F.array("tar_path").alias("submitted")).write.mode("append").json(path)
+
+
+def repair(manifest: DataFrame, outputs: DataFrame, state: str, partial: bool = False, confirm: bool = False, dry_run: bool = False) -> list[str]:
+    """Take failed submissions (or those with a journal only) out of the state, so that they are submitted again; returns their paths.
+
+    Changes nothing without confirm. A dry run of a repair is refused, as of everything that changes the state on confirmation.
+    """
+    if dry_run and confirm:
+        raise ValueError("a repair can be confirmed or tried, not both")
+    again, left = repaired(manifest, read_state(manifest.sparkSession, state), outputs, partial)
+    paths = sorted(r.tar_path for r in again.collect())
+    if confirm and paths:
+        write_state(left, state)
+    return paths
 
 
 def without(submitted: DataFrame, gone: DataFrame) -> DataFrame:
@@ -59,7 +78,7 @@ def step(manifest: DataFrame, outputs: DataFrame, state: str, submit: Callable[[
     paths = [r.tar_path for r in batch.orderBy("pos").collect()]  # at most most_jobs * per_task rows
     if paths and not dry_run:
         submit(paths)
-        write_state(submitted.union(spark.createDataFrame([(p,) for p in paths], STATE)), state)
+        add_to_state(spark.createDataFrame([(p,) for p in paths], STATE), state)
     return paths
 
 

@@ -102,12 +102,25 @@ class JournalWriter(DataSourceArrowWriter):
         """Segments stay: their lines are finished work, and the next run reads them."""
 
 
-def append(members: DataFrame, folder: str, run: str, work: Callable[[], Callable[[dict], dict]], segment_rows: int = 256) -> None:
+def append(members: DataFrame, folder: str, run: str, work: Callable[[], Callable[[dict], dict]], segment_rows: int = 256, profile=None) -> None:
     """Work on members (tar_path, member_index, audio_file, offset, size) and append a record of each to the journal in a folder.
 
     work makes, once a task, the function from a member to its record. A line is flushed as soon as its record is there; where a store
-    shows files only when they are closed, segment_rows bounds what a kill can lose.
+    shows files only when they are closed, segment_rows bounds what a kill can lose. Writers take no resource profile, so with one the
+    same writer runs within mapInArrow, and its messages, one a task, are committed here.
     """
+    members = members.select("tar_path", "member_index", "audio_file", "offset", "size")
+    if profile is not None:
+        writer = JournalWriter(folder, run, segment_rows, work)
+
+        def run_task(batches):
+            import pyarrow as pa
+
+            done = writer.write(batches)
+            yield pa.RecordBatch.from_pydict({"files": pa.array([done.files], pa.list_(pa.string())), "rows": [done.rows]})
+
+        writer.commit([Segments(r.files, r["rows"]) for r in members.mapInArrow(run_task, "files array<string>, rows bigint", profile=profile).collect()])
+        return
 
     class Journal(DataSource):
         @classmethod
@@ -118,7 +131,7 @@ def append(members: DataFrame, folder: str, run: str, work: Callable[[], Callabl
             return JournalWriter(folder, run, segment_rows, work)
 
     members.sparkSession.dataSource.register(Journal)
-    members.select("tar_path", "member_index", "audio_file", "offset", "size").write.format("journal").mode("append").save()
+    members.write.format("journal").mode("append").save()
 
 
 def log_prefix(spark: SparkSession, paths: list[str] | DataFrame, schema: T.StructType = JOURNAL, range_bytes: int = 64 << 20, broadcast_rows: int = 100_000) -> tuple[DataFrame, DataFrame]:

@@ -127,8 +127,8 @@ def read_lines(ranges: DataFrame, batch_bytes: int = 4 << 20) -> DataFrame:
     return ranges.select("path", "start", "end", "ahead").mapInArrow(run, "path string, line_number bigint, start_offset bigint, end_offset bigint, line string")
 
 
-def numbered_ranges(paths: DataFrame, range_bytes: int) -> DataFrame:
-    """The byte ranges of files with ahead, the number of lines before each: lines are counted where they lie, and counts added up."""
+def _counted(ranges: DataFrame) -> DataFrame:
+    """Byte ranges with n, the number of lines that start in each."""
 
     def count(batches):
         for batch in batches:
@@ -138,12 +138,37 @@ def numbered_ranges(paths: DataFrame, range_bytes: int) -> DataFrame:
                     n.append(sum(1 for _ in lines_between(raw, r["start"], r["end"])))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], [*batch.schema.names, "n"])
 
-    counted = _ranges(paths, range_bytes).mapInArrow(count, "path string, range_no bigint, start bigint, end bigint, n bigint")
+    return ranges.mapInArrow(count, "path string, range_no bigint, start bigint, end bigint, n bigint")
+
+
+def numbered_ranges(paths: DataFrame, range_bytes: int) -> DataFrame:
+    """The byte ranges of files with ahead, the number of lines before each: lines are counted where they lie, and counts added up."""
+    counted = _counted(_ranges(paths, range_bytes))
     before = Window.partitionBy("path").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
     out = stored(counted.select("*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead")), "line_ranges")  # one row a range
     return out.where("n > 0").repartition(int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "range_no")
 
 
+def count_lines(paths: DataFrame, range_bytes: int = 64 << 20) -> DataFrame:
+    """path, breaks (bytes of \\n, as line counters tell) and lines (as they are numbered here; a last one without a break counts) of files."""
+
+    def count(batches):
+        for batch in batches:
+            breaks = []
+            for r in batch.to_pylist():
+                with open_stream(r["path"]) as raw:
+                    raw.seek(r["start"])
+                    n, left = 0, r["end"] - r["start"]
+                    while left:
+                        data = raw.read(min(left, 8 << 20))
+                        n, left = n + data.count(b"\n"), left - len(data)
+                breaks.append(n)
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("n"), pa.array(breaks, pa.int64())], ["path", "n", "breaks"])
+
+    ranges = _counted(_ranges(paths, range_bytes)).mapInArrow(count, "path string, n bigint, breaks bigint")
+    return ranges.groupBy("path").agg(F.sum("breaks").alias("breaks"), F.sum("n").alias("lines"))
+
+
 def index_lines(spark: SparkSession, paths: list[str] | DataFrame, json_only: bool = False, range_bytes: int = 64 << 20) -> DataFrame:
     """path, line_number (from 1, every line counted), start_offset, end_offset, line; blank lines, and bad JSON if asked, are left out.
 

@@ -23,12 +23,13 @@ def read_results(spark: SparkSession, paths, strict: bool = False) -> DataFrame:
     return parsed.where(F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()).select("r.*").drop(CORRUPT)
 
 
-def write_results(results: DataFrame, path: str) -> None:
-    """One folder an archive, replaced as a whole; folders of other archives stay."""
+def write_results(results: DataFrame, path: str, order: tuple[str, ...] = ("audio_file",)) -> None:
+    """One folder an archive, replaced as a whole; folders of other archives stay. The records of a large archive are written by many tasks,
+    as files whose names ascend in the given order."""
     from ..functions.text import stem
 
     out = results.withColumn("tar_stem", stem(F.col("tar_file")))
-    out.repartition("tar_stem").write.option("partitionOverwriteMode", "dynamic").partitionBy("tar_stem").mode("overwrite").json(path)
+    out.repartitionByRange("tar_stem", *order).sortWithinPartitions("tar_stem", *order).write.option("partitionOverwriteMode", "dynamic").partitionBy("tar_stem").mode("overwrite").json(path)
 
 
 def list_outputs(spark: SparkSession, folder: str) -> DataFrame:
