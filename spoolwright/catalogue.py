@@ -300,7 +300,17 @@ def trim_silence(spark, sf_dir):
     return _t(spark, sf_dir, "embeddings").select("vec_id", signal.trim_silence(w).alias("wave"))
 
 
-@query()
+def _encode_sql() -> str:
+    """The built-in codec on clips of 64 samples, 4 a token, stage by stage."""
+    steps = "c0 AS (SELECT vec_id, [least(greatest((embedding[4 * i + 1]::DOUBLE + embedding[4 * i + 2]::DOUBLE + embedding[4 * i + 3]::DOUBLE + embedding[4 * i + 4]::DOUBLE) / 4, -1), 1) FOR i IN range(16)] AS r0 FROM embeddings)"
+    for k in range(8):
+        scale = f"(1::DOUBLE / {16**k}::DOUBLE)"
+        steps += f""", q{k} AS (SELECT *, [least(greatest(floor((r + {scale}) / (2 * {scale}) * 16), 0), 15) FOR r IN r{k}] AS t{k} FROM c{k}),
+c{k + 1} AS (SELECT *, [r{k}[i] - ((t{k}[i] + 0.5::DOUBLE) / 16 * 2 - 1) * {scale} FOR i IN range(1, 17)] AS r{k + 1} FROM q{k})"""
+    return f"WITH {steps} SELECT vec_id, [{', '.join(f't{k}::INTEGER[]' for k in range(8))}] AS tokens FROM c8"
+
+
+@query(_encode_sql())
 def codec_encode(spark, sf_dir):
     """Embeddings as clips of 64 samples, encoded by the built-in codec in Arrow batches."""
 
@@ -707,3 +717,10 @@ def irregular_codec(spark, sf_dir):
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array([t.shape[1] for t, _ in pairs], pa.int64()), pa.array([bool((t == w).all()) for t, w in pairs])], ["vec_id", "n_tokens", "same"])
 
     return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, n_tokens long, same boolean")
+
+
+@query("SELECT p_partkey AS partkey, printf('%.1f', p_retailprice::DOUBLE / 16) AS one, printf('%.2f', p_retailprice::DOUBLE / 16) AS two FROM part")
+def fixed_points(spark, sf_dir):
+    """Numbers, many of them ties, with so many decimals as text."""
+    x = F.col("p_retailprice").cast("double") / 16
+    return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"), text.fixed(x, 1).alias("one"), text.fixed(x, 2).alias("two"))

@@ -115,6 +115,43 @@ def encode_piecewise(codec: Codec, x: np.ndarray, most: int = 25_000, overlap: i
     return np.concatenate(out, 1)
 
 
+def save_codec(codec, path: str) -> None:
+    """What a built-in codec is made of, as JSON, in any store."""
+    import json
+
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    with store.open_output_stream(inner, compression=None) as f:
+        f.write(json.dumps({"kind": type(codec).__name__, "sample_rate": codec.sample_rate, "samples_per_token": codec.samples_per_token}).encode())
+
+
+def codec_at(path: str, kinds: dict | None = None):
+    """A maker of the codec that a file describes, to be handed to encode and decode: each worker reads the file once, when it needs it.
+
+    kinds: makers by kind, of sample_rate, samples_per_token and what else the file has; the built-in one if none are given.
+    """
+
+    def make():
+        import json
+
+        from .sources.tar import open_stream
+
+        if path not in _loaded:
+            with open_stream(path) as f:
+                said = json.loads(f.read())
+            kind = said.pop("kind", None)
+            if kind not in (known := kinds or {"ResidualCodec": ResidualCodec}):
+                raise ValueError(f"{path}: no codec of kind {kind}")
+            _loaded[path] = known[kind](**said)
+        return _loaded[path]
+
+    return make
+
+
+_loaded: dict[str, Codec] = {}
+
+
 class Adapter:
     """A codec out of any model's two functions. encode: samples -> (codebooks, T) whole numbers; decode: such a matrix -> samples.
 

@@ -94,8 +94,17 @@ def job_number(jobid: Column) -> Column:
 
 
 def fixed(x: Column, digits: int) -> Column:
-    """A number with so many decimals, as text; for reports only, as halves are rounded up."""
-    return F.format_string(f"%.{digits}f", x.cast("double"))
+    """A number with so many decimals, as text: the double's exact value is rounded, and a tie goes to the even digit, as in most languages."""
+    return F.call_function("format_number", x.cast("double"), F.lit("0." + "0" * digits if digits else "0"))
+
+
+def stamped(prefix: str, suffix: str, at: Column | None = None) -> Column:
+    """A hidden name with a time to the microsecond, now if none is given: such names sort as they were made."""
+    return F.concat(F.lit(f".{prefix}_"), F.date_format(F.current_timestamp() if at is None else at, "yyyyMMdd_HHmmss_SSSSSS"), F.lit(suffix))
+
+
+def age_hours(at: Column, now: Column | None = None) -> Column:
+    return ((F.current_timestamp() if now is None else now).cast("timestamp").cast("double") - at.cast("timestamp").cast("double")) / 3600
 
 
 def task_count(jobid: Column) -> Column:

@@ -82,6 +82,28 @@ def step(manifest: DataFrame, outputs: DataFrame, state: str, submit: Callable[[
     return paths
 
 
+def watch(manifest: DataFrame, outputs: Callable[[], DataFrame], queued: Callable[[], int], state: str, submit: Callable[[list[str]], None], most_jobs: int = 62, per_task: int = 4, interval: float = 60.0, once: bool = False, dry_run: bool = False, rounds: int | None = None, sleep=time.sleep) -> list[list[str]]:
+    """Round after round: see outputs and the queue, submit what fits, remember it, wait. Ends when nothing is left to submit; returns what each round submitted.
+
+    A queue that cannot be asked (queued() raises or is negative) costs the round, and the next one tries again. once: one round only, whatever
+    comes of it. The caller's functions tell of the world outside; what is to be done is the same query each time.
+    """
+    told: list[list[str]] = []
+    while rounds is None or len(told) < rounds:
+        try:
+            jobs = queued()
+        except OSError:
+            jobs = -1
+        batch = step(manifest, outputs(), state, submit, most_jobs, jobs, per_task, dry_run) if jobs >= 0 else []
+        told.append(batch)
+        if once or dry_run:
+            break
+        if jobs >= 0 and not batch and jobs < most_jobs:  # room, and nothing to fill it
+            break
+        sleep(interval)
+    return told
+
+
 def until_done(remaining: Callable[[], int], run: Callable[[], None], most: int = 100, interval: float = 0.0) -> int:
     """Run until nothing remains, at most so many times; returns the number of runs. Raises TimeoutError if something still remains."""
     for done in range(most):

@@ -203,3 +203,47 @@ def test_small_functions(spark):
     for bad in ([[1, 2]], [[1], [2, 3]]):
         with pytest.raises(Exception, match="codebooks"):
             spark.createDataFrame([(bad,)], "t array<array<int>>").select(signal.checked_tokens(F.col("t"), 2)).collect()
+
+
+def test_decimals_are_those_of_python(spark):
+    g = random.Random(2)
+    xs = [0.25, 0.15, 2.5, 0.125, 1e-9, -0.04, 1234567.85, 99.95, 0.05, 1 / 3] + [g.randint(-(10**6), 10**6) / 2 ** g.randint(0, 8) for _ in range(300)] + [g.uniform(-100, 100) for _ in range(200)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    for d in (0, 1, 2, 3):
+        assert {r[0]: r[1] for r in df.select("i", text.fixed(F.col("x"), d)).collect()} == {i: f"{x:.{d}f}" for i, x in enumerate(xs)}
+
+
+def test_names_with_times(spark):
+    at = F.to_timestamp(F.lit("2024-02-03 04:05:06.000789"))
+    assert spark.range(1).select(text.stamped("list", ".txt", at)).first()[0] == ".list_20240203_040506_000789.txt"
+    assert spark.range(1).select(text.age_hours(at, F.to_timestamp(F.lit("2024-02-03 06:35:06.000789")))).first()[0] == 2.5
+
+
+def test_watching_a_queue(spark, tmp_path):
+    m = spark.createDataFrame([(i, f"/t/{i}.tar", str(i)) for i in range(10)], "pos long, tar_path string, tar_stem string")
+    done, waits, queue, state = [], [], iter([1, OSError("down"), -1, 0, 2, 0, 0]), str(tmp_path / "s")
+    outputs = lambda: spark.createDataFrame([(s, "final", 1) for s in done], "stem string, kind string, size long")
+
+    def queued():
+        n = next(queue)
+        if isinstance(n, OSError):
+            raise n
+        return n
+
+    told = submission.watch(m, outputs, queued, state, lambda p: done.extend(x[3:-4] for x in p), most_jobs=2, per_task=3, sleep=waits.append)
+    assert [len(t) for t in told] == [3, 0, 0, 6, 0, 1, 0] and waits == [60.0] * 6 and sorted(done, key=int) == [str(i) for i in range(10)]
+    fresh = str(tmp_path / "t")
+    assert [len(t) for t in submission.watch(m, lambda: outputs().limit(0), lambda: 0, fresh, done.append, most_jobs=1, dry_run=True)] == [4] and submission.read_state(spark, fresh).count() == 0
+    assert len(submission.watch(m, lambda: outputs().limit(0), lambda: 0, fresh, lambda p: None, most_jobs=1, once=True)) == 1
+
+
+def test_codecs_from_files(spark, tmp_path):
+    from spoolwright.codec import codec_at, save_codec
+
+    path = str(tmp_path / "codec.json")
+    save_codec(ResidualCodec(24_000, 480), path)
+    make_tar(tmp_path / "1.tar", [("a.wav", tone(960))])
+    assert audio.tokenize(spark, [str(tmp_path / "1.tar")], str(tmp_path / "out"), codec=codec_at(path)).first().token_shape == [8, 2]
+    (tmp_path / "bad.json").write_text('{"kind": "Other"}')
+    with pytest.raises(ValueError):
+        codec_at(str(tmp_path / "bad.json"))()
