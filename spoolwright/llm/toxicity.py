@@ -54,6 +54,13 @@ def halves(n: int) -> np.ndarray:
     return np.arange(k) * n // k
 
 
+def _move(x: np.ndarray, dx: np.ndarray, m: list[np.ndarray], step: int, rate: float) -> None:
+    """A step of Adam, in place."""
+    m[0] += 0.1 * (dx - m[0])
+    m[1] += 0.01 * (dx * dx - m[1])
+    x -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
+
+
 def train(texts: list[str], labels: np.ndarray, steps: int = 80, rate: float = 0.3, decay: float = 1e-6, warm: int = 20, seed: int = 7) -> tuple[np.ndarray, float]:
     """Scores of the n-gram buckets and the bias: embeddings and softmax learned together by Adam, the loss taken at each text's top window."""
     g = np.random.default_rng(seed)
@@ -122,11 +129,12 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 80, rate: float = 0
             d_gram += np.bincount(b[moved], d_word[at : at + n][w[moved]], len(seen))
         d_gram *= scale
         d_v = emb.T @ d_gram
-        grads = (np.outer(d_gram, v) + decay * emb, np.stack([-d_v, d_v]), np.array([-d_logit.sum(), d_logit.sum()]))
-        for x, dx, m in zip((emb, soft, bias), grads, moments, strict=True):
-            m[0] += 0.1 * (dx - m[0])
-            m[1] += 0.01 * (dx * dx - m[1])
-            x -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
+        # n-grams in pieces, as what a step holds beside its parameters would otherwise be several times their size
+        pieces = [slice(at, at + (1 << 16)) for at in range(0, len(emb), 1 << 16)]
+        for s in pieces:
+            _move(emb[s], np.outer(d_gram[s], v) + decay * emb[s], [m[s] for m in moments[0]], step, rate)
+        _move(soft, np.stack([-d_v, d_v]), moments[1], step, rate)
+        _move(bias, np.array([-d_logit.sum(), d_logit.sum()]), moments[2], step, rate)
     scores[seen] = (emb @ (soft[1] - soft[0])) * scale
     return scores, float(bias[1] - bias[0])
 
