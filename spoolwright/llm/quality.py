@@ -1,11 +1,13 @@
 """Quality by attention-based multiple-instance learning.
 
-A document is a bag of passages. Each passage is encoded by a small network from its measures; gated attention (Ilse et al. 2018) weighs
+A document is a bag of passages. Each passage is encoded by a small network from its words, hashed, and its measures; gated attention (Ilse et al. 2018) weighs
 the passages, and the weighted representation is scored. Weights are learned from document labels alone, in numpy.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,35 +19,56 @@ from .toxicity import held_out, labelled_sample
 PASSAGE_WORDS, HIDDEN, GATES = 128, 16, 8
 #: Most labelled documents of class 0 and of class 1 that training takes.
 MOST_ROWS = (2000, 2000)
-#: Byte classes of a passage: capitals, small letters, digits, line breaks, other space, stops and commas, bars and slashes, other ASCII, non-ASCII.
+#: Byte classes of a passage: capitals, small letters, digits, line breaks, other space, stops and commas, bars and slashes, marks, non-ASCII, other ASCII.
 _CLASS = np.zeros(256, np.uint8)
 for _n, _bytes in enumerate((range(65, 91), range(97, 123), range(48, 58), b"\r\n", b" \t\v\f", b".,;:'", b"|/\\_-", b"!?")):
     _CLASS[list(_bytes)] = _n + 1
 _CLASS[128:] = 9
 N_CLASSES = 10
-FEATURES = N_CLASSES + 6
+#: Words are hashed to so many buckets; a passage's share of a bucket enters by its root.
+BUCKETS = 128
+MEASURES = N_CLASSES + 5
+FEATURES = MEASURES + BUCKETS
+#: Buckets of words that a worker has met, so many at most.
+_known: dict[bytes, int] = {}
+MOST_KNOWN = 400_000
+
+
+def buckets(words: list[bytes]) -> np.ndarray:
+    """The bucket of every word, ASCII capitals lowered."""
+    if len(_known) > MOST_KNOWN:
+        _known.clear()
+    for w in set(words).difference(_known):
+        _known[w] = zlib.crc32(w.lower()) % BUCKETS
+    return np.fromiter(map(_known.__getitem__, words), np.int64, len(words))
 
 
 def passages(text: str | None) -> np.ndarray:
-    """Measures of every passage of 128 words, over the whole text: shares of byte classes, words' length, repetition, variety. A text without words is one passage of zeros."""
-    words = (text or "").encode().split()
+    """Every passage of 128 words, over the whole text, white space behind them included: shares of byte classes, words' length, repetition, variety,
+    stops at words' ends, long words, and the words themselves by bucket. A text without words is one passage of zeros."""
+    raw = (text or "").encode()
+    words = raw.split()
     if not words:
         return np.zeros((1, FEATURES))
+    kinds = _CLASS[np.frombuffer(raw, np.uint8)]
+    space = (kinds == 4) | (kinds == 5)
+    begins = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))[::PASSAGE_WORDS]
+    begins[0] = 0  # white space before the first word is its passage's
     starts = np.arange(0, len(words), PASSAGE_WORDS)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     n = np.diff(np.append(starts, len(words)))
-    size = np.add.reduceat(lengths, starts)
-    data = np.frombuffer(b"".join(words), np.uint8)
+    size = np.diff(np.append(begins, len(raw)))
     owner = np.repeat(np.arange(len(starts)), size)
-    counts = np.bincount(owner * N_CLASSES + _CLASS[data], minlength=len(starts) * N_CLASSES).reshape(-1, N_CLASSES)
+    counts = np.bincount(owner * N_CLASSES + kinds, minlength=len(starts) * N_CLASSES).reshape(-1, N_CLASSES)
     again = np.fromiter((a == b for a, b in zip(words, words[1:], strict=False)), np.int64, len(words) - 1)
     again = np.add.reduceat(np.append(again, 0), starts)
-    last = np.frombuffer(b"".join(w[-1:] for w in words), np.uint8)
-    ends = np.add.reduceat((_CLASS[last] == 0).astype(np.int64), starts)
+    last = _CLASS[np.frombuffer(b"".join(w[-1:] for w in words), np.uint8)]
+    ends = np.add.reduceat(((last == 6) | (last == 8)).astype(np.int64), starts)
     variety = np.array([len(set(words[s : s + PASSAGE_WORDS])) for s in starts])
     long_words = np.add.reduceat((lengths > 20).astype(np.int64), starts)
-    lines = np.zeros(len(starts)) + (text.count("\n") / len(words))
-    return np.column_stack([counts / size[:, None], size / n / 10, again / n, variety / n, ends / n, long_words / n, lines])
+    of = np.repeat(np.arange(len(starts)), n)
+    lexical = np.sqrt(np.bincount(of * BUCKETS + buckets(words), minlength=len(starts) * BUCKETS).reshape(-1, BUCKETS) / n[:, None])
+    return np.column_stack([counts / size[:, None], np.add.reduceat(lengths, starts) / n / 10, again / n, variety / n, ends / n, long_words / n, lexical])
 
 
 def _softmax(x: np.ndarray, first: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -77,7 +100,7 @@ class Attention:
 def train(bags: list[np.ndarray], labels, steps: int = 400, rate: float = 0.02, seed: int = 11) -> Attention:
     g = np.random.default_rng(seed)
     y = np.asarray(labels, float)
-    p = {"mean": np.zeros(FEATURES), "scale": np.ones(FEATURES), "A": g.normal(0, 0.3, (FEATURES, HIDDEN)), "a": np.zeros(HIDDEN), "V": g.normal(0, 0.3, (HIDDEN, GATES)), "U": g.normal(0, 0.3, (HIDDEN, GATES)), "w": g.normal(0, 0.3, GATES), "c": np.zeros(HIDDEN), "b": np.zeros(1)}
+    p = {"mean": np.zeros(FEATURES), "scale": np.ones(FEATURES), "A": g.normal(0, 1 / np.sqrt(FEATURES), (FEATURES, HIDDEN)), "a": np.zeros(HIDDEN), "V": g.normal(0, 0.3, (HIDDEN, GATES)), "U": g.normal(0, 0.3, (HIDDEN, GATES)), "w": g.normal(0, 0.3, GATES), "c": np.zeros(HIDDEN), "b": np.zeros(1)}
     if not len(y) or y.min() == y.max():
         p["b"][0] = 0.0 if not len(y) else 6.0 * (2 * y[0] - 1)
         return Attention(p)
@@ -112,7 +135,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MO
     """One row per row of docs: doc_id, held_out, score, predicted (score >= threshold).
 
     Only rows that are not held out teach, at most `most` of class 0 and of class 1. Null texts and texts without words are one passage of zeros. A
-    null doc_id is not held out and has no label. Without labels, or with one class only, all scores are the same.
+    null doc_id is not held out and has no label. Without labels, or with one class only, all scores are the same. Repeated rows get equal
+    scores; an empty table gives no rows. A labelled row whose text would exceed the bytes that its class may have is passed over in training.
     """
     rows = labelled_sample(docs, labels, "quality", most)
     model = docs.sparkSession.sparkContext.broadcast(train([passages(r.text) for r in rows], [r.y for r in rows]).p)

@@ -495,6 +495,30 @@ def test_quality(spark, edge, nothing):
     assert quality.score_quality(edge, labels.limit(0)).select("score").distinct().count() == 1
 
 
+def test_no_measure_of_passages_is_dead(spark):
+    x = np.concatenate([quality.passages(r.text) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").limit(3000).collect()])
+    assert (x.std(0) > 0).all() and np.isfinite(x).all()
+    assert np.allclose(x[:, : quality.N_CLASSES].sum(1), 1) and np.allclose((x[:, quality.MEASURES :] ** 2).sum(1), 1)
+    assert (quality.passages(" \n") == 0).all() and quality.passages("a " * 300).shape == (3, quality.FEATURES)
+
+
+def test_attention_against_plain_python():
+    import math
+
+    g = random.Random(9)
+    rows = lambda n, m: [[g.uniform(-0.5, 0.5) for _ in range(m)] for _ in range(n)]
+    f, h, k = quality.FEATURES, 3, 2
+    p = {"mean": rows(1, f)[0], "scale": [1 + abs(x) for x in rows(1, f)[0]], "A": rows(f, h), "a": rows(1, h)[0], "V": rows(h, k), "U": rows(h, k), "w": rows(1, k)[0], "c": rows(1, h)[0], "b": [0.3]}
+    times = lambda x, m: [sum(a * b for a, b in zip(x, c, strict=True)) for c in zip(*m, strict=True)]
+    bags = [quality.passages(t) for t in ("one two three. " * 100, "", "A b\n" * 300)]
+    for bag, score in zip(bags, quality.Attention({n: np.array(v) for n, v in p.items()}).scores(bags), strict=True):
+        hidden = [[math.tanh(a + b) for a, b in zip(times([min(5, max(-5, (x - m) / s)) for x, m, s in zip(row, p["mean"], p["scale"], strict=True)], p["A"]), p["a"], strict=True)] for row in bag.tolist()]
+        gate = [sum(w * math.tanh(t) / (1 + math.exp(-u)) for w, t, u in zip(p["w"], times(x, p["V"]), times(x, p["U"]), strict=True)) for x in hidden]
+        total = sum(map(math.exp, gate))
+        mixed = [sum(math.exp(e) / total * x[i] for e, x in zip(gate, hidden, strict=True)) for i in range(h)]
+        assert abs(score - 1 / (1 + math.exp(-sum(a * b for a, b in zip(mixed, p["c"], strict=True)) - 0.3))) < 1e-12
+
+
 def tokenizer(name):
     return Tokenizer.from_file(queries.tokenizer_file(name))
 
