@@ -8,6 +8,7 @@ from typing import Protocol
 
 import numpy as np
 
+from .headers import Counted, metadata
 from .resample import resample
 
 
@@ -62,6 +63,36 @@ class ResidualCodec:
         return np.repeat(values, self.samples_per_token)
 
 
+def cleaned(x: np.ndarray, rate: int, sample_rate: int | None = None, trim: bool = True) -> np.ndarray:
+    """Decoded samples, one row a channel or one channel, as a codec takes them: mixed, resampled, divided by their peak if that is above 1, and
+    without zeros at either end."""
+    x = np.asarray(x, float)
+    if x.ndim not in (1, 2):
+        raise ValueError(f"audio has one or two dimensions, not {x.ndim}")
+    x = x.mean(0) if x.ndim == 2 else x
+    if sample_rate and len(x):
+        x = resample(x, rate, sample_rate)
+    if not len(x):
+        raise ValueError("no samples")
+    top = np.abs(x).max()
+    x = x / top if top > 1 else x
+    if trim:
+        at = np.flatnonzero(x)
+        x = x[at[0] : at[-1] + 1] if len(at) else x[:0]
+    return x
+
+
+def read_audio(data: bytes, name: str, sample_rate: int | None = None, decoders: dict | None = None) -> tuple[np.ndarray, dict]:
+    """Cleaned samples and metadata of an audio file. decoders: by suffix, functions from a file's bytes to (samples, rate), samples as of
+    cleaned(); metadata of what they decode come from the file's headers. Other files must be WAV."""
+    for suffix, decode in (decoders or {}).items():
+        if name.lower().endswith(suffix):
+            meta = metadata(Counted(io.BytesIO(data), 0, len(data)), len(data))
+            samples, rate = decode(data)
+            return cleaned(samples, rate, sample_rate), meta
+    return read_wave(data, sample_rate)
+
+
 def read_wave(data: bytes, sample_rate: int | None = None, trim: bool = True) -> tuple[np.ndarray, dict]:
     """Mono samples in [-1, 1] of a PCM WAV file, resampled by a windowed sinc, and what its header says."""
     with wave.open(io.BytesIO(data)) as w:
@@ -76,16 +107,7 @@ def read_wave(data: bytes, sample_rate: int | None = None, trim: bool = True) ->
     else:
         raise ValueError(f"unsupported sample width {width}")
     x = (x - 128) / 128 if width == 1 else x / 2.0 ** (8 * width - 1)
-    x = x.reshape(-1, channels).mean(1)
-    if sample_rate and len(x):
-        x = resample(x, rate, sample_rate)
-    if not len(x):
-        raise ValueError("no samples")
-    top = np.abs(x).max()
-    x = x / top if top > 1 else x
-    if trim:
-        at = np.flatnonzero(x)
-        x = x[at[0] : at[-1] + 1] if len(at) else x[:0]
+    x = cleaned(x.reshape(-1, channels).T, rate, sample_rate, trim)
     meta = {"sample_rate": rate, "num_channels": channels, "duration_seconds_from_header": n / rate, "begin_stream_seconds_from_header": 0.0, "bit_rate": float(rate * channels * width * 8), "codec": f"pcm_{'u' if width == 1 else 's'}{8 * width}", "stream_index": 0, "sample_format": f"{'u' if width == 1 else 's'}{8 * width}"}
     return x, meta
 

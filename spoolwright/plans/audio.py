@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..codec import ResidualCodec, decode_piecewise, encode_piecewise, read_wave, write_wave
+from ..codec import ResidualCodec, decode_piecewise, encode_piecewise, read_audio, write_wave
 from ..functions.text import stem
 from ..operators.progress import resume
 from ..schemas import RESULTS
@@ -20,18 +20,18 @@ from ..sources.tar import read_member
 from ..sources.tar_ranges import split_members
 
 
-def record_of(row: dict, content: bytes, codec, most: int = 25_000, overlap: int = 250) -> dict:
-    """The result record of a member; one that fails gets its error."""
+def record_of(row: dict, content: bytes, codec, most: int = 25_000, overlap: int = 250, decoders: dict | None = None) -> dict:
+    """The result record of a member; one that fails gets its error. decoders: see codec.read_audio()."""
     out = {"tar_file": row["tar_path"], "audio_file": row["audio_file"]}
     try:
-        x, meta = read_wave(content, codec.sample_rate)
+        x, meta = read_audio(content, row["audio_file"], codec.sample_rate, decoders)
         t = encode_piecewise(codec, x, most, overlap)
         return out | {"num_samples": len(x), "sample_rate": codec.sample_rate, "original_metadata": meta, "tokens": t.tolist(), "token_shape": list(t.shape)}
     except Exception as e:  # noqa: BLE001
         return out | {"error": str(e) or type(e).__name__}
 
 
-def encode_members(members: DataFrame, codec=ResidualCodec, most: int = 25_000, overlap: int = 250) -> DataFrame:
+def encode_members(members: DataFrame, codec=ResidualCodec, most: int = 25_000, overlap: int = 250, decoders: dict | None = None, profile=None) -> DataFrame:
     """Result records of members with content. codec: makes the codec, once a task. A member that fails gets a record with its error."""
     schema = to_arrow_schema(RESULTS)
 
@@ -39,12 +39,12 @@ def encode_members(members: DataFrame, codec=ResidualCodec, most: int = 25_000,
         c = codec()
         for batch in batches:
             for r in batch.to_pylist():
-                yield pa.RecordBatch.from_pylist([record_of(r, r["content"], c, most, overlap)], schema=schema)
+                yield pa.RecordBatch.from_pylist([record_of(r, r["content"], c, most, overlap, decoders)], schema=schema)
 
-    return members.select("tar_path", "audio_file", "content").mapInArrow(run, RESULTS)
+    return members.select("tar_path", "audio_file", "content").mapInArrow(run, RESULTS, profile=profile)
 
 
-def encoder(codec=ResidualCodec, most: int = 25_000, overlap: int = 250):
+def encoder(codec=ResidualCodec, most: int = 25_000, overlap: int = 250, decoders: dict | None = None):
     """What the journal calls once a task: members are fetched, encoded and told in one place, so payloads stay in their worker."""
 
     def work():
@@ -55,7 +55,7 @@ def encoder(codec=ResidualCodec, most: int = 25_000, overlap: int = 250):
                 content = read_member(row)
             except Exception as e:  # noqa: BLE001
                 return {"tar_file": row["tar_path"], "audio_file": row["audio_file"], "error": str(e) or type(e).__name__}
-            return record_of(row, content, c, most, overlap)
+            return record_of(row, content, c, most, overlap, decoders)
 
         return one
 

@@ -247,3 +247,23 @@ def test_codecs_from_files(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"kind": "Other"}')
     with pytest.raises(ValueError):
         codec_at(str(tmp_path / "bad.json"))()
+
+
+def test_other_formats_by_decoders(spark, tmp_path):
+    from test_signal import mp3
+
+    body = mp3(40, [128])
+    make_tar(tmp_path / "1.tar", [("a.MP3", body), ("b.wav", tone(960)), ("c.mp3", b"junk")])
+
+    def decode(data):
+        n = len(data) * 8 * 441 // 1280
+        return np.stack([np.ones(n), np.full(n, 5.0)]), 44_100
+
+    rows = {r.audio_file: r for r in audio.tokenize(spark, [str(tmp_path / "1.tar")], str(tmp_path / "out"), [".mp3", ".wav"], decoders={".mp3": decode}).collect()}
+    assert rows["a.MP3"].original_metadata.codec == "mp3" and rows["a.MP3"].original_metadata.num_channels == 2 and rows["a.MP3"].error is None
+    assert abs(rows["a.MP3"].num_samples / 24_000 - rows["a.MP3"].original_metadata.duration_seconds_from_header) < 0.01
+    assert rows["b.wav"].num_samples == 960 and rows["c.mp3"].error == "no MPEG audio frame"
+    from spoolwright.codec import cleaned
+
+    with pytest.raises(ValueError):
+        cleaned(np.zeros((2, 2, 2)), 1)
