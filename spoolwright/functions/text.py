@@ -129,6 +129,11 @@ def parse_selection(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def selected_numbers(text: str, below: int) -> list[int]:
+    """The numbers of a selection in order, each once, without those that are not below a bound; for reports, as selected() needs no list."""
+    return sorted({i for low, high in parse_selection(text) for i in range(max(low, 0), min(high, below - 1) + 1)})
+
+
 def selected(index: Column, text: str) -> Column:
     out = F.lit(False)
     for low, high in parse_selection(text):

@@ -16,10 +16,15 @@ from ..schemas import RESULTS
 from ..sources.files import drop_folder, exists
 from ..sources.journal import append, read_journal
 from ..sources.records import read_results, write_results
+from ..sources.scratch import stored
 from ..sources.tar import read_member
 from ..sources.tar_ranges import split_members
 
 
+#: Names of output files are broadcast up to so many; tokens are shuffled beyond.
+BROADCAST_NAMES = 200_000
+
+
 def record_of(row: dict, content: bytes, codec, most: int = 25_000, overlap: int = 250, decoders: dict | None = None) -> dict:
     """The result record of a member; one that fails gets its error. decoders: see codec.read_audio()."""
     out = {"tar_file": row["tar_path"], "audio_file": row["audio_file"]}
@@ -167,8 +172,10 @@ def decode_to_files(results: DataFrame, folder: str, force: bool = False, codec=
     named = _named(results).withColumn("mark", F.struct(F.coalesce("audio_file", F.lit("")), F.xxhash64("tokens", "sample_rate", "error")))
     there = list_files(spark, folder, "*_reconstructed.wav").select(F.element_at(F.split("path", "/"), -1).alias("output_name"))
     writes = named.groupBy("output_name").agg(F.min("mark").alias("writer")).join(there.withColumn("exists", F.lit(True)), "output_name", "left")
+    writes = stored(writes, "writers")  # a row a name
+    hint = F.broadcast if writes.count() <= BROADCAST_NAMES else (lambda df: df)
     skip = F.col("exists").isNotNull() if not force else F.lit(False)
-    todo = named.join(writes, "output_name").withColumn("skip", skip | (F.col("mark") != F.col("writer"))).drop("mark", "writer", "exists")
+    todo = named.join(hint(writes), "output_name").withColumn("skip", skip | (F.col("mark") != F.col("writer"))).drop("mark", "writer", "exists")
 
     def run(batches):
         from pyarrow import fs

@@ -19,7 +19,9 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """df written to a scratch folder and read again: computed once, with its lineage cut and its size known."""
-    path = scratch_path(df.sparkSession, tag)
+    """df written to a scratch folder and read again: computed once, with its lineage cut and its size known. The folder goes when the driver ends."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)

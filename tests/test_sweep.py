@@ -267,3 +267,24 @@ def test_other_formats_by_decoders(spark, tmp_path):
 
     with pytest.raises(ValueError):
         cleaned(np.zeros((2, 2, 2)), 1)
+
+
+def test_selected_numbers_are_sorted_and_in_range():
+    assert text.selected_numbers("7:9,1,3-5,4", 9) == [1, 3, 4, 5, 7, 8] and text.selected_numbers("5-3", 9) == []
+
+
+def test_tokens_stay_in_their_rows_when_few_names_are_written(spark, tmp_path):
+    make_tar(tmp_path / "1.tar", [("a.wav", tone(960)), ("x/a.wav", tone(500)), ("b.wav", tone(960))])
+    results = audio.tokenize(spark, [str(tmp_path / "1.tar")], str(tmp_path / "out"))
+    made = audio.decode_to_files(results, str(tmp_path / "wavs"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert sorted((r.audio_file, r.status) for r in made.collect()) == [("a.wav", "ok"), ("b.wav", "ok"), ("x/a.wav", "skipped")]
+
+
+def test_tables_between_steps_go_with_the_driver(spark):
+    from spoolwright.sources.scratch import stored
+
+    (path,) = {f.rpartition("/")[0] for f in stored(spark.range(3).coalesce(1), "x").inputFiles()}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert folder.getFileSystem(spark._jsc.hadoopConfiguration()).cancelDeleteOnExit(folder)
