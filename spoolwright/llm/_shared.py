@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_owner: list[str] = [""]
+_letting_go: dict[str, Callable[[], None]] = {}
+
+
+def working_for(name: str, let_go: Callable[[], None] | None = None) -> None:
+    """Says in a worker that its task is an operator's. Workers outlive tasks: with another operator than the last one, what others keep is let go,
+    by what they gave as let_go, and memory that is free goes back to the system, so that stages do not add up in one process."""
+    if let_go is not None:
+        _letting_go[name] = let_go
+    if _owner[0] == name:
+        return
+    first, _owner[0] = not _owner[0], name
+    if first:
+        return
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    for other, clear in _letting_go.items():
+        if other != name:
+            clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch, rows: int):
     """An Arrow batch in pieces of at most so many rows, so that what Python unpacks stays small."""
     for at in range(0, batch.num_rows, rows):

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import slices
+from ._shared import slices, working_for
 from .token_tables import ChunkCounter
 
 _counters: dict[str, ChunkCounter] = {}
@@ -28,6 +28,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """
 
     def run(batches):
+        working_for("token_counts", _counters.clear)
         c = counter(path)
         for batch in batches:
             for part in slices(batch, 256):

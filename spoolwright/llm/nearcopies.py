@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import WORD_BYTES, byte_slices, slices, spill, spill_twice, unused
+from ._shared import byte_slices, slices, spill, spill_twice, unused, WORD_BYTES, working_for
 
 WORDS_PER_SHINGLE, THRESHOLD, BANDS, ROWS, DF_BUCKETS, IDF_SPAN = 5, 0.8, 12, 4, 1 << 18, 0.125
 #: In the last pass two members of a bucket are compared if so many of their BANDS * ROWS samples agree: at a similarity of 0.8 fewer agree
@@ -150,6 +150,7 @@ def _document_frequencies(docs: DataFrame) -> np.ndarray:
     """Documents for each bucket of shingles, over the whole corpus; the last entry counts documents."""
 
     def run(batches):
+        working_for("near_duplicates")
         total, n = np.zeros(DF_BUCKETS, np.int64), 0
         for batch in batches:
             for part in byte_slices(batch, "text", 1 << 21):
@@ -229,6 +230,7 @@ class _Corpus:
         self.idf = idf = spark.sparkContext.broadcast(inverse_frequencies(_document_frequencies(self.texts)))  # DF_BUCKETS numbers
 
         def sketch(batches):
+            working_for("near_duplicates")
             for batch in batches:
                 for part in byte_slices(batch, "text", 1 << 21):
                     keys, marks, texts = [], [], part.column("text").to_pylist()
@@ -268,6 +270,7 @@ class _Corpus:
         idf = self.idf
 
         def run(batches):
+            working_for("near_duplicates")
             of = Compared(idf.value)
             for batch in batches:
                 for part in slices(batch, 256):

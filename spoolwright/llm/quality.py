@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import slices
+from ._shared import slices, working_for
 from .toxicity import held_out, labelled_sample
 
 PASSAGE_WORDS, HIDDEN, GATES = 128, 16, 8
@@ -142,6 +142,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MO
     model = docs.sparkSession.sparkContext.broadcast(train([passages(r.text) for r in rows], [r.y for r in rows]).p)
 
     def run(batches):
+        working_for("quality", _known.clear)
         m = Attention(model.value)
         for batch in batches:
             for part in slices(batch, 512):

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import byte_slices, fresh_path, partitions, spill
+from ._shared import byte_slices, fresh_path, partitions, spill, working_for
 from .token_tables import ByteEncoder
 from .warc import open_folder
 
@@ -60,6 +60,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
     bounds = part_bounds(keyed.select(*by, "text_hash"), partitions(spark))
 
     def encode(batches):
+        working_for("token_files", _encoders.clear)
         enc = encoder(path)
         for batch in batches:
             for piece in byte_slices(batch, "text", 2 << 20):  # what encoding holds beside a piece is many times its size

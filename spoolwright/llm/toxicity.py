@@ -14,7 +14,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import slices, spill, words_of
+from ._shared import slices, spill, words_of, working_for
 
 #: HALF: words of half a window. SMOOTH: occurrences that every n-gram is taken to have besides its own. STRONG: log odds from which an n-gram counts in full.
 BUCKETS, DIM, N_GRAMS, HALF, SMOOTH, STRONG = 1 << 20, 8, (4, 6, 8), 24, 5.0, 3.0
@@ -199,6 +199,7 @@ def _mapped(docs: DataFrame, model, names: list[str], schema: str, keep) -> Data
     shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers
 
     def run(batches):
+        working_for("toxicity")
         scorer = Scorer(*shared.value)
         for batch in batches:
             for part in slices(batch, 512):

@@ -215,3 +215,18 @@ def test_new_queries_return_their_contract(spark):
     assert queries.op11_divergence(spark, sf).dtypes == [("lang", "string"), ("source", "string"), ("part", "string"), ("item", "string"), ("value", "bigint"), ("rank", "int")]
     assert queries.op12_licenses(spark, sf).dtypes == [("doc_id", "bigint"), ("n_words", "bigint"), ("n_base", "bigint"), ("first_word", "bigint"), ("last_word", "bigint"), ("base_labels", "string"), ("labels", "string"), ("score", "double")]
     assert queries.op13_compression(spark, sf).dtypes == [("vec_id", "bigint"), ("code", "string"), ("error", "bigint"), ("label_error", "bigint"), ("codebooks_sha256", "string")]
+
+
+def test_workers_let_go_of_what_other_operators_keep(monkeypatch):
+    from spoolwright.llm import _shared
+
+    monkeypatch.setattr(_shared, "_owner", [""])
+    monkeypatch.setattr(_shared, "_letting_go", {})
+    mine, other = {1: 1}, {2: 2}
+    _shared.working_for("mine", mine.clear)
+    _shared.working_for("mine", mine.clear)
+    assert mine
+    _shared.working_for("other", other.clear)
+    assert other and not mine
+    _shared.working_for("mine", mine.clear)
+    assert not other
