@@ -52,6 +52,12 @@ def derived(path: Column, kind: str) -> Column:
     return F.concat(stem(path), F.lit(ends[kind]))
 
 
+def little_endian(n: Column, width: int = 4) -> Column:
+    """The last width bytes of a whole number, lowest first. (F.reverse() takes bytes for UTF-8, and breaks where one could begin a character.)"""
+    h = F.lpad(F.hex(n.cast("long")), 16, "0")
+    return F.unhex(F.concat(*[F.substring(h, 15 - 2 * i, 2) for i in range(width)]))
+
+
 def strip(text: Column) -> Column:
     """Without white space at either end."""
     return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
