@@ -6,6 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """As SQL engines round doubles: x times 10^digits to the nearest whole number, ties away from zero, the sign of zero kept; NaN and what overflows stay.
+
+    F.round() takes the shortest decimal of x instead and knows no -0.0.
+    """
+    factor = F.lit(float(10**digits))
+    y = x * factor
+    whole = F.rint(y)
+    out = F.when(F.abs(y - whole) == 0.5, y + F.signum(y) / 2).otherwise(whole) / factor
+    return F.when(F.abs(out) < float("inf"), out).otherwise(x)
+
+
 def mono(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, lambda a, b: (a + b) / 2)
 

@@ -115,3 +115,34 @@ def test_wav_headers_equal_the_decoded_ones():
     meta, cost = told(data)
     decoded = read_wave(data)[1]
     assert meta == decoded | {"codec": "pcm_s16le"} and cost < 100
+
+
+def test_rounded_as_sql_rounds(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from spoolwright.functions import signal
+
+    g = np.random.default_rng(4)
+    ties = (g.integers(-(10**7), 10**7, 3000) + 0.5) / 1e6
+    xs = [*ties, *np.nextafter(ties[:1000], 0), *(1e-6 * g.normal(size=1000)), 0.0, -0.0, 5e-7, -5e-7, -4e-7, 2.0**52 + 0.5, 1e305, np.inf, -np.inf, np.nan]
+    got = [r[0] for r in spark.createDataFrame([(float(x),) for x in xs], "x double").coalesce(1).select(signal.rounded(F.col("x"), 6)).collect()]
+    wanted = [r[0] for r in duckdb.execute("SELECT round(x, 6) FROM (SELECT unnest(?::DOUBLE[]) AS x)", [[float(x) for x in xs]]).fetchall()]
+    assert [repr(x) for x in got] == [repr(x) for x in wanted]
+
+
+@pytest.mark.parametrize("name", ["mixed_channels"])
+def test_waves_match_sql_on_odd_vectors(spark, tmp_path, name):
+    """Means, peaks and samples that are ties in binary or decimal, or round to -0.0; vectors that are null, short, or hold nulls."""
+    import oracle
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    from spoolwright import catalogue
+
+    g = np.random.default_rng(5)
+    half = (g.integers(0, 10**6, (300, 64)) + 0.5) / 1e6
+    rows = [*half, *(half * 4), *(1e-6 * g.normal(size=(200, 64))), np.full(64, -1e-7), np.full(64, -0.0), np.full(64, np.nan)]
+    rows = [r.tolist() for r in rows] + [None, [], [0.5] * 40, [2.0, None] * 32]
+    parquet.write_table(pa.table({"vec_id": list(range(len(rows))), "embedding": pa.array(rows, pa.list_(pa.float32()))}), tmp_path / "embeddings.parquet")
+    assert oracle.same(spark, catalogue.QUERIES[name], catalogue.ORACLE_SQL[name], str(tmp_path)) == len(rows)
